@@ -36,6 +36,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.streaming.stateStore.providerClass"] = (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
