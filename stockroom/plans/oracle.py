@@ -130,10 +130,12 @@ def _order(names: tuple[str, ...]) -> list[str]:
     return seen
 
 
-def with_views(sql: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
+def with_views(
+    sql: str, *names: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False
+) -> str:
     """Prefix ``sql`` with ``WITH`` definitions of the named adapters (and extra CTEs)."""
     parts = [f"{n} AS (\n{ADAPTERS[n][0]}\n)" for n in _order(names)]
     parts += [f"{n} AS (\n{body}\n)" for n, body in (extra or [])]
     if not parts:
         return sql
-    return "WITH " + ",\n".join(parts) + "\n" + sql
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + sql
