@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockroom import schemas as S
+
 
 def recipe_list(items: DataFrame, products: DataFrame) -> DataFrame:
     """P16 for every dish at once: items of known dishes ordered by item id, with component labels."""
@@ -30,3 +32,193 @@ def recipe_list(items: DataFrame, products: DataFrame) -> DataFrame:
         )
         .orderBy("finished_product_id", "recipe_item_id")
     )
+
+
+SERIES = ["organization_id", "product_id"]
+
+
+def restock(stock: DataFrame, demand: DataFrame) -> DataFrame:
+    """R1 for every product with a forecast: safety stock, order quantity, days of stock and
+    the urgency ladder (stockout is tested first, on ``== 0``). Rounding is half-even."""
+    cur = F.coalesce(F.col("quantity"), F.lit(0)).cast("long")
+    d = F.greatest(F.lit(0.0), F.col("projected_demand"))
+    j = demand.join(stock.select(*SERIES, "quantity"), SERIES, "left").select(*SERIES, cur.alias("current"), d.alias("d"))
+    safety = F.bround(F.col("d") * S.SAFETY_FRACTION, 0)
+    order = F.greatest(F.lit(0.0), F.bround(F.col("d") + F.col("safety") - F.col("current"), 0))
+    daily = F.col("d") / S.HORIZON_DAYS
+    days = F.when(daily > 0, F.bround(F.col("current") / daily, 0)).otherwise(F.lit(float(S.NO_DEMAND_DAYS)))
+    j = j.withColumn("safety", safety).withColumn("days", days)
+    urgency = (
+        F.when(F.col("current") == 0, "STOCKOUT")
+        .when(F.col("days") < 4, "URGENT")
+        .when(F.col("days") < 7, "LOW")
+        .otherwise("OK")
+    )
+    return j.select(
+        *SERIES,
+        F.col("current").alias("current_inventory"),
+        F.bround("d", 1).alias("projected_demand_7d"),
+        F.col("safety").cast("long").alias("safety_stock"),
+        order.cast("long").alias("recommended_order_qty"),
+        F.col("days").cast("long").alias("days_of_stock_remaining"),
+        urgency.alias("urgency"),
+    )
+
+
+def fleet_status(products: DataFrame, stock: DataFrame, restock_rows: DataFrame) -> DataFrame:
+    """Every product of the org with its stock and restock row; products without a
+    model keep their real stock and get NO_FORECAST. Two left joins, no per-product loop."""
+    p = products.select(*SERIES, "name", "sku")
+    s = stock.select(*SERIES, F.col("quantity").alias("_stock"))
+    r = restock_rows.drop("current_inventory")
+    j = p.join(s, SERIES, "left").join(r, SERIES, "left")
+    return j.select(
+        *SERIES,
+        "name",
+        "sku",
+        F.coalesce("_stock", F.lit(0)).cast("long").alias("current_inventory"),
+        "projected_demand_7d",
+        "safety_stock",
+        "recommended_order_qty",
+        "days_of_stock_remaining",
+        F.coalesce("urgency", F.lit("NO_FORECAST")).alias("urgency"),
+    )
+
+
+def fleet_urgent(fleet: DataFrame, levels: tuple[str, ...] = ("STOCKOUT", "URGENT")) -> DataFrame:
+    """The rows a dashboard filter shows for the chosen urgency levels."""
+    return fleet.filter(F.col("urgency").isin(*levels))
+
+
+def fleet_kpis(fleet: DataFrame) -> DataFrame:
+    """Per org KPIs plus a count for every urgency level, zeros included: one
+    aggregation with a conditional count per level of the fixed list (no join to a level
+    table, no pivot pass)."""
+    u = F.col("urgency")
+    return fleet.groupBy("organization_id").agg(
+        F.count(F.lit(1)).alias("products"),
+        F.sum("current_inventory").cast("long").alias("total_inventory"),
+        F.count_if(u == "STOCKOUT").alias("stockouts"),
+        F.count_if(u.isin("URGENT", "LOW")).alias("urgent_or_low"),
+        *[F.count_if(u == level).alias(f"count_{level.lower()}") for level in S.URGENCY_LEVELS],
+    )
+
+
+# ---- purchase orders -------------------------------------------------------------------------------------------
+def po_nested(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Each PO with its lines as an array ordered by line id; POs without lines kept."""
+    li = lines.select(
+        "purchase_order_id",
+        F.struct("line_id", "product_id", "quantity", "unit_cost").alias("line"),
+    )
+    agg = li.groupBy("purchase_order_id").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return orders.join(agg, "purchase_order_id", "left").withColumn(
+        "lines", F.coalesce("lines", F.array().cast("array<struct<line_id:bigint,product_id:bigint,quantity:int,unit_cost:decimal(10,2)>>"))
+    )
+
+
+def po_by_status(orders: DataFrame, status: str | None = None) -> DataFrame:
+    """Filter by status, newest first (presentation order)."""
+    f = orders if status is None else orders.filter(F.col("status") == status)
+    return f.orderBy(F.col("created_at").desc(), F.col("purchase_order_id").desc())
+
+
+def po_lines_labelled(orders: DataFrame, lines: DataFrame, products: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Display labels with fallbacks ``Product {id}`` / ``Supplier {id}``."""
+    p = products.select("product_id", "organization_id", F.col("name").alias("product_name"))
+    s = suppliers.select("supplier_id", "organization_id", F.col("name").alias("supplier_name"))
+    o = orders.select("purchase_order_id", "supplier_id", "status")
+    j = lines.join(o, "purchase_order_id", "left").join(p, ["product_id", "organization_id"], "left").join(
+        s, ["supplier_id", "organization_id"], "left"
+    )
+    return j.select(
+        "line_id",
+        "purchase_order_id",
+        "organization_id",
+        "product_id",
+        "supplier_id",
+        "quantity",
+        "unit_cost",
+        F.coalesce("product_name", F.concat(F.lit("Product "), F.col("product_id").cast("string"))).alias(
+            "product_label"
+        ),
+        F.coalesce("supplier_name", F.concat(F.lit("Supplier "), F.col("supplier_id").cast("string"))).alias(
+            "supplier_label"
+        ),
+    )
+
+
+def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame) -> DataFrame:
+    """SUBMITTED POs -> one PURCHASE event per line, id ``po-{po}-line-{line}``; lines
+    already recorded by an earlier, partly failed receive are flagged and not applied again."""
+    sub = orders.filter(F.col("status") == "SUBMITTED").select("purchase_order_id", "organization_id")
+    ev = lines.join(sub, ["purchase_order_id", "organization_id"], "inner").select(
+        "organization_id",
+        "purchase_order_id",
+        "line_id",
+        "product_id",
+        F.lit("PURCHASE").alias("event_type"),
+        "quantity",
+        F.format_string("po-%d-line-%d", F.col("purchase_order_id"), F.col("line_id")).alias("event_id"),
+    )
+    seen = log_ids.select("organization_id", "event_id").distinct().withColumn("already_recorded", F.lit(True))
+    return ev.join(seen, ["organization_id", "event_id"], "left").withColumn(
+        "already_recorded", F.coalesce("already_recorded", F.lit(False))
+    )
+
+
+ACTION_TEXT = {"submit": "submit", "receive": "receive"}
+
+
+def po_transitions(orders: DataFrame, lines: DataFrame, requests: DataFrame) -> DataFrame:
+    """DRAFT -> SUBMITTED (needs >= 1 line) -> RECEIVED; other requests are refused with
+    the reference's message shape. ``requests``: purchase_order_id, organization_id, action."""
+    n_lines = lines.groupBy("purchase_order_id").agg(F.count(F.lit(1)).alias("n_lines"))
+    j = requests.join(orders.select("purchase_order_id", "organization_id", "status"), ["purchase_order_id", "organization_id"], "left")
+    j = j.join(n_lines, "purchase_order_id", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+    a, st, po = F.col("action"), F.col("status"), F.col("purchase_order_id").cast("string")
+    err = (
+        F.when(st.isNull(), F.concat(F.lit("Purchase order "), po, F.lit(" not found")))
+        .when((a == "submit") & (st != "DRAFT"), F.concat(F.lit("Cannot submit purchase order "), po, F.lit(" in status "), st))
+        .when((a == "submit") & (F.col("n_lines") == 0), F.concat(F.lit("Cannot submit (no lines) purchase order "), po, F.lit(" in status "), st))
+        .when((a == "receive") & (st != "SUBMITTED"), F.concat(F.lit("Cannot receive purchase order "), po, F.lit(" in status "), st))
+    )
+    new = F.when(err.isNull(), F.when(a == "submit", "SUBMITTED").otherwise("RECEIVED")).otherwise(st)
+    return j.select(
+        "purchase_order_id",
+        "organization_id",
+        "action",
+        st.alias("old_status"),
+        new.alias("new_status"),
+        err.isNull().alias("accepted"),
+        err.alias("error"),
+    )
+
+
+def draft_orders(restock_rows: DataFrame, requests: DataFrame, products: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """R4 + R7: for (product, supplier) requests, a DRAFT PO with one line of the recommended
+    quantity where it is > 0; otherwise 'not needed'. Unknown supplier/product are refused."""
+    p = products.select(*SERIES).withColumn("_p", F.lit(True))
+    s = suppliers.select("supplier_id", "organization_id").withColumn("_s", F.lit(True))
+    r = restock_rows.select(*SERIES, "recommended_order_qty")
+    j = requests.join(p, SERIES, "left").join(s, ["supplier_id", "organization_id"], "left").join(r, SERIES, "left")
+    qty = F.col("recommended_order_qty")
+    err = (
+        F.when(F.col("_s").isNull(), F.concat(F.lit("Supplier "), F.col("supplier_id").cast("string"), F.lit(" not found")))
+        .when(F.col("_p").isNull(), F.concat(F.lit("Product "), F.col("product_id").cast("string"), F.lit(" not found")))
+        .when(qty.isNull(), F.lit("no forecast"))
+        .when(
+            qty <= 0,
+            F.concat(
+                F.lit("Product "), F.col("product_id").cast("string"), F.lit("'s recommended order quantity is "),
+                qty.cast("string"), F.lit(" — no PO needed right now"),
+            ),
+        )
+    )
+    return j.select(
+        *SERIES,
+        "supplier_id",
+        F.when(err.isNull(), F.lit("DRAFT")).alias("status"),
+        F.when(err.isNull(), qty).alias("quantity"),
+        err.alias("error"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockroom.plans import lake_queries, ledger_queries, warehouse_queries  # noqa: F401
+from stockroom.plans import decision_queries, lake_queries, ledger_queries, warehouse_queries  # noqa: F401
 from stockroom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
