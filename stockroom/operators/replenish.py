@@ -148,7 +148,7 @@ def po_lines_labelled(orders: DataFrame, lines: DataFrame, products: DataFrame,
     )
 
 
-def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame) -> DataFrame:
+def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | None = None) -> DataFrame:
     """SUBMITTED POs -> one PURCHASE event per line, id ``po-{po}-line-{line}``; lines
     already recorded by an earlier, partly failed receive are flagged and not applied again."""
     sub = orders.filter(F.col("status") == "SUBMITTED").select("purchase_order_id", "organization_id")
@@ -161,6 +161,8 @@ def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame) -> D
         "quantity",
         F.format_string("po-%d-line-%d", F.col("purchase_order_id"), F.col("line_id")).alias("event_id"),
     )
+    if log_ids is None:
+        return ev.withColumn("already_recorded", F.lit(False))
     seen = log_ids.select("organization_id", "event_id").distinct().withColumn("already_recorded", F.lit(True))
     return ev.join(seen, ["organization_id", "event_id"], "left").withColumn(
         "already_recorded", F.coalesce("already_recorded", F.lit(False))

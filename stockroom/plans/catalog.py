@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from stockroom.plans import decision_queries, lake_queries, ledger_queries, warehouse_queries  # noqa: F401
+from stockroom.plans import (  # noqa: F401
+    decision_queries,
+    lake_queries,
+    ledger_queries,
+    po_queries,
+    warehouse_queries,
+)
 from stockroom.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
