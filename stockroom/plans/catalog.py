@@ -7,6 +7,7 @@ from stockroom.plans import (  # noqa: F401
     lake_queries,
     ledger_queries,
     po_queries,
+    stream_queries,
     warehouse_queries,
 )
 from stockroom.plans.registry import ORACLE, QUERIES
