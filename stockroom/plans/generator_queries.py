@@ -1,0 +1,36 @@
+"""Registered queries for the synthetic generators (rows-only checks: the values are random
+draws; their shape and the forecast quality gate are tested in tests/)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stockroom.plans.registry import register
+from stockroom.sources import adapters as A
+from stockroom.sources import generators as G
+
+
+def demand_profiles(spark, sf_dir):
+    # Mean daily demand from the part size, spread a quarter of it, small signed trend.
+    p = A.products(spark, sf_dir).join(
+        A.read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), "p_size"), "product_id"
+    )
+    return p.select(
+        "organization_id",
+        "product_id",
+        "sku",
+        F.col("p_size").alias("mean"),
+        (F.col("p_size") / 4.0 + 1.0).alias("std"),
+        F.col("p_size").cast("double").alias("mean_demand"),
+        ((F.col("product_id") % 7 - 3) * 0.1).alias("trend"),
+    )
+
+
+@register("synthetic_events")
+def q_synthetic_events(spark, sf_dir):
+    return G.synthetic_events(demand_profiles(spark, sf_dir))
+
+
+@register("synthetic_features")
+def q_synthetic_features(spark, sf_dir):
+    return G.synthetic_features(demand_profiles(spark, sf_dir))
