@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from stockroom import schemas as S
 from stockroom.functions.events import is_guarded, sign_error
+from stockroom.session import materialize
 
 KEY = ["organization_id", "event_id"]
 
@@ -42,17 +43,14 @@ def connected_groups(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Min-label propagation over undirected ``(organization_id, a, b)`` edges.
 
     Returns ``(organization_id, product_id, group_id)`` for every product on an edge. Each
-    round is one join + one aggregation; lineage is cut with a reliable ``checkpoint()``
-    (the session's shared checkpoint folder) so the plan stays flat however many rounds run.
+    round is one join + one aggregation; each round's labels are written once to the shared
+    checkpoint folder, so the plan stays flat however many rounds run.
     """
-    from stockroom.session import checkpoint_root
-
-    checkpoint_root(edges.sparkSession)
     both = edges.select("organization_id", F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
         edges.select("organization_id", F.col("b").alias("src"), F.col("a").alias("dst"))
     ).distinct()
     labels = both.groupBy("organization_id", "src").agg(F.least(F.col("src"), F.min("dst")).alias("label"))
-    labels = labels.withColumnRenamed("src", "node").checkpoint()
+    labels = materialize(labels.withColumnRenamed("src", "node"), "group-labels")
     for _ in range(max_rounds):
         nbr = (
             both.join(labels.withColumnRenamed("node", "src"), ["organization_id", "src"])
@@ -65,7 +63,8 @@ def connected_groups(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             "node",
             F.least("label", F.coalesce("nbr_label", "label")).alias("label"),
             (F.col("nbr_label") < F.col("label")).alias("moved"),
-        ).checkpoint()
+        )
+        new = materialize(new, "group-labels")
         moved = new.filter("moved").limit(1).count()
         labels = new.drop("moved")
         if moved == 0:
@@ -142,8 +141,13 @@ def expand_units(events: DataFrame, recipe_items: DataFrame | None = None) -> Da
     return base.unionByName(comps)
 
 
-def annotate(rows: DataFrame, log_ids: DataFrame | None, start: DataFrame | None) -> DataFrame:
-    """Sign rule, guard flag, already-recorded flag (J3), starting balance, repeat flag."""
+def annotate(
+    rows: DataFrame, log_ids: DataFrame | None, start: DataFrame | None, unique_ids: bool = False
+) -> DataFrame:
+    """Sign rule, guard flag, already-recorded flag (J3), starting balance, repeat flag.
+
+    ``unique_ids`` is the caller's promise that no ``(org, event_id)`` repeats in the batch;
+    it saves the per-id window (one shuffle)."""
     out = rows.withColumn("sign_error", sign_error("event_type", "quantity")).withColumn(
         "delta",
         F.when(F.col("sign_error").isNull(), F.when(is_guarded("event_type"), -F.col("quantity")).otherwise(F.col("quantity"))),
@@ -159,36 +163,45 @@ def annotate(rows: DataFrame, log_ids: DataFrame | None, start: DataFrame | None
         out = out.withColumn("start_balance", F.coalesce("start_balance", F.lit(0).cast("long")))
     else:
         out = out.withColumn("start_balance", F.lit(0).cast("long"))
+    if unique_ids:
+        return out.withColumn("repeated", F.lit(False))
     n = F.count(F.lit(1)).over(Window.partitionBy(*KEY))
     return out.withColumn("repeated", n > 1)
 
 
 # ---- O1 fast path ----------------------------------------------------------------------------------------
-def _effective(rows: DataFrame) -> DataFrame:
+def _effective(rows: DataFrame, unique_ids: bool = False, cascades: bool = True) -> DataFrame:
     """Flag the rows that apply when nothing is refused (first valid occurrence of each id,
     not yet recorded, and for cascade rows: their leader applies)."""
     valid = F.col("delta").isNotNull() & ~F.col("in_log")
-    first_valid_seq = F.min(F.when(valid, F.struct("seq", "pos"))).over(Window.partitionBy(*KEY))
+    mine = F.when(valid, F.struct("seq", "pos"))
+    first_valid_seq = mine if unique_ids else F.min(mine).over(Window.partitionBy(*KEY))
     r = rows.withColumn("first_valid", first_valid_seq).withColumn(
         "self_first", valid & (F.struct("seq", "pos") == F.col("first_valid"))
     )
-    lead = Window.partitionBy("organization_id", "group_id", "seq")
-    leader_applies = F.max(F.when(F.col("pos") == 0, F.col("self_first").cast("int"))).over(lead) == 1
+    if cascades:
+        lead = Window.partitionBy("organization_id", "group_id", "seq")
+        leader_applies = F.max(F.when(F.col("pos") == 0, F.col("self_first").cast("int"))).over(lead) == 1
+    else:
+        leader_applies = F.col("self_first") | (F.col("pos") == 0)
     return r.withColumn("leader_applies", leader_applies).withColumn(
         "effective", F.col("self_first") & F.col("leader_applies")
     )
 
 
-def fold_fast(rows: DataFrame) -> DataFrame:
-    """Prefix balances under 'nothing refused' and the group's dirty flag."""
+def fold_fast(rows: DataFrame, unique_ids: bool = False, cascades: bool = True, by_product: bool = False) -> DataFrame:
+    """Prefix balances under 'nothing refused' and the group's dirty flag.
+
+    With ``by_product`` the group is the product, so the dirty flag reuses the prefix
+    window's partitioning (no extra shuffle)."""
     w = Window.partitionBy("organization_id", "product_id").orderBy("seq", "pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    r = _effective(rows)
+    r = _effective(rows, unique_ids, cascades)
     bal = F.col("start_balance") + F.sum(F.when(F.col("effective"), F.col("delta")).otherwise(0)).over(w)
     r = r.withColumn("running", bal)
     bad = F.col("effective") & F.col("guarded") & (F.col("running") < 0)
-    g = Window.partitionBy("organization_id", "group_id")
+    g = Window.partitionBy("organization_id", "product_id" if by_product else "group_id")
     return r.withColumn("dirty", F.max(bad.cast("int")).over(g) == 1)
 
 
@@ -361,6 +374,7 @@ def apply_batch(
     start_state: DataFrame | None = None,
     recipe_items: DataFrame | None = None,
     groups: DataFrame | str | None = None,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """O1+O2+O3: per fold row ``status`` (success / failed / skipped), ``error``, ``applied``
     (newly recorded), ``balance_after``. Leader rows (``pos`` 0) are the batch's rows.
@@ -369,18 +383,24 @@ def apply_batch(
     recipes, ids unique per product) and skips the labelling rounds.
     """
     rows = expand_units(events, recipe_items)
-    rows = annotate(rows, log_ids, start_state)
-    if isinstance(groups, str):
-        groups = rows.sparkSession.createDataFrame([], "organization_id int, product_id long, group_id long")
+    rows = annotate(rows, log_ids, start_state, unique_ids=unique_ids)
+    by_product = isinstance(groups, str)
+    if by_product:
+        if recipe_items is not None:
+            raise ValueError("recipe cascades need interaction groups")
+        rows = rows.withColumn("group_id", F.col("product_id"))
     elif groups is None:
         edges = repeated_id_edges(rows)
         if recipe_items is not None:
             edges = edges.unionByName(recipe_edges(recipe_items))
         groups = connected_groups(edges)
-    rows = rows.join(groups, ["organization_id", "product_id"], "left").withColumn(
-        "group_id", F.coalesce("group_id", "product_id")
+    if not by_product:
+        rows = rows.join(groups, ["organization_id", "product_id"], "left").withColumn(
+            "group_id", F.coalesce("group_id", "product_id")
+        )
+    judged = materialize(
+        fold_fast(rows, unique_ids=unique_ids, cascades=recipe_items is not None, by_product=by_product), "fold-judged"
     )
-    judged = fold_fast(rows).checkpoint()
     clean = clean_results(judged.filter(~F.col("dirty")))
     slow = fold_slow(judged.filter(F.col("dirty")))
     return clean.unionByName(slow)

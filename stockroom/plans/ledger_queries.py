@@ -63,7 +63,7 @@ def q_oversell_apply(spark, sf_dir):
         raw.alias("quantity"),
         "seq",
     )
-    out = ledger.apply_batch(events, groups="product")
+    out = ledger.apply_batch(events, groups="product", unique_ids=True)
     return out.select(
         "organization_id",
         "product_id",

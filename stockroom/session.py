@@ -95,3 +95,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as a Parquet table in the shared checkpoint folder
+    and reading it back (one computation; survives executor loss, unlike local checkpoints)."""
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
