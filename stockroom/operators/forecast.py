@@ -223,3 +223,8 @@ def rollback(pointers: DataFrame, versions: DataFrame, requests: DataFrame) -> t
     )
     kept = pointers.join(ok.select(*SERIES), SERIES, "left_anti")
     return kept.unionByName(ok), rejects
+
+
+def champion_lookup(pointers: DataFrame, versions: DataFrame) -> DataFrame:
+    """The parameters of each series' champion (pointer x version log)."""
+    return pointers.join(versions, [*SERIES, "version"], "inner")

@@ -390,10 +390,16 @@ def apply_batch(
             raise ValueError("recipe cascades need interaction groups")
         rows = rows.withColumn("group_id", F.col("product_id"))
     elif groups is None:
+        # The annotated rows feed both the group labelling and the fold: write them once.
+        rows = materialize(rows, "fold-rows")
         edges = repeated_id_edges(rows)
         if recipe_items is not None:
             edges = edges.unionByName(recipe_edges(recipe_items))
-        groups = connected_groups(edges)
+        edges = materialize(edges, "group-edges")
+        if edges.limit(1).count() == 0:
+            groups = rows.sparkSession.createDataFrame([], "organization_id int, product_id long, group_id long")
+        else:
+            groups = connected_groups(edges)
     if not by_product:
         rows = rows.join(groups, ["organization_id", "product_id"], "left").withColumn(
             "group_id", F.coalesce("group_id", "product_id")

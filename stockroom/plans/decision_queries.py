@@ -405,3 +405,26 @@ def q_po_drafts(spark, sf_dir):
     rs = restock_rows(spark, sf_dir)
     reqs = rs.select("organization_id", "product_id", (F.col("product_id") % 10).alias("supplier_id"))
     return replenish.draft_orders(rs, reqs, A.products(spark, sf_dir), A.suppliers(spark, sf_dir))
+
+
+@register(
+    "champion_models",
+    _fc_sql(
+        """SELECT p.organization_id, p.product_id, p.version, v.run, v.training_rows, v.slope
+FROM (SELECT c.organization_id, c.product_id,
+             CASE WHEN c.product_id % 2 = 0 AND EXISTS (SELECT 1 FROM versions v WHERE v.organization_id = c.organization_id
+                       AND v.product_id = c.product_id AND v.version = 1) THEN 1 ELSE c.version END AS version
+      FROM (SELECT organization_id, product_id, max(version) AS version FROM versions GROUP BY ALL) c) p
+JOIN versions v ON v.organization_id = p.organization_id AND v.product_id = p.product_id AND v.version = p.version""",
+        extra=VERSION_CTES,
+    ),
+)
+def q_champion_models(spark, sf_dir):
+    # The serving lookup after the rollback: pointer x version log on (org, product, version).
+    v = _versions(spark, sf_dir)
+    pointers = FC.champions(v)
+    reqs = pointers.filter(F.col("product_id") % 2 == 0).select("organization_id", "product_id", F.lit(1).alias("version"))
+    newp, _ = FC.rollback(pointers, v, reqs)
+    return FC.champion_lookup(newp, v).select(
+        "organization_id", "product_id", "version", "run", "training_rows", "slope"
+    )

@@ -271,3 +271,13 @@ def q_csv_batch_rows(spark, sf_dir):
     )
     batch = batches.read_csv_batch(spark, path, organization_id=0)
     return batch.select("row_number", "sku", "event_type", "quantity", "event_id")
+
+
+@register("ingest_new_state")
+def q_ingest_new_state(spark, sf_dir):
+    # U3 + projection update: the log plus the batch's newly accepted events, replayed, equals
+    # the fold's final balances for every touched product (tested in tests/).
+    _, folded = _ingest(spark, sf_dir)
+    log = A.event_log(spark, sf_dir).select("organization_id", "product_id", "event_id", "event_type", "quantity")
+    appended = log.unionByName(ledger.accepted_events(folded).drop("seq", "pos"))
+    return projection.replay_state(appended)

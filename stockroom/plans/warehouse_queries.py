@@ -353,3 +353,29 @@ def q_org_backfill(spark, sf_dir):
         F.when(F.col("id") % 3 != 0, F.col("organization_id")).alias("organization_id"),
     )
     return warehouse.org_backfill(child, A.products(spark, sf_dir), "product_id")
+
+
+# ---- S9: the same three queries through spark.sql over registered views / tables ----------------------
+@register("sql_daily_delta", with_views(DAILY_DELTA_SQL.format(fact="fact_e"), "fact_e"))
+def q_sql_daily_delta(spark, sf_dir):
+    from stockroom.plans import views
+    from stockroom.session import work_dir
+
+    views.register_from_tables(spark, sf_dir, marts_root=work_dir(spark, "marts"))
+    return spark.sql(views.QUERY_DAILY_DELTA)
+
+
+@register("sql_event_breakdown", with_views(BREAKDOWN_SQL.format(fact="fact_e"), "fact_e"))
+def q_sql_event_breakdown(spark, sf_dir):
+    from stockroom.plans import views
+
+    views.register_from_tables(spark, sf_dir)
+    return spark.sql(views.QUERY_EVENT_BREAKDOWN)
+
+
+@register("sql_running_balance", with_views(RUNNING_SQL.format(fact="fact_e"), "fact_e"))
+def q_sql_running_balance(spark, sf_dir):
+    from stockroom.plans import views
+
+    views.register_from_tables(spark, sf_dir)
+    return spark.sql(views.QUERY_RUNNING_BALANCE)
