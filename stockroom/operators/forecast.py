@@ -29,42 +29,66 @@ def _series(features: DataFrame) -> DataFrame:
 
 
 def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING_DAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """fit every series at once.
+    """fit every series at once from sufficient statistics.
+
+    One aggregation per (series, weekday) collects n, sums of x, y, x*y, x^2, y^2; the OLS
+    trend, the weekday effects (mean residual per weekday) and the residual standard
+    deviation all follow algebraically from that small table, so the features are scanned
+    and shuffled once. ``x`` is days since a global origin (a scalar subquery) to keep the
+    sums small; the intercept is reported at each series' first day.
 
     Returns ``(models, weekday_effects, skipped)``: one row per trained series with
     ``slope, intercept, sigma, first_ds, last_ds, training_rows``; the mean residual per
     (series, weekday); and the series refused for having fewer than ``min_rows`` rows.
     """
-    s = _series(features)
-    stats = s.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("training_rows"),
-        F.regr_slope("y", "x").alias("slope"),
-        F.regr_intercept("y", "x").alias("intercept"),
-        F.avg("y").alias("mean_y"),
-        F.min("ds").alias("first_ds"),
-        F.max("ds").alias("last_ds"),
+    base = features.select(*SERIES, F.to_date("date").alias("ds"), F.col("units_sold").cast("double").alias("y"))
+    origin = base.agg(F.min("ds")).scalar()
+    x, y = F.datediff("ds", origin).cast("double"), F.col("y")
+    per_wd = base.groupBy(*SERIES, F.weekday("ds").alias("wd")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(x).alias("sx"),
+        F.sum(y).alias("sy"),
+        F.sum(x * y).alias("sxy"),
+        F.sum(x * x).alias("sxx"),
+        F.sum(y * y).alias("syy"),
+        F.min("ds").alias("mn"),
+        F.max("ds").alias("mx"),
+    )
+    tot = per_wd.groupBy(*SERIES).agg(
+        F.sum("n").alias("training_rows"),
+        *[F.sum(c).alias(c.upper()) for c in ("sx", "sy", "sxy", "sxx", "syy")],
+        F.min("mn").alias("first_ds"),
+        F.max("mx").alias("last_ds"),
     )
-    skipped = stats.filter(F.col("training_rows") < min_rows).select(
+    n = F.col("training_rows").cast("double")
+    den = n * F.col("SXX") - F.col("SX") * F.col("SX")
+    slope = F.when(den != 0, (n * F.col("SXY") - F.col("SX") * F.col("SY")) / den).otherwise(F.lit(0.0))
+    tot = tot.withColumn("b", slope).withColumn("a", (F.col("SY") - F.col("b") * F.col("SX")) / n)
+    skipped = tot.filter(F.col("training_rows") < min_rows).select(
         *SERIES, "training_rows", F.lit("fewer than 14 days of data").alias("reason")
     )
-    ok = stats.filter(F.col("training_rows") >= min_rows).select(
+    ok = tot.filter(F.col("training_rows") >= min_rows)
+    a, b = F.col("a"), F.col("b")
+    wd = per_wd.join(ok.select(*SERIES, "a", "b"), SERIES)
+    sum_r = F.col("sy") - a * F.col("n") - b * F.col("sx")
+    sum_r2 = (
+        F.col("syy") + a * a * F.col("n") + b * b * F.col("sxx")
+        - 2 * a * F.col("sy") - 2 * b * F.col("sxy") + 2 * a * b * F.col("sx")
+    )
+    effect = sum_r / F.col("n") if weekly else F.lit(0.0)
+    wd = wd.withColumn("effect", effect).withColumn("ss", sum_r2 - 2 * F.col("effect") * sum_r + F.col("n") * F.col("effect") * F.col("effect"))
+    effects = wd.select(*SERIES, "wd", "effect")
+    ss = wd.groupBy(*SERIES).agg(F.sum("ss").alias("ss"))
+    models = ok.join(ss, SERIES).select(
         *SERIES,
         "training_rows",
-        F.coalesce("slope", F.lit(0.0)).alias("slope"),
-        F.coalesce("intercept", "mean_y").alias("intercept"),
+        b.alias("slope"),
+        (a + b * F.datediff("first_ds", origin).cast("double")).alias("intercept"),
+        F.when(F.col("training_rows") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("ss")) / (n - 1))).otherwise(F.lit(0.0)).alias("sigma"),
         "first_ds",
         "last_ds",
+        F.lit(weekly).alias("weekly"),
     )
-    resid = s.join(ok.select(*SERIES, "slope", "intercept"), SERIES).withColumn(
-        "r", F.col("y") - (F.col("intercept") + F.col("slope") * F.col("x"))
-    )
-    if weekly:
-        effects = resid.groupBy(*SERIES, "wd").agg(F.avg("r").alias("effect"))
-    else:
-        effects = resid.select(*SERIES, "wd").distinct().withColumn("effect", F.lit(0.0))
-    r2 = resid.join(effects, [*SERIES, "wd"], "left").withColumn("r2", F.col("r") - F.coalesce("effect", F.lit(0.0)))
-    sigma = r2.groupBy(*SERIES).agg(F.coalesce(F.stddev_samp("r2"), F.lit(0.0)).alias("sigma"))
-    models = ok.join(sigma, SERIES, "left").withColumn("weekly", F.lit(weekly))
     return models, effects, skipped
 
 

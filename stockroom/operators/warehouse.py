@@ -62,8 +62,10 @@ def fact_inventory_events(staged: DataFrame, dim_prod: DataFrame) -> DataFrame:
     sort-merge join into a broadcast join at runtime when the measured side fits
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
     """
+    # Products are unique on (product_id, organization_id), so the inner join keeps exactly the
+    # events that have a product: a semi join says that and carries no build-side columns.
     keys = dim_prod.select("product_id", "organization_id")
-    return staged.join(keys, ["product_id", "organization_id"], "inner").select(
+    return staged.join(keys, ["product_id", "organization_id"], "left_semi").select(
         "event_id", "product_id", "date_id", "event_type", "quantity", "created_at", "organization_id"
     )
 

@@ -15,7 +15,7 @@ from stockroom.operators import projection, replenish
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
 from stockroom.plans.warehouse_queries import fact_e
-from stockroom.session import work_dir
+from stockroom.session import materialize, work_dir
 from stockroom.sources import adapters as A
 from stockroom.sources import lake
 
@@ -306,8 +306,9 @@ def _versions(spark, sf_dir):
     m1, _, _ = FC.fit(early)
     m2, _, _ = FC.fit(feats)
     cols = ["organization_id", "product_id", "training_rows", F.round("slope", ROUND).alias("slope")]
-    v = FC.log_versions(None, m1.select(*cols), "early")
-    return FC.log_versions(v, m2.select(*cols), "full")
+    v = materialize(FC.log_versions(None, m1.select(*cols), "early"), "model-versions")
+    # The version log is a stored table: each run appends to it and readers use the file.
+    return materialize(FC.log_versions(v, m2.select(*cols), "full"), "model-versions")
 
 
 @register(
