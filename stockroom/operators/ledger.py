@@ -144,10 +144,13 @@ def expand_units(events: DataFrame, recipe_items: DataFrame | None = None) -> Da
 def annotate(
     rows: DataFrame, log_ids: DataFrame | None, start: DataFrame | None, unique_ids: bool = False
 ) -> DataFrame:
-    """Sign rule, guard flag, already-recorded flag (J3), starting balance, repeat flag.
+    """Sign rule, guard flag, already-recorded flag (J3), starting balance, and per id: whether
+    it repeats in the batch and its first valid occurrence ``first_valid`` = (seq, pos).
 
-    ``unique_ids`` is the caller's promise that no ``(org, event_id)`` repeats in the batch;
-    it saves the per-id window (one shuffle)."""
+    Per-id facts come from an aggregation joined back on the id (partial aggregation, and
+    AQE splits the join if one id is hot), not from a window that would put all copies of a
+    hot id into one task. ``unique_ids`` is the caller's promise that no ``(org, event_id)``
+    repeats in the batch; it skips that aggregation."""
     out = rows.withColumn("sign_error", sign_error("event_type", "quantity")).withColumn(
         "delta",
         F.when(F.col("sign_error").isNull(), F.when(is_guarded("event_type"), -F.col("quantity")).otherwise(F.col("quantity"))),
@@ -163,23 +166,24 @@ def annotate(
         out = out.withColumn("start_balance", F.coalesce("start_balance", F.lit(0).cast("long")))
     else:
         out = out.withColumn("start_balance", F.lit(0).cast("long"))
+    valid = F.col("delta").isNotNull() & ~F.col("in_log")
+    mine = F.when(valid, F.struct("seq", "pos"))
     if unique_ids:
-        return out.withColumn("repeated", F.lit(False))
-    n = F.count(F.lit(1)).over(Window.partitionBy(*KEY))
-    return out.withColumn("repeated", n > 1)
+        return out.withColumn("repeated", F.lit(False)).withColumn("first_valid", mine)
+    per_id = out.groupBy(*KEY).agg(
+        (F.count(F.lit(1)) > 1).alias("repeated"), F.min(mine).alias("first_valid")
+    )
+    return out.join(per_id, KEY, "inner")
 
 
 # ---- O1 fast path ----------------------------------------------------------------------------------------
-def _effective(rows: DataFrame, unique_ids: bool = False, cascades: bool = True) -> DataFrame:
+def _effective(rows: DataFrame, cascades: bool = True) -> DataFrame:
     """Flag the rows that apply when nothing is refused (first valid occurrence of each id,
     not yet recorded, and for cascade rows: their leader applies)."""
     valid = F.col("delta").isNotNull() & ~F.col("in_log")
-    mine = F.when(valid, F.struct("seq", "pos"))
-    first_valid_seq = mine if unique_ids else F.min(mine).over(Window.partitionBy(*KEY))
-    r = rows.withColumn("first_valid", first_valid_seq).withColumn(
-        "self_first", valid & (F.struct("seq", "pos") == F.col("first_valid"))
-    )
+    r = rows.withColumn("self_first", valid & (F.struct("seq", "pos") == F.col("first_valid")))
     if cascades:
+        # A unit is one row plus its recipe components: bounded by the recipe size.
         lead = Window.partitionBy("organization_id", "group_id", "seq")
         leader_applies = F.max(F.when(F.col("pos") == 0, F.col("self_first").cast("int"))).over(lead) == 1
     else:
@@ -189,20 +193,32 @@ def _effective(rows: DataFrame, unique_ids: bool = False, cascades: bool = True)
     )
 
 
-def fold_fast(rows: DataFrame, unique_ids: bool = False, cascades: bool = True, by_product: bool = False) -> DataFrame:
+def fold_fast(rows: DataFrame, cascades: bool = True, by_product: bool = False, chunk: int = 1 << 16) -> DataFrame:
     """Prefix balances under 'nothing refused' and the group's dirty flag.
 
-    With ``by_product`` the group is the product, so the dirty flag reuses the prefix
-    window's partitioning (no extra shuffle)."""
-    w = Window.partitionBy("organization_id", "product_id").orderBy("seq", "pos").rowsBetween(
+    The prefix sum per product is computed in chunks of ``chunk`` arrival numbers: a local
+    running sum inside (product, chunk), plus the sum of the product's earlier chunks (a
+    window over one row per chunk). A product holding a large share of the batch is spread
+    over many tasks instead of one. The dirty flag is an aggregation per group joined back.
+    """
+    r = _effective(rows, cascades).withColumn("_chunk", F.floor(F.col("seq") / chunk))
+    eff_delta = F.when(F.col("effective"), F.col("delta")).otherwise(F.lit(0))
+    local_w = Window.partitionBy("organization_id", "product_id", "_chunk").orderBy("seq", "pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    r = _effective(rows, unique_ids, cascades)
-    bal = F.col("start_balance") + F.sum(F.when(F.col("effective"), F.col("delta")).otherwise(0)).over(w)
-    r = r.withColumn("running", bal)
+    r = r.withColumn("_local", F.sum(eff_delta).over(local_w))
+    totals = r.groupBy("organization_id", "product_id", "_chunk").agg(F.sum(eff_delta).alias("_tot"))
+    before = Window.partitionBy("organization_id", "product_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "organization_id", "product_id", "_chunk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_offset")
+    )
+    r = r.join(offsets, ["organization_id", "product_id", "_chunk"], "inner").withColumn(
+        "running", F.col("start_balance") + F.col("_offset") + F.col("_local")
+    ).drop("_chunk", "_local", "_offset")
     bad = F.col("effective") & F.col("guarded") & (F.col("running") < 0)
-    g = Window.partitionBy("organization_id", "product_id" if by_product else "group_id")
-    return r.withColumn("dirty", F.max(bad.cast("int")).over(g) == 1)
+    gkey = ["organization_id", "product_id" if by_product else "group_id"]
+    flags = r.groupBy(*gkey).agg((F.max(bad.cast("int")) == 1).alias("dirty"))
+    return r.join(flags, gkey, "inner")
 
 
 def clean_results(r: DataFrame) -> DataFrame:
@@ -375,6 +391,7 @@ def apply_batch(
     recipe_items: DataFrame | None = None,
     groups: DataFrame | str | None = None,
     unique_ids: bool = False,
+    chunk: int = 1 << 16,
 ) -> DataFrame:
     """O1+O2+O3: per fold row ``status`` (success / failed / skipped), ``error``, ``applied``
     (newly recorded), ``balance_after``. Leader rows (``pos`` 0) are the batch's rows.
@@ -405,7 +422,8 @@ def apply_batch(
             "group_id", F.coalesce("group_id", "product_id")
         )
     judged = materialize(
-        fold_fast(rows, unique_ids=unique_ids, cascades=recipe_items is not None, by_product=by_product), "fold-judged"
+        fold_fast(rows, cascades=recipe_items is not None, by_product=by_product, chunk=chunk),
+        "fold-judged",
     )
     clean = clean_results(judged.filter(~F.col("dirty")))
     slow = fold_slow(judged.filter(F.col("dirty")))

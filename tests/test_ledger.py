@@ -12,14 +12,14 @@ EV = "organization_id int, product_id long, event_id string, event_type string,
 RC = "recipe_item_id long, finished_product_id long, component_product_id long, quantity int, organization_id int"
 
 
-def run(spark, events, recipes=None, log_ids=None, start=None):
+def run(spark, events, recipes=None, log_ids=None, start=None, chunk=1 << 16):
     ev = spark.createDataFrame(events, EV)
     rc = spark.createDataFrame(recipes, RC) if recipes else None
     lg = spark.createDataFrame(log_ids, "organization_id int, event_id string") if log_ids else None
     st = (
         spark.createDataFrame(start, "organization_id int, product_id long, quantity long") if start else None
     )
-    out = ledger.apply_batch(ev, log_ids=lg, start_state=st, recipe_items=rc)
+    out = ledger.apply_batch(ev, log_ids=lg, start_state=st, recipe_items=rc, chunk=chunk)
     rows = out.collect()
     status = {(r.organization_id, r.seq): (r.status, r.error) for r in rows if r.pos == 0}
     bal = {(r.organization_id, r.product_id): r.quantity for r in ledger.final_balances(out).collect()}
@@ -101,8 +101,8 @@ def test_already_logged_id_is_a_no_op(spark):
     assert bal[(1, 1)] == 4
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_batches_match_sequential_evaluation(spark, seed):
+@pytest.mark.parametrize("seed,chunk", [(1, 1 << 16), (2, 1 << 16), (3, 7), (4, 1)])
+def test_random_batches_match_sequential_evaluation(spark, seed, chunk):
     rnd = random.Random(seed)
     types = ["PURCHASE", "SALE", "DAMAGE", "ADJUSTMENT", "RETURN", "WASTE", "SALE", "SALE"]
     events = []
@@ -115,7 +115,7 @@ def test_random_batches_match_sequential_evaluation(spark, seed):
     recipes = [(1, 1, 2, 1, 1), (2, 1, 3, 2, 1), (3, 4, 3, 1, 2), (4, 6, 7, 3, 2), (5, 6, 2, 1, 1)]
     log_ids = [(1, "id5"), (2, "id7")]
     start = [(1, 3, 4), (2, 7, 10)]
-    status, bal = run(spark, events, recipes=recipes, log_ids=log_ids, start=start)
+    status, bal = run(spark, events, recipes=recipes, log_ids=log_ids, start=start, chunk=chunk)
     exp_status, exp_bal = apply_sequential(
         [dict(zip(["organization_id", "product_id", "event_id", "event_type", "quantity", "seq"], e)) for e in events],
         [dict(zip(["recipe_item_id", "finished_product_id", "component_product_id", "quantity", "organization_id"], r))
