@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockroom.operators import ingest, ledger, projection
+from stockroom.plans.ingest_oracle import INGEST_CTES, INGEST_VIEWS
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
 from stockroom.session import work_dir
@@ -124,14 +125,26 @@ def _ingest(spark, sf_dir):
     return ingest.ingest(rows, A.products(spark, sf_dir), log=log, start_state=state)
 
 
-@register("ingest_results")
+@register(
+    "ingest_results",
+    with_views("SELECT * FROM ingest_out", *INGEST_VIEWS, extra=INGEST_CTES, recursive=True),
+)
 def q_ingest_results(spark, sf_dir):
     # The planted-fault batch applied on top of the events log's current state.
     results, _ = _ingest(spark, sf_dir)
     return results
 
 
-@register("ingest_summary")
+@register(
+    "ingest_summary",
+    with_views(
+        "SELECT organization_id, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE status = 'success') AS rows_succeeded, "
+        "COUNT(*) FILTER (WHERE status = 'failed') AS rows_failed FROM ingest_out GROUP BY organization_id",
+        *INGEST_VIEWS,
+        extra=INGEST_CTES,
+        recursive=True,
+    ),
+)
 def q_ingest_summary(spark, sf_dir):
     results, _ = _ingest(spark, sf_dir)
     return ingest.summary(results)
