@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockroom.operators import ingest, ledger, projection
-from stockroom.plans.ingest_oracle import INGEST_CTES, INGEST_VIEWS
+from stockroom.plans.ingest_oracle import CASCADE_CTES, CASCADE_VIEWS, INGEST_CTES, INGEST_VIEWS
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
 from stockroom.session import work_dir
@@ -294,3 +294,36 @@ def q_ingest_new_state(spark, sf_dir):
     log = A.event_log(spark, sf_dir).select("organization_id", "product_id", "event_id", "event_type", "quantity")
     appended = log.unionByName(ledger.accepted_events(folded).drop("seq", "pos"))
     return projection.replay_state(appended)
+
+
+def _cascade_fold(spark, sf_dir):
+    raw = A.raw_events_e(spark, sf_dir)
+    events = raw.select(
+        "organization_id", "product_id", "event_id", "event_type", F.col("raw_quantity").alias("quantity"),
+        F.col("id").alias("seq"),
+    )
+    return ledger.apply_batch(events, recipe_items=A.recipe_items(spark, sf_dir))
+
+
+@register(
+    "cascade_results",
+    with_views(
+        "SELECT organization_id, product_id, event_id, event_type, seq, status, error FROM fold WHERE k > 0",
+        *CASCADE_VIEWS,
+        extra=CASCADE_CTES,
+        recursive=True,
+    ),
+)
+def q_cascade_results(spark, sf_dir):
+    # O3 per incoming row: a sale of a dish and its component sales succeed or fail together.
+    out = _cascade_fold(spark, sf_dir).filter(F.col("pos") == 0)
+    return out.select("organization_id", "product_id", "event_id", "event_type", "seq", "status", "error")
+
+
+@register(
+    "cascade_balances",
+    with_views("SELECT * FROM final", *CASCADE_VIEWS, extra=CASCADE_CTES, recursive=True),
+)
+def q_cascade_balances(spark, sf_dir):
+    # Final stock of every product the batch touched (dishes and components).
+    return ledger.final_balances(_cascade_fold(spark, sf_dir))
