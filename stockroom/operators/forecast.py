@@ -19,6 +19,7 @@ from stockroom import schemas as S
 
 SERIES = ["organization_id", "product_id"]
 Z95 = 1.96
+X_ORIGIN = "2000-01-01"
 
 
 def _series(features: DataFrame) -> DataFrame:
@@ -34,15 +35,16 @@ def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING
     One aggregation per (series, weekday) collects n, sums of x, y, x*y, x^2, y^2; the OLS
     trend, the weekday effects (mean residual per weekday) and the residual standard
     deviation all follow algebraically from that small table, so the features are scanned
-    and shuffled once. ``x`` is days since a global origin (a scalar subquery) to keep the
-    sums small; the intercept is reported at each series' first day.
+    and shuffled once. ``x`` is days since a fixed origin (OLS is shift invariant, and a
+    constant avoids a separate pass to find the data's first day); the intercept is reported
+    at each series' first day.
 
     Returns ``(models, weekday_effects, skipped)``: one row per trained series with
     ``slope, intercept, sigma, first_ds, last_ds, training_rows``; the mean residual per
     (series, weekday); and the series refused for having fewer than ``min_rows`` rows.
     """
     base = features.select(*SERIES, F.to_date("date").alias("ds"), F.col("units_sold").cast("double").alias("y"))
-    origin = base.agg(F.min("ds")).scalar()
+    origin = F.to_date(F.lit(X_ORIGIN))
     x, y = F.datediff("ds", origin).cast("double"), F.col("y")
     per_wd = base.groupBy(*SERIES, F.weekday("ds").alias("wd")).agg(
         F.count(F.lit(1)).alias("n"),
