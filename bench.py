@@ -40,13 +40,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    scratch = tempfile.mkdtemp(prefix="stockroom-bench-")
     spark = build_session(
         f"local[{cpus}]",
         app_name="stockroom-bench",
         shuffle_partitions=cpus * 2,
-        extra={"spark.checkpoint.dir": f"{scratch}/ckpt", "spark.driver.memory": "16g"},
+        extra={"spark.driver.memory": "16g"},
     )
+    # Intermediate tables go to the session's spark.checkpoint.dir; a private one only if unset.
+    if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stockroom-bench-"))
     # Steady-state timings: one untimed pass on the smallest tables warms the JVM (JIT,
     # codegen caches) and the Python workers used by the pandas-backed operators.
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

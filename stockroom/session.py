@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -51,8 +52,32 @@ def build_session(
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``stockroom`` importable in Python workers (pandas-backed operators pickle
+    references to its functions): zip the package on the driver and ``addPyFile`` it, once
+    per application, the same way ``--py-files`` distributes code to a cluster."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="stockroom-pyfiles-"), "stockroom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_session_defaults(spark: SparkSession) -> SparkSession:
-    """Pin UTC and switch on AQE for a session we did not build ourselves."""
+    """Pin UTC, switch on AQE and ship the package for a session we did not build ourselves."""
+    ship_package(spark)
     for k, v in PINNED.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
