@@ -48,7 +48,7 @@ def main() -> None:
     )
     # Intermediate tables go to the session's spark.checkpoint.dir; a private one only if unset.
     if not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stockroom-bench-"))
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stockroom-bench-"))
     # Steady-state timings: one untimed pass on the smallest tables warms the JVM (JIT,
     # codegen caches) and the Python workers used by the pandas-backed operators.
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

@@ -105,7 +105,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             return current
         root = tempfile.mkdtemp(prefix="stockroom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a core setting on some deployments; the context dir below suffices
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

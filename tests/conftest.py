@@ -17,6 +17,6 @@ def spark():
     s = build_session("local[4]", app_name="stockroom-tests", shuffle_partitions=4)
     # Use the shared folder the environment names; only a test run without one gets its own.
     if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stockroom-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stockroom-test-ckpt-"))
     yield s
     s.stop()
