@@ -35,7 +35,8 @@ LEFT JOIN (SELECT organization_id, map_from_entries(list(struct_pack(k := produc
            GROUP BY organization_id) s ON s.organization_id = o.organization_id"""
 
 FOLD = """SELECT organization_id, CAST(0 AS BIGINT) AS k, m, []::VARCHAR[] AS acc, CAST(NULL AS BIGINT) AS row_number,
-       CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS error
+       CAST(NULL AS VARCHAR) AS event_id, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS error,
+       false AS applied, CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS BIGINT) AS delta
 FROM start_map
 UNION ALL
 SELECT f.organization_id, g.k,
@@ -43,7 +44,8 @@ SELECT f.organization_id, g.k,
   CASE WHEN x.applied THEN list_append(f.acc, g.event_id) ELSE f.acc END,
   g.row_number, g.event_id,
   CASE WHEN x.dup OR x.applied THEN 'success' ELSE 'failed' END,
-  CASE WHEN x.dup OR x.applied THEN NULL WHEN g.sign_err IS NOT NULL THEN g.sign_err ELSE 'Insufficient inventory' END
+  CASE WHEN x.dup OR x.applied THEN NULL WHEN g.sign_err IS NOT NULL THEN g.sign_err ELSE 'Insufficient inventory' END,
+  x.applied, g.product_id, g.delta
 FROM fold f JOIN good g ON g.organization_id = f.organization_id AND g.k = f.k + 1,
 LATERAL (SELECT list_contains(f.acc, g.event_id) AS dup, COALESCE(f.m[g.product_id], 0) AS cur,
                 NOT list_contains(f.acc, g.event_id) AND g.sign_err IS NULL
@@ -53,6 +55,12 @@ OUT = """SELECT organization_id, row_number, event_id, 'failed' AS status, error
 UNION ALL
 SELECT organization_id, row_number, event_id, status, error FROM fold WHERE k > 0"""
 
+NEW_STATE = """SELECT organization_id, product_id, CAST(SUM(quantity) AS BIGINT) AS quantity FROM (
+  SELECT organization_id, product_id, quantity FROM event_log
+  UNION ALL
+  SELECT organization_id, product_id, delta FROM fold WHERE k > 0 AND applied) t
+GROUP BY organization_id, product_id"""
+
 INGEST_CTES = [("checked", CHECKED), ("good", GOOD), ("start_map", START_MAP), ("fold", FOLD), ("ingest_out", OUT)]
 INGEST_VIEWS = ("ingest_rows", "products", "event_log")
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockroom.operators import ingest, ledger, projection
-from stockroom.plans.ingest_oracle import CASCADE_CTES, CASCADE_VIEWS, INGEST_CTES, INGEST_VIEWS
+from stockroom.plans.ingest_oracle import CASCADE_CTES, CASCADE_VIEWS, INGEST_CTES, INGEST_VIEWS, NEW_STATE
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
 from stockroom.session import work_dir
@@ -286,7 +286,10 @@ def q_csv_batch_rows(spark, sf_dir):
     return batch.select("row_number", "sku", "event_type", "quantity", "event_id")
 
 
-@register("ingest_new_state")
+@register(
+    "ingest_new_state",
+    with_views("SELECT * FROM new_state", *INGEST_VIEWS, extra=INGEST_CTES + [("new_state", NEW_STATE)], recursive=True),
+)
 def q_ingest_new_state(spark, sf_dir):
     # U3 + projection update: the log plus the batch's newly accepted events, replayed, equals
     # the fold's final balances for every touched product (tested in tests/).
