@@ -39,12 +39,15 @@ KEY = ["organization_id", "event_id"]
 
 
 # ---- O5: interaction groups -------------------------------------------------------------------------
-def connected_groups(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Min-label propagation over undirected ``(organization_id, a, b)`` edges.
-
-    Returns ``(organization_id, product_id, group_id)`` for every product on an edge. Each
-    round is one join + one aggregation; each round's labels are written once to the shared
-    checkpoint folder, so the plan stays flat however many rounds run.
+def connected_groups(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """Connected components over undirected ``(organization_id, a, b)`` edges.
+
+    Each round takes the minimum label over a node's neighbours (one join + aggregation) and
+    then jumps pointers (a node adopts the label of its label, one more join), so labels
+    spread along long chains in about log2(diameter) rounds instead of one hop per round.
+    Each round's labels are written once to the shared checkpoint folder, so the plan stays
+    flat however many rounds run; the only value brought to the driver per round is whether
+    any label moved. Returns ``(organization_id, product_id, group_id)`` for every node.
     """
     both = edges.select("organization_id", F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
         edges.select("organization_id", F.col("b").alias("src"), F.col("a").alias("dst"))
@@ -58,13 +61,20 @@ def connected_groups(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             .agg(F.min("label").alias("nbr_label"))
             .withColumnRenamed("dst", "node")
         )
-        new = labels.join(nbr, ["organization_id", "node"], "left").select(
+        hop = labels.join(nbr, ["organization_id", "node"], "left").select(
             "organization_id",
             "node",
+            F.col("label").alias("old"),
             F.least("label", F.coalesce("nbr_label", "label")).alias("label"),
-            (F.col("nbr_label") < F.col("label")).alias("moved"),
         )
-        new = materialize(new, "group-labels")
+        parent = labels.select("organization_id", F.col("node").alias("label"), F.col("label").alias("grand"))
+        new = hop.join(parent, ["organization_id", "label"], "left").select(
+            "organization_id",
+            "node",
+            F.least("label", F.coalesce("grand", "label")).alias("label"),
+            "old",
+        )
+        new = materialize(new.withColumn("moved", F.col("label") < F.col("old")).drop("old"), "group-labels")
         moved = new.filter("moved").limit(1).count()
         labels = new.drop("moved")
         if moved == 0:

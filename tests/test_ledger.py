@@ -159,3 +159,10 @@ def test_fast_path_marks_clean_groups(spark):
     ).withColumn("group_id", F.col("product_id"))
     dirty = {r.product_id: r.dirty for r in ledger.fold_fast(rows).collect()}
     assert dirty == {1: False, 2: True}
+
+
+def test_groups_on_a_long_chain_converge_quickly(spark):
+    n = 300
+    edges = spark.createDataFrame([(1, i, i + 1) for i in range(n)], "organization_id int, a long, b long")
+    g = ledger.connected_groups(edges, max_rounds=15)
+    assert g.count() == n + 1 and {r.group_id for r in g.collect()} == {0}
