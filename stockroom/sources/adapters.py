@@ -164,13 +164,15 @@ def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recipe_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-level BOM: groups of six products, components may be shared by two dishes.
 
-    The three recipe slots are a fixed 3-row literal (broadcast, size known).
+    Each dish row fans out to its (at most three) recipe slots with ``explode`` of a fixed
+    array: a generator over the scan, no join.
     """
     p = read_table(spark, sf_dir, "part").select("p_partkey")
     p = p.filter(F.col("p_partkey") % 25 < 5)
-    slots = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     k, pk = F.col("k"), F.col("p_partkey")
-    rows = p.join(F.broadcast(slots), (k < 3) | (pk % 50 >= 25), "inner")
+    rows = p.select("p_partkey", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("k")).filter(
+        (k < 3) | (pk % 50 >= 25)
+    )
     offset = F.when(k == 1, 5).when(k == 2, 10).otherwise(-15)
     qty = F.when(k == 1, (pk % 3 + 1).cast("int")).when(k == 2, 2).otherwise(1).cast("int")
     return rows.select(

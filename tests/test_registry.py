@@ -1,6 +1,9 @@
 """Every registered query runs on the smallest driver tables, and the cheap ones agree with
 their DuckDB oracle there (the full sf0.01 comparison is scripts/oracle_check.py)."""
 
+import contextlib
+import io
+
 import duckdb
 import pytest
 
@@ -13,6 +16,15 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
+def assert_no_pair_joins(df):
+    """Scale guard: no plan may pair all rows of two inputs."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, plan
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -36,6 +48,7 @@ def test_every_query_has_a_unique_name_and_most_have_an_oracle():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle_on_smallest_tables(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
+    assert_no_pair_joins(df)
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
@@ -47,4 +60,6 @@ def test_query_matches_oracle_on_smallest_tables(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() > 0
+    df = QUERIES[name](spark, SF_SMALL)
+    assert_no_pair_joins(df)
+    assert df.count() > 0
