@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stockroom import schemas as S
 from stockroom.operators import ledger
+from stockroom.session import materialize
 
 _INT_TEXT = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
 
@@ -69,7 +70,8 @@ def ingest(
     ``rows``: organization_id, row_number (1-based arrival order), sku, event_type, quantity
     (text), event_id (text). Rows failing validation or SKU lookup never reach the fold.
     """
-    checked = resolve_sku(validate(rows), products)
+    # The validated batch feeds the fold, the failures and the result assembly: write it once.
+    checked = materialize(resolve_sku(validate(rows), products), "ingest-checked")
     good = checked.filter(F.col("error").isNull()).select(
         "organization_id",
         "product_id",
@@ -80,18 +82,13 @@ def ingest(
     )
     log_ids = None if log is None else log.select(*ledger.KEY)
     folded = ledger.apply_batch(good, log_ids=log_ids, start_state=start_state, recipe_items=recipe_items)
-    leaders = folded.filter(F.col("pos") == 0).select(
-        "organization_id",
-        F.col("seq").alias("row_number"),
-        "status",
-        F.col("error").alias("fold_error"),
+    # Leader rows (pos 0) are the batch rows that reached the fold; they carry the raw id.
+    ok = folded.filter(F.col("pos") == 0).select(
+        "organization_id", F.col("seq").alias("row_number"), "event_id", "status", "error"
     )
     bad = checked.filter(F.col("error").isNotNull()).select(
         "organization_id", "row_number", "event_id", F.lit("failed").alias("status"), "error"
     )
-    ok = checked.filter(F.col("error").isNull()).select("organization_id", "row_number", "event_id").join(
-        leaders, ["organization_id", "row_number"], "inner"
-    ).select("organization_id", "row_number", "event_id", "status", F.col("fold_error").alias("error"))
     return bad.unionByName(ok), folded
 
 
