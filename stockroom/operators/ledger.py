@@ -227,8 +227,9 @@ def fold_fast(rows: DataFrame, cascades: bool = True, by_product: bool = False,
     ).drop("_chunk", "_local", "_offset")
     bad = F.col("effective") & F.col("guarded") & (F.col("running") < 0)
     gkey = ["organization_id", "product_id" if by_product else "group_id"]
-    flags = r.groupBy(*gkey).agg((F.max(bad.cast("int")) == 1).alias("dirty"))
-    return r.join(flags, gkey, "inner")
+    # ``cut``: arrival number of the group's first unit that may be refused (NULL = clean).
+    flags = r.groupBy(*gkey).agg(F.min(F.when(bad, F.col("seq"))).alias("cut"))
+    return r.join(flags, gkey, "inner").withColumn("dirty", F.col("cut").isNotNull())
 
 
 def clean_results(r: DataFrame) -> DataFrame:
@@ -309,7 +310,7 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         serr = df["sign_error"].to_numpy()
         in_log = df["in_log"].to_numpy()
         rep = df["repeated"].to_numpy()
-        start = df["start_balance"].to_numpy()
+        start = df["fold_start"].to_numpy()
         status = [None] * n
         error = [None] * n
         applied = [False] * n
@@ -362,7 +363,7 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         status[k] = "failed" if k == i else "skipped"
                     error[i] = S.MSG_INSUFFICIENT
             i = j
-        out = df.copy()
+        out = df.drop(columns=["fold_start"])
         out["status"] = status
         out["error"] = error
         out["applied"] = applied
@@ -387,7 +388,9 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fold_slow(rows: DataFrame) -> DataFrame:
-    keyed = rows.select(*FOLD_IN_COLS).repartition("organization_id", "group_id").sortWithinPartitions(
+    """Sequential fold of the rows from each dirty group's cut on; ``fold_start`` is each
+    product's balance at the cut."""
+    keyed = rows.select(*FOLD_IN_COLS, "fold_start").repartition("organization_id", "group_id").sortWithinPartitions(
         "organization_id", "group_id", "seq", "pos"
     )
     return keyed.mapInPandas(_fold_stream, FOLD_OUT)
@@ -435,8 +438,20 @@ def apply_batch(
         fold_fast(rows, cascades=recipe_items is not None, by_product=by_product, chunk=chunk),
         "fold-judged",
     )
-    clean = clean_results(judged.filter(~F.col("dirty")))
-    slow = fold_slow(judged.filter(F.col("dirty")))
+    # Before a group's cut nothing has been refused yet, so those rows (all rows of clean
+    # groups) are finished by the prefix-sum results; only the suffix is folded in order.
+    before = F.col("cut").isNull() | (F.col("seq") < F.col("cut"))
+    clean = clean_results(judged.filter(before))
+    accepted_before = judged.filter(F.col("cut").isNotNull() & (F.col("seq") < F.col("cut")) & F.col("effective"))
+    pre = accepted_before.groupBy("organization_id", "product_id").agg(F.sum("delta").alias("_pre"))
+    suffix = judged.filter(~before).join(pre, ["organization_id", "product_id"], "left").withColumn(
+        "fold_start", F.col("start_balance") + F.coalesce("_pre", F.lit(0))
+    )
+    if not unique_ids:
+        # ids recorded before the cut are no-ops when they repeat after it
+        done = accepted_before.select(*KEY).distinct().withColumn("_done", F.lit(True))
+        suffix = suffix.join(done, KEY, "left").withColumn("in_log", F.col("in_log") | F.coalesce("_done", F.lit(False)))
+    slow = fold_slow(suffix)
     return clean.unionByName(slow)
 
 
