@@ -2,18 +2,27 @@
 
 The reference mutates rows one request at a time; here a whole batch of requests is judged
 with joins against the snapshot, a ``when`` chain of refusal reasons in the reference's
-check order, and ``row_number`` where the first request in arrival order wins. New rows get
+check order, and a per-key minimum request id where the first request in arrival order wins. New rows get
 ``max(id) + change_id`` (a scalar subquery, no global numbering pass).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroom import schemas as S
 
 
+def _first_wins(changes: DataFrame, key: list[str], where: Column | None = None) -> DataFrame:
+    """``_first``: whether a request is the earliest (by ``change_id``) of its key. An
+    aggregation joined back, so a key repeated on very many requests is not one task."""
+    cand = changes if where is None else changes.filter(where)
+    first = cand.groupBy(*key).agg(F.min("change_id").alias("_first_id"))
+    out = changes.join(first, key, "left")
+    return out.withColumn("_first", F.coalesce(F.col("change_id") == F.col("_first_id"), F.lit(True))).drop("_first_id")
+
+
 def _results(judged: DataFrame, ok_status: str, *cols: str) -> DataFrame:
     return judged.select(
         *cols,
@@ -26,8 +35,7 @@ def product_inserts(snapshot: DataFrame, changes: DataFrame) -> tuple[DataFrame,
     """Insert products; a duplicate ``(org, sku)`` (existing, or earlier in the batch) is
     refused. ``changes``: change_id, organization_id, sku, name, unit."""
     existing = snapshot.select("organization_id", "sku").distinct().withColumn("_exists", F.lit(True))
-    first = F.row_number().over(Window.partitionBy("organization_id", "sku").orderBy("change_id")) == 1
-    j = changes.join(existing, ["organization_id", "sku"], "left").withColumn("_first", first)
+    j = _first_wins(changes, ["organization_id", "sku"]).join(existing, ["organization_id", "sku"], "left")
     err = F.when(
         F.col("_exists").isNotNull() | ~F.col("_first"),
         F.concat(F.lit(S.MSG_DUPLICATE_SKU.replace("{sku}", "")), F.col("sku")),
@@ -75,19 +83,13 @@ def recipe_changes(snapshot: DataFrame, products: DataFrame, changes: DataFrame)
         .join(items, ["organization_id", "recipe_item_id"], "left")
     )
     ins = F.col("op") == "insert"
-    first_pair = (
-        F.row_number().over(
-            Window.partitionBy("organization_id", "finished_product_id", "component_product_id", "op").orderBy("change_id")
-        )
-        == 1
-    )
     dup_text = F.format_string(
         "Recipe item already exists for finished product %d and component product %d",
         F.col("finished_product_id"),
         F.col("component_product_id"),
     )
     not_found: Column = F.concat(F.lit("Product "), F.col("_missing").cast("string"), F.lit(" not found"))
-    j = j.withColumn("_first", first_pair).withColumn(
+    j = _first_wins(j, ["organization_id", "finished_product_id", "component_product_id"], ins).withColumn(
         "_missing", F.when(F.col("_dish").isNull(), F.col("finished_product_id")).otherwise(F.col("component_product_id"))
     )
     err = (
