@@ -125,10 +125,26 @@ def dq_report(
     return reduce(DataFrame.unionByName, rows)
 
 
+def occurrence_numbers(df: DataFrame, key: list[str], order: list[str], bucket: Column) -> DataFrame:
+    """``occurrence`` = 1, 2, ... within each key in ``order``, without sending a key's rows
+    to one task. ``bucket`` must be monotone in ``order`` (e.g. the day of the leading
+    timestamp): rows are numbered inside each (key, bucket), and each bucket adds the counts
+    of the key's earlier buckets (a window over one row per (key, bucket)). Deterministic:
+    no sampling, no partition ids."""
+    b = df.withColumn("_bucket", bucket)
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*key, "_bucket").orderBy(*order)))
+    counts = b.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return local.join(offsets, [*key, "_bucket"], "inner").withColumn(
+        "occurrence", (F.col("_offset") + F.col("_local")).cast("int")
+    ).drop("_bucket", "_local", "_offset")
+
+
 def duplicate_flags(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Second and later occurrences of a key, with their occurrence number."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("occurrence", F.row_number().over(w)).filter(F.col("occurrence") > 1)
+    """Second and later occurrences of a key, with their occurrence number. The leading
+    order column is a timestamp; its day buckets the numbering (see ``occurrence_numbers``)."""
+    return occurrence_numbers(df, key, order, F.to_date(F.col(order[0]))).filter(F.col("occurrence") > 1)
 
 
 def export_validation(

@@ -69,3 +69,15 @@ def test_orphans_skip_null_keys(spark):
     child = spark.createDataFrame([(1, 5), (None, 6), (2, 7)], "organization_id int, product_id long")
     parent = spark.createDataFrame([(1, 5)], "organization_id int, product_id long")
     assert quality.orphans(child, parent, ["organization_id", "product_id"]).count() == 1
+
+
+def test_occurrence_numbers_for_a_hot_key(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [(1 if i % 10 else i, t0 + dt.timedelta(hours=i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, t timestamp")
+    r = quality.occurrence_numbers(df, ["k"], ["t"], F.to_date("t")).filter("k = 1").orderBy("t").collect()
+    assert [x.occurrence for x in r] == list(range(1, len(r) + 1))
