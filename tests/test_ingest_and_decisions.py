@@ -3,7 +3,6 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from stockroom import schemas as S
 from stockroom.operators import forecast as FC
@@ -169,4 +168,3 @@ def test_ingest_second_time_adds_nothing(spark):
     res2, folded2 = ingest.ingest(rows, prods, log=first_log)
     assert ledger.accepted_events(folded2).count() == 0
     assert {r.status for r in res2.collect()} == {"success"}
-    _ = F

@@ -63,3 +63,21 @@ def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert_no_pair_joins(df)
     assert df.count() > 0
+
+
+def _formatted_plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_scans_are_pruned_and_filters_pushed(spark):
+    plan = _formatted_plan(QUERIES["daily_delta"](spark, SF_SMALL))
+    schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert schemas and not any("props" in line for line in schemas)  # unused events column
+    assert "ReadSchema: struct<p_partkey:bigint>" in schemas
+    assert "PushedFilters: [IsNotNull(user_id)]" in plan
+    plan = _formatted_plan(QUERIES["replay_state_lineitem"](spark, SF_SMALL))
+    schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    assert len(schemas) == 1 and "l_extendedprice" not in schemas[0] and "l_orderkey" not in schemas[0]
