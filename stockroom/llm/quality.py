@@ -21,7 +21,7 @@ from stockroom.llm.arrowtext import text_chunks
 
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
-THRESHOLD = -0.35
+THRESHOLD = -0.25
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MICRO = 1_000_000

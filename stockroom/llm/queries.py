@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stockroom.llm import mixing, oracle, quality, sharding, warc
+from stockroom.llm import bpe, mixing, oracle, quality, sharding, warc
 from stockroom.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +31,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(bpe.encode_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op2_quality_rules, op3_warc, op7_sharding, op8_mixing)
+    f.__name__: f for f in (op2_quality_rules, op3_warc, op7_sharding, op8_mixing, op9_bpe)
 }
 ORACLE: dict[str, str] = oracle.SQL
