@@ -121,7 +121,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: in
     span = F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))
     pieces = placed.select("doc_id", "size", "key", "start", F.explode(span).alias("block"))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
-    until = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words"))
+    until = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.coalesce("words", F.lit(0)))
     used = pieces.join(use.select("key", "block", "words"), ["key", "block"], "left")
     got = F.coalesce(F.greatest(until - first, F.lit(0)), F.lit(0))
     taken = used.groupBy("doc_id", "size", "key", "start").agg(F.sum(got).alias("taken")).drop("start")

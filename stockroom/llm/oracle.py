@@ -1,3 +1,170 @@
 """DuckDB SQL with the same rows as the registered queries, written from their contracts."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from stockroom.llm import licenses, quality
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP2 = rf"""
+with picked as (
+    select doc_id from labels where doc_id is not null group by doc_id
+    having min((quality = 1 and coalesce(toxic, 0) = 0)::int) = 1
+    order by md5(doc_id::varchar), doc_id limit {quality.TARGET_ROWS}),
+docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+words as (
+    select r, unnest(w) as word, generate_subscripts(w, 1) as spot
+    from (select r, regexp_extract_all(text, '{_WORD}') as w from docs)),
+known as (select word, md5_number_upper(word) % 4294967296 as low from (select distinct word from words)),
+line as (
+    select r, spot, word, low, lead(low) over d as following,
+           lead(word) over d as w2, lead(word, 2) over d as w3, lead(word, 3) over d as w4, lead(word, 4) over d as w5
+    from words join known using (word) window d as (partition by r order by spot)),
+found as (
+    select r, (low % {quality.BUCKETS})::bigint as bucket from line
+    union all select r, ((low::hugeint * 31 + following::hugeint) % {quality.BUCKETS})::bigint from line where following is not null),
+counted as (
+    select bucket, count(*) as n_raw, count(*) filter (doc_id in (select doc_id from picked)) as n_good
+    from found join docs using (r) group by bucket),
+sums as (select sum(n_raw) + {quality.BUCKETS} as all_raw, sum(n_good) + {quality.BUCKETS} as all_good, sum(n_good) as any_good from counted),
+ratio as (
+    select bucket, case when any_good = 0 then 0 else
+        floor(ln((n_good + 1) * all_raw::double / ((n_raw + 1) * all_good::double)) * 1000000 + 0.5) end::bigint as micro
+    from counted, sums),
+scores as (select r, count(*) as n_features, sum(micro) as score_micro from found join ratio using (bucket) group by r),
+spots as (select r, spot, count(*) over (partition by r, word, w2, w3, w4, w5) as times from line where w5 is not null),
+hit as (select distinct r, spot + k as spot from spots, (select unnest([0, 1, 2, 3, 4]) as k) where times > 1),
+repeats as (select r, count(*) as n from hit group by r),
+lines as (
+    select r, count(*) - count(distinct l) as n
+    from (select r, unnest(string_split(text, chr(10))) as l from docs) where regexp_matches(l, '{_WORD}') group by r),
+sizes as (select r, count(*) as n, sum(length(word)) as chars from words group by r),
+base as (
+    select r, doc_id, coalesce(s.n, 0) as n_words, coalesce(s.chars, 0) as word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           coalesce(l.n, 0) as n_dup_lines, coalesce(p.n, 0) as n_repeat_words,
+           coalesce(c.n_features, 0) as n_features, coalesce(c.score_micro, 0) as score_micro
+    from docs left join sizes s using (r) left join lines l using (r) left join repeats p using (r) left join scores c using (r)),
+judged as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from base)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+       n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+       not base_failed and score_micro >= {int(quality.THRESHOLD * quality.MICRO)} * n_features as kept,
+       n_features::bigint as n_features, score_micro::bigint as score_micro
+from judged
+"""
+
+OP3 = """
+with rows as (select page_id, encode(coalesce(html, '')) as payload from pages),
+hashed as (select page_id, octet_length(payload) as n, sha1(payload) as hex from rows),
+firsts as (select hex, min(page_id) as first from hashed group by hex),
+fives as (
+    select hex, i, ('0x' || substr(hex, i * 5 + 1, 5))::int as v
+    from (select distinct hex from hashed), (select unnest(range(8)) as i)),
+text as (
+    select hex, string_agg(
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 15) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 10) % 32 + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 5) % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1), '' order by i) as digest
+    from fives group by hex)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+       case when first is not distinct from page_id or first is null then 'response' else 'revisit' end as record_type,
+       case when first is distinct from page_id then first end as refers_to
+from hashed join firsts using (hex) join text using (hex)
+"""
+
+
+def _templates() -> str:
+    kinds = [(text, label, True) for text, label in licenses.PHRASES] + [(text, label, False) for text, label in licenses.TEMPLATES]
+    return ", ".join(f"({i}, '{text}', '{label}', {base})" for i, (text, label, base) in enumerate(kinds))
+
+
+OP4 = rf"""
+with docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as said
+    from documents),
+spoken as (select r, unnest(said) as word, generate_subscripts(said, 1) - 1 as spot from docs),
+trios as (select r, spot, word as w1, lead(word) over d as w2, lead(word, 2) over d as w3 from spoken window d as (partition by r order by spot)),
+templates (template, wording, label, base) as (values {_templates()}),
+parts as (select template, label, base, string_split(wording, ' ') as said from templates),
+asked as (select template, label, base, len(said) as length, unnest(said) as word, generate_subscripts(said, 1) - 1 as place from parts),
+grams as (
+    select template, label, base, length, place, word as w1, lead(word) over d as w2, lead(word, 2) over d as w3
+    from asked window d as (partition by template order by place)),
+hits as (select r, template, label, base, length, spot - place as diagonal, place, spot from trios join grams using (w1, w2, w3)),
+diagonals as (
+    select r, template, label, base, length, diagonal, base and count(*) = length - 2 as exact,
+           diagonal - lag(diagonal) over (partition by r, template order by diagonal) > {licenses.NEAR} as apart
+    from hits group by r, template, label, base, length, diagonal),
+spans as (
+    select *, coalesce(sum(apart::int) over (partition by r, template order by diagonal), 0) as span from diagonals),
+covers as (
+    select s.r, s.template, s.label, s.length, s.span, count(distinct h.place + k) / s.length as share,
+           max(h.spot) + 3 - min(h.spot) as stretch
+    from spans s join hits h using (r, template, diagonal), (select unnest([0, 1, 2]) as k) where not s.base
+    group by s.r, s.template, s.label, s.length, s.span),
+found as (
+    select r, label, true as base, 1.0::double as share from diagonals where exact
+    union all
+    select r, label, false, share from covers where share >= {licenses.COVER} and stretch <= length * {licenses.STRETCH}),
+named as (
+    select r, string_agg(distinct label, ',' order by label) as labels, coalesce(string_agg(distinct label, ',' order by label) filter (base), '') as base_labels,
+           max(share) as score
+    from found group by r),
+exacts as (select r, count(*) as n, min(diagonal) as first, max(diagonal) as last from diagonals where exact group by r)
+select doc_id, len(said)::bigint as n_words, coalesce(n, 0)::bigint as n_base, first::bigint as first_word, last::bigint as last_word,
+       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from docs left join exacts using (r) left join named using (r)
+"""
+
+OP6 = rf"""
+with docs as (select distinct doc_id, text, md5(text) as m, string_split(text, chr(10)) as l from documents),
+lines as (select doc_id, m, unnest(l) as line, generate_subscripts(l, 1) - 1 as spot from docs),
+said as (select * from lines where regexp_matches(line, '[^\x20\x09-\x0D]')),
+trios as (
+    select doc_id, m, spot as first_line, lead(spot, 2) over d as last_line, line as w1, lead(line) over d as w2, lead(line, 2) over d as w3
+    from said window d as (partition by doc_id, m order by spot)),
+ranked as (
+    select *, row_number() over (partition by w1, w2, w3 order by doc_id nulls first, m, first_line) as nth from trios where last_line is not null),
+gone as (select distinct doc_id, m, unnest(range(first_line, last_line + 1)) as spot from ranked where nth > 1),
+kept as (
+    select l.doc_id, l.m, count(*) as n_lines, count(g.spot) as n_removed,
+           coalesce(string_agg(l.line, chr(10) order by l.spot) filter (g.spot is null), '') as text
+    from lines l left join gone g on l.doc_id is not distinct from g.doc_id and l.m = g.m and l.spot = g.spot group by l.doc_id, l.m)
+select d.doc_id, k.text, coalesce(k.n_lines, 0)::bigint as n_lines, coalesce(k.n_removed, 0)::bigint as n_removed
+from documents d left join kept k on d.doc_id is not distinct from k.doc_id and md5(d.text) = k.m
+"""
+
+OP8 = rf"""
+with docs as (
+    select doc_id, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::bigint as size, case when source is null then '1' else '0' || source end as key,
+           md5('0:' || coalesce(doc_id::varchar, 'null')) as ord
+    from documents),
+sources as (
+    select key, sum(size)::bigint as source_size, 3 * sum(size)::bigint as cap,
+           list_extract([5, 2, 1], ((row_number() over (order by key) - 1) % 3 + 1)::int)::bigint as w
+    from docs group by key),
+sorted as (
+    select *, sum(cap) over c as caps, sum(w) over c as ws, sum(source_size) over () as total, sum(w) over () as weights
+    from sources window c as (order by cap / w, key rows unbounded preceding)),
+tried as (select *, (total - caps + cap)::double / (weights - ws + w)::double as level from sorted),
+leveled as (select min_by(level, (cap / w, key)) filter (cap / w >= level) as level from tried),
+targets as (
+    select key, source_size, case when t.cap / t.w >= t.level then t.w * l.level else t.cap::double end as target
+    from tried t, leveled l),
+placed as (
+    select d.doc_id, d.size, t.source_size, t.target, round(t.target)::bigint as quota,
+           coalesce(sum(d.size) over (partition by key order by ord, doc_id, size rows between unbounded preceding and 1 preceding), 0) as start
+    from docs d join targets t using (key))
+select doc_id, size, source_size, target,
+       (case when source_size = 0 then 0 else
+           (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) end)::bigint as taken
+from placed
+"""
+
+SQL: dict[str, str] = {
+    "op2_quality_rules": OP2,
+    "op3_warc": OP3,
+    "op4_licenses": OP4,
+    "op6_line_dedup": OP6,
+    "op8_mixing": OP8,
+}

@@ -28,6 +28,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 RECORD_DATE = "2024-01-01T00:00:00Z"
 _ID = re.compile(r"<urn:x-page:(-?\d*)>")
 
+#: Tasks of a read; with more byte ranges than this, tasks take several one after another.
+MOST_TASKS = 20_000
+
 WRITTEN = "path string, length long, records long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -199,7 +202,8 @@ def read_warc(files: DataFrame, split_bytes: int = 8 << 20) -> DataFrame:
     ranges of ``split_bytes`` that tasks take independently."""
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long")))
     splits = files.where("length > 0").select("path", "length", starts.alias("start"))
-    splits = splits.repartition(F.col("path"), F.col("start"))
+    n_splits = files.agg(F.sum(F.ceil(F.col("length") / split_bytes))).first()[0] or 1
+    splits = splits.repartition(min(int(n_splits), MOST_TASKS), F.col("path"), F.col("start"))
     kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
