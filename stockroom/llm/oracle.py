@@ -116,6 +116,27 @@ select doc_id, len(said)::bigint as n_words, coalesce(n, 0)::bigint as n_base, f
 from docs left join exacts using (r) left join named using (r)
 """
 
+OP5 = rf"""
+with recursive docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '{_WORD}') as said
+    from documents),
+spoken as (select r, unnest(said) as word, generate_subscripts(said, 1) as spot from docs),
+five as (
+    select r, concat_ws(' ', word, lead(word) over d, lead(word, 2) over d, lead(word, 3) over d, lead(word, 4) over d) as shingle, spot, count(*) over (partition by r) as n
+    from spoken window d as (partition by r order by spot)),
+sets as (select distinct r, shingle from five where spot <= greatest(n - 4, 1)),
+sizes as (select r, count(*) as n from sets group by r),
+pairs as (select a.r as a, b.r as b, count(*) as n from sets a join sets b using (shingle) where a.r < b.r group by a.r, b.r),
+links as (
+    select a, b from pairs join sizes sa on sa.r = a join sizes sb on sb.r = b where 100 * pairs.n >= 75 * (sa.n + sb.n - pairs.n)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select a as r, b as o from edges union select reach.r, edges.b from reach join edges on edges.a = reach.o),
+least as (select reach.r, min(d.doc_id) as first from reach join docs d on d.r = reach.o group by reach.r)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(l.first, d.doc_id)) as component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.first, d.doc_id)) as kept
+from docs d left join sizes s using (r) left join least l using (r)
+"""
+
 OP6 = rf"""
 with docs as (select distinct doc_id, text, md5(text) as m, string_split(text, chr(10)) as l from documents),
 lines as (select doc_id, m, unnest(l) as line, generate_subscripts(l, 1) - 1 as spot from docs),
@@ -165,6 +186,7 @@ SQL: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op3_warc": OP3,
     "op4_licenses": OP4,
+    "op5_minhash": OP5,
     "op6_line_dedup": OP6,
     "op8_mixing": OP8,
 }

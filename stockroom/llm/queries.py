@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bpe, licenses, lines, mixing, oracle, quality, sharding, warc
+from stockroom.llm import bpe, licenses, lines, minhash, mixing, oracle, quality, sharding, warc
 from stockroom.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs)
@@ -46,6 +50,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op2_quality_rules, op3_warc, op4_licenses, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe)
+    f.__name__: f for f in (op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe)
 }
 ORACLE: dict[str, str] = oracle.SQL
