@@ -182,6 +182,28 @@ select doc_id, size, source_size, target,
 from placed
 """
 
+OP10 = """
+with recursive good as (
+    select row_number() over () as r, vec_id, label, embedding::double[] as x
+    from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+      and len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links as (
+    select a.r as a, b.r as b from good a join good b on a.label = b.label and len(a.x) = len(b.x) and a.r <> b.r
+    where list_cosine_similarity(a.x, b.x) >= 0.93),
+reach as (select a as r, b as o from links union select reach.r, links.b from reach join links on links.a = reach.o),
+first as (select reach.r, min(g.vec_id) as first from reach join good g on g.r = reach.o group by reach.r),
+numbers as (select a as r, count(*) as n from links group by a),
+found as (
+    select g.vec_id, coalesce(n, 0)::bigint as n_links, least(g.vec_id, coalesce(first, g.vec_id)) as component_id
+    from good g left join numbers using (r) left join first using (r)
+    union all
+    select vec_id, 0, vec_id from embeddings
+    where not coalesce(label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+      and len(list_filter(embedding, lambda v: v <> 0)) > 0, false))
+select *, vec_id = component_id as kept from found
+"""
+
 SQL: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op3_warc": OP3,
@@ -189,4 +211,5 @@ SQL: dict[str, str] = {
     "op5_minhash": OP5,
     "op6_line_dedup": OP6,
     "op8_mixing": OP8,
+    "op10_embeddings": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bpe, licenses, lines, minhash, mixing, oracle, quality, sharding, warc
+from stockroom.llm import bpe, embeddings, licenses, lines, minhash, mixing, oracle, quality, sharding, warc
 from stockroom.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe)
+    f.__name__: f for f in (op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe, op10_embeddings)
 }
 ORACLE: dict[str, str] = oracle.SQL
