@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bpe, embeddings, licenses, lines, minhash, mixing, oracle, quality, sharding, warc
+from stockroom.llm import bpe, embeddings, licenses, lines, minhash, mixing, oracle, quality, sharding, suffixes, warc
 from stockroom.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return quality.score_documents(docs, labels)
@@ -54,6 +58,6 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe, op10_embeddings)
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe, op10_embeddings)
 }
 ORACLE: dict[str, str] = oracle.SQL
