@@ -66,3 +66,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     }
     out = joined.select(*[(fresh if c == "text" else F.col(c)).alias(c) for c in rows.columns], *[v.alias(k) for k, v in made.items()])
     return out
+
+
+def without_later_lines(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` after ``dedup_lines``, ``n_chars`` kept true if there is one;
+    a document that loses its last word goes."""
+    fresh = dedup_lines(docs)
+    left = fresh.where((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD))
+    chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
+    return left.select(*[(chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns])

@@ -128,3 +128,15 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: in
     empty = rows.where("size = 0").select("doc_id", "size", "key", F.lit(0).cast("long").alias("taken"))
     out = taken.unionByName(empty).join(targets, "key")
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def draw_mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix_documents`` takes its document, with all their
+    columns: not at all if nothing of it is taken, and the document on which a source's quota ends
+    whole. Rows with equal ids share the copies of all of them, rounded up."""
+    mixed = mix_documents(docs, **options)
+    times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
+    copies = mixed.groupBy("doc_id").agg(F.ceil(F.sum(times) / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
+    copies = copies.withColumnRenamed("doc_id", "_id")
+    joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[joined[c] for c in docs.columns])
