@@ -79,6 +79,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = 256 << 20) -> Da
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = open_store(folder)
+        store.create_dir(top, recursive=True)
         out, done = None, []
         length = records = 0
 
