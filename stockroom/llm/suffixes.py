@@ -376,14 +376,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     held = materialize(repeated_guides(rows.select("doc", "text")), "guides")
     n_shards = max(1, held.count() * 190 // SHARD_BYTES)
     lists = held.groupBy("doc").agg(F.collect_list(F.struct("guide", "shards")).alias("guides"))
-    listed = rows.join(lists, "doc", "left").select("doc_id", "doc", "text", "guides")
+    # both sides of the text joins grow with the input, so neither is to be broadcast at any size
+    listed = rows.hint("merge").join(lists, "doc", "left").select("doc_id", "doc", "text", "guides")
     salt = F.when(F.col("shards") > 1, F.pmod(F.xxhash64("doc"), F.col("shards"))).otherwise(F.lit(0))
     pieces = repeated_pieces(listed).withColumn("shard", F.pmod(F.xxhash64("guide", salt), F.lit(n_shards)))
     settled = pieces.groupBy("shard").applyInArrow(settle_shard, SPANS)
     route = F.pmod(F.when(F.col("window").isNull(), F.xxhash64("doc")).otherwise(F.xxhash64("window")), F.lit(n_shards))
     spans = settled.withColumn("route", route).groupBy("route").applyInArrow(lambda t: merge_shards(t.drop(["route"])), SPANS)
     by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    return cut_texts(rows.join(by_doc, "doc", "left").select("doc_id", "doc", "text", "spans"))
+    return cut_texts(rows.hint("merge").join(by_doc, "doc", "left").select("doc_id", "doc", "text", "spans"))
 
 
 def digests(removed: DataFrame) -> DataFrame:
