@@ -95,34 +95,24 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a distributed file system path). Only when it is unset,
-    as in local tests, we create one under the system temp folder and register it.
+    On a cluster it must be set, since a folder of one machine is not seen by the others. Only a
+    local session without it (as in tests) gets one under the system temp folder.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="stockroom-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # a core setting on some deployments; the context dir below suffices
-            pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for written intermediate tables."""
-    root = checkpoint_root(spark).rstrip("/")
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = f"{root}/stockroom-work/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh path under the shared checkpoint root for written intermediate tables; it is a URI
+    of whatever file system the root is on, and its writer makes it."""
+    return f"{checkpoint_root(spark).rstrip('/')}/stockroom-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,17 +28,26 @@ def log_stream(spark: SparkSession, path: str, schema: T.StructType = S.EVENT_LO
     return r.parquet(path)
 
 
-def _run(writer, available_now: bool = True, timeout_s: int = 600):
-    q = (writer.trigger(availableNow=True) if available_now else writer).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming run did not finish")
-    if q.exception() is not None:
-        raise q.exception()
+def _run(writer, available_now: bool = True):
+    """Start a job. A catch-up run (``available_now``) is waited for, however long it takes, and
+    raises what the query failed with; otherwise the running query is handed to the caller."""
+    if not available_now:
+        return writer.start()
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
     return q
 
 
+def _replace_batch(out: str):
+    """A ``foreachBatch`` sink that survives a retry: a micro-batch owns one ``batch_id`` folder of
+    the upsert log and overwrites it, so a batch that is run again replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
 # ---- T1: continuous lake export ------------------------------------------------------------------------------------
 def export_stream(stream: DataFrame, root: str, checkpoint: str, available_now: bool = True):
     """S4 as a stream: append new log rows to the partitioned lake; the checkpoint replaces
@@ -64,14 +74,10 @@ def dedup_stream(stream: DataFrame, out: str, checkpoint: str, horizon: str = "7
 
 # ---- T3: streaming projection -----------------------------------------------------------------------------------------------
 def projection_stream(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True):
-    """A1 as a stream: per-product sums in update mode; every micro-batch appends its changed
-    rows with the batch id, and readers take the newest row per product."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
-
+    """A1 as a stream: per-product sums in update mode; every micro-batch writes its changed
+    rows under its batch id, and readers take the newest row per product."""
     agg = stream.groupBy("organization_id", "product_id").agg(F.sum("quantity").alias("quantity"))
-    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(_replace_batch(out))
     return _run(w, available_now)
 
 
@@ -82,22 +88,24 @@ def latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
     return df.join(newest, [*keys, "batch_id"]).drop("batch_id")
 
 
+def compact(spark: SparkSession, out: str, keys: list[str], into: str) -> None:
+    """Write the newest version of each key as batch 0 of a fresh upsert log, so that readers of a
+    long-running job need not read all its micro-batches."""
+    latest_per_key(spark, out, keys).write.mode("overwrite").parquet(f"{into.rstrip('/')}/batch_id=0")
+
+
 # ---- T5: daily delta as a tumbling window ------------------------------------------------------------------------------------
 def daily_delta_stream(stream: DataFrame, out: str, checkpoint: str, lateness: str = "2 days", available_now: bool = True):
     """A2 as a stream: 1-day tumbling windows with a watermark of ``lateness``: rows within it
     are always counted and windows behind it leave the state store (later rows are not
     guaranteed to be dropped, as Spark documents); update mode appends changed windows."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
-
     agg = (
         stream.withWatermark("created_at", lateness)
         .groupBy("product_id", F.window("created_at", "1 day").alias("w"))
         .agg(F.sum("quantity").alias("daily_delta"))
         .select("product_id", date_id(F.col("w.start")).alias("date_id"), "daily_delta")
     )
-    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(_replace_batch(out))
     return _run(w, available_now)
 
 
@@ -116,34 +124,55 @@ GUARD_OUT = T.StructType(
 GUARD_STATE = T.StructType([T.StructField("balance", T.LongType())])
 
 
+def _fold(balance: int, outflow: np.ndarray, quantity: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Guarded balances of one run of rows in order: (accepted, balance after, last balance).
+
+    Rows between two refusals are one vector sum. A refused row leaves the balance as it is, so the
+    next run starts behind it: the cost follows the number of refusals, not of rows."""
+    accepted, after = np.ones(len(quantity), bool), np.zeros(len(quantity), np.int64)
+    start, width = 0, 256
+    while start < len(quantity):
+        part = slice(start, start + width)
+        run = balance + np.cumsum(quantity[part])
+        refused = np.flatnonzero(outflow[part] & (run < 0))
+        stop = int(refused[0]) if len(refused) else len(run)
+        after[start : start + stop] = run[:stop]
+        balance = int(run[stop - 1]) if stop else balance
+        if len(refused):
+            accepted[start + stop], after[start + stop] = False, balance
+            stop += 1
+        width = min(1 << 16, 2 * width) if not len(refused) else 256
+        start += stop
+    return accepted, after, balance
+
+
+ORDER = ["created_at", "event_id", "supplier_id", "quantity", "price", "event_type"]
+
+
 def _guard(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keyed fold: state = the product's balance, carried across micro-batches. Rows of one
-    key in one micro-batch are ordered by the total order before folding."""
-    bal = int(state.get[0]) if state.exists else 0
-    pdf = pd.concat(list(batches), ignore_index=True)
-    pdf = pdf.sort_values(["created_at", "event_id", "supplier_id", "quantity", "price", "event_type"], kind="stable")
-    accepted, after = [], []
-    for etype, q in zip(pdf["event_type"].to_numpy(), pdf["quantity"].to_numpy()):
-        new = bal + int(q)
-        if etype in S.OUTFLOW_TYPES and new < 0:
-            accepted.append(False)
-            after.append(None)
-        else:
-            bal = new
-            accepted.append(True)
-            after.append(bal)
-    state.update((bal,))
-    yield pd.DataFrame(
-        {
-            "organization_id": pdf["organization_id"].astype("int32"),
-            "product_id": pdf["product_id"].astype("int64"),
-            "event_id": pdf["event_id"],
-            "event_type": pdf["event_type"],
-            "quantity": pdf["quantity"].astype("int32"),
-            "accepted": accepted,
-            "balance_after": pd.array(after, dtype="Int64"),
-        }
-    )
+    """Keyed fold: state = the product's balance, carried across micro-batches. Rows of one key in
+    one micro-batch are put in their total order first; only the columns the fold and the order
+    need are held together, and results leave in pieces."""
+    balance = int(state.get[0]) if state.exists else 0
+    rows = pd.concat([b[["organization_id", "product_id", *ORDER]] for b in batches], ignore_index=True)
+    rows = rows.sort_values(ORDER, kind="stable")
+    outflow = rows["event_type"].isin(S.OUTFLOW_TYPES).to_numpy()
+    accepted, after, balance = _fold(balance, outflow, rows["quantity"].to_numpy(np.int64))
+    state.update((balance,))
+    for start in range(0, len(rows), 1 << 16):
+        part = rows.iloc[start : start + (1 << 16)]
+        took = accepted[start : start + (1 << 16)]
+        yield pd.DataFrame(
+            {
+                "organization_id": part["organization_id"].astype("int32"),
+                "product_id": part["product_id"].astype("int64"),
+                "event_id": part["event_id"],
+                "event_type": part["event_type"],
+                "quantity": part["quantity"].astype("int32"),
+                "accepted": took,
+                "balance_after": pd.Series(after[start : start + (1 << 16)], part.index).astype("Int64").where(took),
+            }
+        )
 
 
 def oversell_stream(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True):
