@@ -15,7 +15,7 @@ def _c(x: Column | str) -> Column:
 def sign_error(event_type: Column | str, quantity: Column | str) -> Column:
     """P4 error text: zero is refused for every type, negative for inflow/outflow types."""
     et, q = _c(event_type), _c(quantity)
-    must_be_positive = F.concat(et, F.lit(S.MSG_MUST_BE_POSITIVE.replace("{event_type}", "")))
+    must_be_positive = F.concat(et, F.lit(S.MSG_MUST_BE_POSITIVE))
     return (
         F.when(q == 0, F.lit(S.MSG_ZERO_QUANTITY))
         .when(et.isin(*S.INFLOW_TYPES, *S.OUTFLOW_TYPES) & (q < 0), must_be_positive)

@@ -18,7 +18,7 @@ URGENCY_LEVELS = ["STOCKOUT", "URGENT", "LOW", "OK", "NO_FORECAST"]
 
 # ---- fixed values (message texts) ------------------------------------------------------
 MSG_ZERO_QUANTITY = "Quantity cannot be zero"
-MSG_MUST_BE_POSITIVE = "{event_type} quantity must be positive"
+MSG_MUST_BE_POSITIVE = " quantity must be positive"
 MSG_UNSUPPORTED_TYPE = "Unsupported event type"
 MSG_INSUFFICIENT = "Insufficient inventory"
 MSG_SKU_NOT_FOUND = "Product with SKU '{sku}' not found"
@@ -27,7 +27,7 @@ MSG_SUPPLIER_NOT_FOUND = "Supplier {supplier_id} not found"
 MSG_PO_NOT_FOUND = "Purchase order {po_id} not found"
 MSG_PO_LINE_NOT_FOUND = "Purchase order line {line_id} not found"
 MSG_PO_STATE = "Cannot {action} purchase order {po_id} in status {status}"
-MSG_DUPLICATE_SKU = "Product with this SKU already exists: {sku}"
+MSG_DUPLICATE_SKU = "Product with this SKU already exists: "
 MSG_SELF_RECIPE = "A product cannot be an ingredient of itself"
 # Field validation messages of the row model (first failing field, in field order).
 MSG_FIELD_SKU = "sku: String should have at least 1 character"
@@ -43,7 +43,6 @@ MSG_FIELD_QTY_MISSING = "quantity: Input should be a finite number"
 # ---- fixed values (limits) ---------------------------------------------------------------
 MAX_TEXT_LEN = 100  # sku / event_id / external_id
 MAX_SOURCE_LEN = 50
-WEBHOOK_MAX_EVENTS = 1000
 MIN_TRAINING_DAYS = 14
 PAGE_DEFAULT, PAGE_MAX = 50, 500
 DASHBOARD_PAGE = 20

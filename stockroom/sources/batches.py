@@ -3,6 +3,8 @@ consecutive row numbering in arrival order (W4)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,17 @@ from stockroom import schemas as S
 from stockroom.operators.ingest import parsed_quantity
 
 
+def arrival_order(rows: DataFrame) -> DataFrame:
+    """``row_number`` 1..n per organization over (payload arrival, position), from positions within
+    payloads: a payload's rows come after those of all earlier payloads. The window sees one row
+    per payload; ``batch`` is the payload's arrival number within its organization."""
+    counts = rows.groupBy("organization_id", "batch").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("organization_id").orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("organization_id", "batch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    numbered = rows.join(offsets, ["organization_id", "batch"])
+    return numbered.withColumn("row_number", F.col("_before") + F.col("row_number")).drop("_before")
+
+
 class MissingColumnsError(ValueError):
     pass
 
@@ -17,9 +30,9 @@ class MissingColumnsError(ValueError):
 def number_rows(df: DataFrame) -> DataFrame:
     """``row_number`` 1..n in (file, byte offset, position) order, without a global sort.
 
-    Rows of one file split are consecutive in the task that reads it; we count rows per
-    split (one row per split), turn the counts into offsets on that small table, and add the
-    position inside the split. The only shuffle is the per-split count.
+    Rows of one file split are consecutive in the task that reads it. Two small sums give a split
+    its offset: rows of earlier splits of its file (a window per file), and rows of earlier files
+    (a window over one row per file). The rows themselves join their split's offset.
     """
     tagged = df.select(
         "*",
@@ -28,22 +41,43 @@ def number_rows(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("_mid"),
     )
     splits = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    order = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.withColumn("_offset", F.coalesce(F.sum("_n").over(order), F.lit(0)))
-    # One row per file split: bounded by input bytes / split size.
-    numbered = tagged.join(F.broadcast(offsets.select("_file", "_block", "_offset", "_first")), ["_file", "_block"])
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before_file = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_rows"))
+    files = files.select("_file", F.coalesce(F.sum("_rows").over(before_file), F.lit(0)).alias("_earlier"))
+    splits = splits.withColumn("_within", F.coalesce(F.sum("_n").over(in_file), F.lit(0)))
+    offsets = splits.join(files, "_file").select("_file", "_block", (F.col("_earlier") + F.col("_within")).alias("_offset"), "_first")
+    numbered = tagged.join(offsets, ["_file", "_block"])
     return numbered.withColumn(
         "row_number", (F.col("_offset") + F.col("_mid") - F.col("_first") + 1).cast("long")
     ).drop("_file", "_block", "_mid", "_offset", "_first")
 
 
+def _header_groups(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Files of a CSV batch by their header line. The first line of a file is the one at offset 0
+    of its first split; the driver gets a row for each file, as the reader's file listing does."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [(r["header"], r["files"]) for r in grouped.collect()]
+
+
 def read_csv_batch(spark: SparkSession, path: str, organization_id: int) -> DataFrame:
-    """Header CSV read as text; required columns checked, extra columns dropped."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    missing = [c for c in S.INGEST_COLUMNS if c not in raw.columns]
-    if missing:
-        raise MissingColumnsError(f"Missing required columns: {', '.join(missing)}")
-    numbered = number_rows(raw.select(*S.INGEST_COLUMNS))
+    """Header CSV read as text, by column name whatever each file's column order; required
+    columns are checked for every file, extra ones dropped, and doubled quotes within quoted text
+    are read as one."""
+    parts = []
+    for _header, files in _header_groups(spark, path):
+        raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(files)
+        missing = [c for c in S.INGEST_COLUMNS if c not in raw.columns]
+        if missing:
+            raise MissingColumnsError(f"Missing required columns: {', '.join(missing)}")
+        parts.append(raw.select(*S.INGEST_COLUMNS, "_metadata"))
+    if not parts:
+        raise MissingColumnsError(f"Missing required columns: {', '.join(S.INGEST_COLUMNS)}")
+    numbered = number_rows(reduce(DataFrame.unionByName, parts)).drop("_metadata")
     return numbered.select(F.lit(organization_id).cast("int").alias("organization_id"), "row_number", *S.INGEST_COLUMNS)
 
 
@@ -71,12 +105,14 @@ def webhook_payloads(rows: DataFrame, batch_size: int = 500) -> DataFrame:
     return grouped.select("organization_id", "batch", body.alias("body"))
 
 
-def parse_webhooks(payloads: DataFrame, organizations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_webhooks(payloads: DataFrame, organizations: DataFrame, max_events: int | None = None) -> tuple[DataFrame, DataFrame]:
     """S3: validate whole payloads, then explode accepted ones into ingest rows.
 
-    A payload is refused as a whole for an unknown org, a bad ``source``, more than 1000
-    items, or an item whose outer fields are malformed (text lengths, non-integer quantity).
-    Accepted items get ``row_number`` = position + 1 and ``event_id`` = ``source:external_id``.
+    A payload is refused as a whole for an unknown org, a bad ``source``, more than ``max_events``
+    items (a serving layer's request limit; none by default), or an item whose outer fields are
+    malformed (text lengths, non-integer quantity). Refused payloads come back with their body.
+    Accepted items get ``row_number`` = position + 1 within their payload and ``event_id`` =
+    ``source:external_id``; ``arrival_order`` numbers them per organization for the ingest.
     """
     parsed = payloads.withColumn("p", F.from_json("body", S.WEBHOOK_PAYLOAD))
     orgs = organizations.select("organization_id", F.lit(True).alias("_known"))
@@ -97,11 +133,11 @@ def parse_webhooks(payloads: DataFrame, organizations: DataFrame) -> tuple[DataF
             F.col("p.source").isNull() | (F.length("p.source") < 1) | (F.length("p.source") > S.MAX_SOURCE_LEN),
             F.lit("source: invalid length"),
         )
-        .when(F.size(items) > S.WEBHOOK_MAX_EVENTS, F.lit(f"events: more than {S.WEBHOOK_MAX_EVENTS} items"))
+        .when(F.lit(max_events is not None) & (F.size(items) > F.lit(max_events)), F.lit(f"events: more than {max_events} items"))
         .when(bad_item, F.lit("events: malformed item"))
     )
     judged = p.withColumn("reason", reason)
-    refused = judged.filter(F.col("reason").isNotNull()).select("organization_id", "batch", "reason")
+    refused = judged.filter(F.col("reason").isNotNull()).select("organization_id", "batch", "reason", "body")
     ok = judged.filter(F.col("reason").isNull())
     rows = ok.select("organization_id", "batch", F.col("p.source").alias("source"), F.posexplode(items).alias("pos", "e"))
     out = rows.select(

@@ -63,8 +63,8 @@ def with_partition_columns(batch: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(batch: DataFrame, root: str, max_records_per_file: int = 5_000_000) -> None:
-    """S4 + L6: Hive-partitioned append, rows sorted by ``(created_at, id)`` inside each file.
+def write_lake(batch: DataFrame, root: str, max_records_per_file: int = 5_000_000, replace: bool = False) -> None:
+    """S4 + L6: Hive-partitioned append (``replace``: the lake becomes this batch), rows sorted by ``(created_at, id)`` inside each file.
 
     ``rebalance`` asks AQE for output partitions of even size clustered by the partition
     keys: a hot (org, day) is split over several tasks/files instead of one, and tiny ones are
@@ -74,7 +74,8 @@ def write_lake(batch: DataFrame, root: str, max_records_per_file: int = 5_000_00
     (
         framed.hint("rebalance", *PARTITION_COLS)
         .sortWithinPartitions(*PARTITION_COLS, "created_at", "id")
-        .write.mode("append")
+        .write.mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*PARTITION_COLS)
         .parquet(events_path(root))
@@ -136,37 +137,30 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 def export_events(spark: SparkSession, log: DataFrame, root: str, incremental_mode: bool = True) -> DataFrame:
     """A5: one export run (full or incremental) -> one-row summary frame.
 
-    The batch is written, its manifest is appended to the manifest table, and the checkpoint
-    moves to ``max(id)`` of the batch (not the id of the latest timestamp).
+    The upper id is taken first and bounds manifest and data alike, so rows that arrive meanwhile
+    wait for the next run. A full run replaces lake and manifest, so it may be repeated; an
+    incremental one appends rows behind the checkpoint, which then moves to the upper id (not to
+    the id of the latest timestamp). Files are counted by the number of those with rows of the run.
     """
     last_id = load_checkpoint(spark, root) if incremental_mode else None
-    batch = incremental(base_scan(log), last_id)
+    upper = log.agg(F.max("id")).first()[0]
+    mode = "incremental" if incremental_mode else "full"
+    if upper is None or (last_id is not None and upper <= last_id):
+        return _summary(spark, 0, 0, 0, mode, False, last_id)
+    batch = incremental(base_scan(log), last_id).filter(F.col("id") <= upper)
     run = uuid.uuid4().hex[:12]
-    manifest_path = _state(root, "manifest")
-    # Manifest first: it is small (one row per partition) and its totals decide whether
-    # anything is written at all; it is kept as a pending table until the data is written.
+    # The manifest is kept as a pending table until the data is written.
     tmp = _state(root, f"manifest_pending/{run}")
     partition_manifest(batch).withColumn("run_id", F.lit(run)).write.mode("overwrite").parquet(tmp)
-    totals = spark.read.parquet(tmp).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("parts"),
-        F.max("end_id").alias("max_id"),
-        F.min("start_id").alias("min_id"),
-    ).first()
-    mode = "incremental" if incremental_mode else "full"
-    if totals["rows"] == 0:
-        return _summary(spark, 0, 0, 0, mode, False, last_id)
-    write_lake(batch, root)
-    spark.read.parquet(tmp).write.mode("append").parquet(manifest_path)
-    files = (
-        read_lake(spark, root)
-        .filter(F.col("id").between(totals["min_id"], totals["max_id"]))
-        .select(F.input_file_name().alias("f"))
-        .distinct()
-        .count()
-    )
-    save_checkpoint(spark, root, totals["max_id"])
-    return _summary(spark, totals["rows"], totals["parts"], files, mode, True, totals["max_id"])
+    pending = spark.read.parquet(tmp)
+    totals = pending.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("parts"), F.min("start_id").alias("min_id")).first()
+    write_lake(batch, root, replace=not incremental_mode)
+    pending.write.mode("append" if incremental_mode else "overwrite").parquet(_state(root, "manifest"))
+    # Only the partitions of this run are opened, and of their files only the id column.
+    touched = read_lake(spark, root).withColumn("f", F.col("_metadata.file_path")).join(pending.select(*PARTITION_COLS).distinct(), PARTITION_COLS, "left_semi")
+    files = touched.filter(F.col("id").between(totals["min_id"], upper)).select("f").distinct().count()
+    save_checkpoint(spark, root, upper)
+    return _summary(spark, totals["rows"], totals["parts"], files, mode, True, upper)
 
 
 def _summary(spark, rows, parts, files, mode, updated, last_id) -> DataFrame:
