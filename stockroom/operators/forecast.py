@@ -238,10 +238,14 @@ def champions(versions: DataFrame) -> DataFrame:
 
 def rollback(pointers: DataFrame, versions: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """move the champion pointer of requested series to an existing version; requests for
-    unknown versions are returned as rejects with the reference's message shape."""
-    known = versions.select(*SERIES, "version").withColumn("_known", F.lit(True))
+    unknown versions are returned as rejects. ``requests``: series, version and request_id; of
+    several accepted requests for a series the last one (largest request_id) holds (without that
+    column: one request per series)."""
+    if "request_id" not in requests.columns:
+        requests = requests.withColumn("request_id", F.lit(0))
+    known = versions.select(*SERIES, "version").distinct().withColumn("_known", F.lit(True))
     judged = requests.join(known, [*SERIES, "version"], "left")
-    ok = judged.filter(F.col("_known")).select(*SERIES, "version")
+    ok = judged.filter(F.col("_known")).groupBy(*SERIES).agg(F.max_by("version", "request_id").alias("version"))
     rejects = judged.filter(F.col("_known").isNull()).select(
         *SERIES,
         "version",

@@ -39,7 +39,7 @@ KEY = ["organization_id", "event_id"]
 
 
 # ---- O5: interaction groups -------------------------------------------------------------------------
-def connected_groups(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_groups(edges: DataFrame) -> DataFrame:
     """Connected components over undirected ``(organization_id, a, b)`` edges.
 
     Each round takes the minimum label over a node's neighbours (one join + aggregation) and
@@ -54,7 +54,7 @@ def connected_groups(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     ).distinct()
     labels = both.groupBy("organization_id", "src").agg(F.least(F.col("src"), F.min("dst")).alias("label"))
     labels = materialize(labels.withColumnRenamed("src", "node"), "group-labels")
-    for _ in range(max_rounds):
+    while True:
         nbr = (
             both.join(labels.withColumnRenamed("node", "src"), ["organization_id", "src"])
             .groupBy("organization_id", "dst")
@@ -79,8 +79,6 @@ def connected_groups(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         labels = new.drop("moved")
         if moved == 0:
             break
-    else:
-        raise RuntimeError("group labelling did not converge")
     return labels.select("organization_id", F.col("node").alias("product_id"), F.col("label").alias("group_id"))
 
 

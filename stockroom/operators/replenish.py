@@ -169,28 +169,50 @@ def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | Non
     )
 
 
-ACTION_TEXT = {"submit": "submit", "receive": "receive"}
-
-
 def po_transitions(orders: DataFrame, lines: DataFrame, requests: DataFrame) -> DataFrame:
-    """DRAFT -> SUBMITTED (needs >= 1 line) -> RECEIVED; other requests are refused with
-    the reference's message shape. ``requests``: purchase_order_id, organization_id, action."""
+    """DRAFT -> SUBMITTED (needs >= 1 line) -> RECEIVED; other requests are refused, unknown
+    actions too. ``requests``: purchase_order_id, organization_id, action and request_id, in whose
+    order the requests of an order are judged (without that column: one request per order).
+
+    An order changes twice at most: the first submit of a DRAFT with lines takes effect, and then
+    the first receive after it. So the status that a request meets follows from two minima per
+    order, joined back, and no order's requests have to be gathered.
+    """
     n_lines = lines.groupBy("purchase_order_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    j = requests.join(orders.select("purchase_order_id", "organization_id", "status"), ["purchase_order_id", "organization_id"], "left")
+    key = ["purchase_order_id", "organization_id"]
+    if "request_id" not in requests.columns:
+        requests = requests.withColumn("request_id", F.lit(0).cast("long"))
+    j = requests.join(orders.select(*key, "status"), key, "left")
     j = j.join(n_lines, "purchase_order_id", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
-    a, st, po = F.col("action"), F.col("status"), F.col("purchase_order_id").cast("string")
+    can_submit = (F.col("status") == "DRAFT") & (F.col("n_lines") > 0)
+    submitted = j.groupBy(*key).agg(F.min(F.when((F.col("action") == "submit") & can_submit, F.col("request_id"))).alias("_submit"))
+    j = j.join(submitted, key, "left")
+    open_from = F.when(F.col("status") == "SUBMITTED", F.lit(-1).cast("long")).otherwise(F.col("_submit"))
+    received = j.groupBy(*key).agg(F.min(F.when((F.col("action") == "receive") & (F.col("request_id") > open_from), F.col("request_id"))).alias("_receive"))
+    j = j.join(received, key, "left")
+    at = F.col("request_id")
+    st = (
+        F.when(at > F.col("_receive"), "RECEIVED")
+        .when(at > F.col("_submit"), "SUBMITTED")
+        .otherwise(F.col("status"))
+    )
+    j = j.withColumn("old_status", st)
+    a, st, po = F.col("action"), F.col("old_status"), F.col("purchase_order_id").cast("string")
+    refusal = lambda what: F.concat(F.lit(f"Cannot {what} purchase order "), po, F.lit(" in status "), st)
     err = (
         F.when(st.isNull(), F.concat(F.lit("Purchase order "), po, F.lit(" not found")))
-        .when((a == "submit") & (st != "DRAFT"), F.concat(F.lit("Cannot submit purchase order "), po, F.lit(" in status "), st))
-        .when((a == "submit") & (F.col("n_lines") == 0), F.concat(F.lit("Cannot submit (no lines) purchase order "), po, F.lit(" in status "), st))
-        .when((a == "receive") & (st != "SUBMITTED"), F.concat(F.lit("Cannot receive purchase order "), po, F.lit(" in status "), st))
+        .when(a.isNull() | ~a.isin("submit", "receive"), F.concat(F.lit("Unknown action "), F.coalesce(a, F.lit("null"))))
+        .when((a == "submit") & (st != "DRAFT"), refusal("submit"))
+        .when((a == "submit") & (F.col("n_lines") == 0), refusal("submit (no lines)"))
+        .when((a == "receive") & (st != "SUBMITTED"), refusal("receive"))
     )
     new = F.when(err.isNull(), F.when(a == "submit", "SUBMITTED").otherwise("RECEIVED")).otherwise(st)
     return j.select(
         "purchase_order_id",
         "organization_id",
+        "request_id",
         "action",
-        st.alias("old_status"),
+        "old_status",
         new.alias("new_status"),
         err.isNull().alias("accepted"),
         err.alias("error"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from stockroom.plans import (  # noqa: F401
     decision_queries,
-    generator_queries,
     lake_queries,
     ledger_queries,
     po_queries,

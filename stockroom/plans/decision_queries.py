@@ -22,10 +22,10 @@ from stockroom.sources import lake
 ROUND = 4
 
 FEATURES_SQL = """SELECT organization_id, product_id, date_id AS date,
-       CAST(SUM(CASE WHEN event_type IN ('SALE', 'DAMAGE', 'WASTE') THEN abs(quantity) ELSE 0 END) AS BIGINT) AS units_sold,
-       CAST(SUM(CASE WHEN event_type IN ('PURCHASE', 'RETURN') THEN quantity ELSE 0 END) AS BIGINT) AS units_purchased,
+       CAST(COALESCE(SUM(abs(quantity)) FILTER (WHERE event_type IN ('SALE', 'DAMAGE', 'WASTE')), 0) AS BIGINT) AS units_sold,
+       CAST(COALESCE(SUM(quantity) FILTER (WHERE event_type IN ('PURCHASE', 'RETURN')), 0) AS BIGINT) AS units_purchased,
        CAST(SUM(quantity) AS BIGINT) AS net_delta
-FROM fact_e GROUP BY organization_id, product_id, date_id"""
+FROM fact_e GROUP BY ALL"""
 
 FEATURES_ROLLING_SQL = """SELECT *, avg(units_sold) OVER (PARTITION BY organization_id, product_id ORDER BY date
                                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS rolling_avg_7d
@@ -345,8 +345,14 @@ def q_model_rollback(spark, sf_dir):
     # every seventh product; report the pointer table after the change, with the rejects.
     v = _versions(spark, sf_dir)
     pointers = FC.champions(v)
-    reqs = pointers.filter(F.col("product_id") % 2 == 0).select("organization_id", "product_id", F.lit(1).alias("version"))
-    bad = pointers.filter(F.col("product_id") % 7 == 0).select("organization_id", "product_id", F.lit(3).alias("version"))
+    # Even products first ask for the version they have, then for 1: the last request holds.
+    even = pointers.filter(F.col("product_id") % 2 == 0).select("organization_id", "product_id", "version")
+    reqs = even.withColumn("request_id", F.lit(1)).unionByName(
+        even.withColumn("version", F.lit(1)).withColumn("request_id", F.lit(2))
+    )
+    bad = pointers.filter(F.col("product_id") % 7 == 0).select(
+        "organization_id", "product_id", F.lit(3).alias("version"), F.lit(3).alias("request_id")
+    )
     newp, rejects = FC.rollback(pointers, v, reqs.unionByName(bad))
     return newp.join(rejects.select("organization_id", "product_id", "error"), ["organization_id", "product_id"], "left")
 
@@ -424,7 +430,9 @@ def q_champion_models(spark, sf_dir):
     # The serving lookup after the rollback: pointer x version log on (org, product, version).
     v = _versions(spark, sf_dir)
     pointers = FC.champions(v)
-    reqs = pointers.filter(F.col("product_id") % 2 == 0).select("organization_id", "product_id", F.lit(1).alias("version"))
+    reqs = pointers.filter(F.col("product_id") % 2 == 0).select(
+        "organization_id", "product_id", F.lit(1).alias("version"), F.lit(1).alias("request_id")
+    )
     newp, _ = FC.rollback(pointers, v, reqs)
     return FC.champion_lookup(newp, v).select(
         "organization_id", "product_id", "version", "run", "training_rows", "slope"

@@ -258,7 +258,38 @@ def q_webhook_refusals(spark, sf_dir):
     rows = A.ingest_rows(spark, sf_dir)
     payloads = batches.webhook_payloads(rows)
     _parsed, refused = batches.parse_webhooks(payloads, A.organizations(spark, sf_dir))
-    return refused
+    return refused.select("organization_id", "batch", "reason")
+
+
+WEBHOOK_ROWS_SQL = (
+    """SELECT r.organization_id, CAST(row_number() OVER (PARTITION BY r.organization_id ORDER BY r.row_number) AS BIGINT) AS row_number,
+       r.sku, r.event_type, CAST(CAST(regexp_extract(r.quantity, '^\\s*([+-]?[0-9]+)', 1) AS BIGINT) AS STRING) AS quantity,
+       concat('generic:', r.event_id) AS event_id
+FROM ingest_rows r
+WHERE (r.organization_id, floor((r.row_number - 1) / 40)) NOT IN (
+  SELECT (b.organization_id, floor((b.row_number - 1) / 40)) FROM ingest_rows b WHERE NOT """
+    + WEBHOOK_ITEM_OK
+    + ")"
+)
+
+
+@register(
+    "webhook_ingest_results",
+    with_views(
+        "SELECT * FROM ingest_out",
+        *INGEST_VIEWS,
+        extra=[("webhook_rows", WEBHOOK_ROWS_SQL), *((n, sql.replace("ingest_rows r", "webhook_rows r")) for n, sql in INGEST_CTES)],
+        recursive=True,
+    ),
+)
+def q_webhook_ingest_results(spark, sf_dir):
+    # S3 -> O4: many payloads per organization, numbered by arrival, folded in that order.
+    payloads = batches.webhook_payloads(A.ingest_rows(spark, sf_dir), 40)
+    rows, _refused = batches.parse_webhooks(payloads, A.organizations(spark, sf_dir))
+    log = A.event_log(spark, sf_dir)
+    arrived = batches.arrival_order(rows).drop("batch")
+    results, _folded = ingest.ingest(arrived, A.products(spark, sf_dir), log=log, start_state=projection.replay_state(log))
+    return results
 
 
 @register(

@@ -28,46 +28,74 @@ PCHG_SQL = """SELECT c_custkey AS change_id, CAST(c_nationkey % 5 + 1 AS INT) AS
 
 
 def recipe_change_batch(spark, sf_dir):
+    """Three requests per part: a first one; then the same insert with a valid quantity, or a delete
+    of the item that was named; then an update of the new item, or of the deleted one."""
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    k, s = F.col("p_partkey"), F.col("p_size")
-    op = F.when(s % 3 == 0, "insert").when(s % 3 == 1, "update").otherwise("delete")
-    return p.select(
-        k.alias("change_id"),
+    k, s, wave = F.col("p_partkey"), F.col("p_size"), F.col("wave")
+    insert = s % 3 == 0
+    top = A.recipe_items(spark, sf_dir).agg(F.max("recipe_item_id")).scalar()
+    op = (
+        F.when(insert & (wave < 2), "insert").when(wave == 2, "update").when(wave == 1, "delete").when(s % 3 == 1, "update").otherwise("delete")
+    )
+    return p.withColumn("wave", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        (k + wave * 10_000_000).alias("change_id"),
         (k % 5 + 1).cast("int").alias("organization_id"),
         op.alias("op"),
-        F.when(s % 3 == 1, k * 10 + 1).when(s % 3 == 2, k * 10 + 2).alias("recipe_item_id"),
-        F.when(s % 3 == 0, k).alias("finished_product_id"),
-        F.when(s % 3 == 0, k + 5 * (s % 7 - 3)).alias("component_product_id"),
-        F.when(s % 3 != 2, (s % 5 - 1).cast("int")).alias("quantity"),
+        F.when(insert, F.when(wave == 2, k + 10_000_000 + top)).otherwise(k * 10 + s % 3).alias("recipe_item_id"),
+        F.when(insert & (wave < 2), k).alias("finished_product_id"),
+        F.when(insert & (wave < 2), k + 5 * (s % 7 - 3)).alias("component_product_id"),
+        F.when(wave > 0, F.lit(7)).when(s % 3 != 2, s % 5 - 1).cast("int").alias("quantity"),
     )
 
 
-RCHG_SQL = """SELECT p_partkey AS change_id, CAST(p_partkey % 5 + 1 AS INT) AS organization_id,
-       CASE p_size % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS op,
-       CASE p_size % 3 WHEN 1 THEN p_partkey * 10 + 1 WHEN 2 THEN p_partkey * 10 + 2 END AS recipe_item_id,
-       CASE WHEN p_size % 3 = 0 THEN p_partkey END AS finished_product_id,
-       CASE WHEN p_size % 3 = 0 THEN p_partkey + 5 * (p_size % 7 - 3) END AS component_product_id,
-       CASE WHEN p_size % 3 <> 2 THEN CAST(p_size % 5 - 1 AS INT) END AS quantity
-FROM part"""
-
-RCHG_JUDGED_SQL = """SELECT c.*, CASE
-    WHEN c.op <> 'delete' AND c.quantity <= 0 THEN 'quantity: Input should be greater than 0'
-    WHEN c.op = 'insert' AND c.finished_product_id = c.component_product_id THEN 'A product cannot be an ingredient of itself'
-    WHEN c.op = 'insert' AND d.product_id IS NULL THEN concat('Product ', CAST(c.finished_product_id AS STRING), ' not found')
-    WHEN c.op = 'insert' AND k.product_id IS NULL THEN concat('Product ', CAST(c.component_product_id AS STRING), ' not found')
-    WHEN c.op = 'insert' AND (EXISTS (SELECT 1 FROM recipe_items r WHERE r.organization_id = c.organization_id
-              AND r.finished_product_id = c.finished_product_id AND r.component_product_id = c.component_product_id)
-          OR row_number() OVER (PARTITION BY c.organization_id, c.finished_product_id, c.component_product_id, c.op
-                                ORDER BY c.change_id) > 1)
-         THEN concat('Recipe item already exists for finished product ', CAST(c.finished_product_id AS STRING),
-                     ' and component product ', CAST(c.component_product_id AS STRING))
-    WHEN c.op <> 'insert' AND NOT EXISTS (SELECT 1 FROM recipe_items r WHERE r.organization_id = c.organization_id
-              AND r.recipe_item_id = c.recipe_item_id)
-         THEN concat('Recipe item ', CAST(c.recipe_item_id AS STRING), ' not found')
-  END AS error
-FROM rchg c
-LEFT JOIN products d ON d.organization_id = c.organization_id AND d.product_id = c.finished_product_id
-LEFT JOIN products k ON k.organization_id = c.organization_id AND k.product_id = c.component_product_id"""
+RCHG_SQL = """SELECT p_partkey + wave * 10000000 AS change_id, CAST(p_partkey % 5 + 1 AS INT) AS organization_id,
+       CASE WHEN p_size % 3 = 0 AND wave < 2 THEN 'insert' WHEN wave = 2 THEN 'update' WHEN wave = 1 THEN 'delete'
+            WHEN p_size % 3 = 1 THEN 'update' ELSE 'delete' END AS op,
+       CASE WHEN p_size % 3 = 0 THEN CASE WHEN wave = 2 THEN p_partkey + 10000000 + (SELECT max(recipe_item_id) FROM recipe_items) END
+            ELSE p_partkey * 10 + p_size % 3 END AS recipe_item_id,
+       CASE WHEN p_size % 3 = 0 AND wave < 2 THEN p_partkey END AS finished_product_id,
+       CASE WHEN p_size % 3 = 0 AND wave < 2 THEN p_partkey + 5 * (p_size % 7 - 3) END AS component_product_id,
+       CASE WHEN wave > 0 THEN 7 WHEN p_size % 3 <> 2 THEN CAST(p_size % 5 - 1 AS INT) END AS quantity
+FROM part, (SELECT unnest([0, 1, 2]) AS wave)"""
+
+# The requests of a pair one after another: n numbers them, live is the pair's item after each.
+RCHG_CTES = [
+    ("rchg", RCHG_SQL),
+    (
+        "asked",
+        """SELECT c.*, CASE WHEN op = 'insert' THEN change_id + (SELECT max(recipe_item_id) FROM recipe_items) ELSE recipe_item_id END AS item,
+       CASE WHEN op <> 'delete' AND quantity <= 0 THEN 'quantity: Input should be greater than 0'
+            WHEN op = 'insert' AND finished_product_id = component_product_id THEN 'A product cannot be an ingredient of itself'
+            WHEN op = 'insert' AND NOT EXISTS (SELECT 1 FROM products p WHERE p.organization_id = c.organization_id AND p.product_id = finished_product_id)
+                 THEN 'Product ' || finished_product_id || ' not found'
+            WHEN op = 'insert' AND NOT EXISTS (SELECT 1 FROM products p WHERE p.organization_id = c.organization_id AND p.product_id = component_product_id)
+                 THEN 'Product ' || component_product_id || ' not found' END AS refused
+FROM rchg c""",
+    ),
+    (
+        "items",
+        """SELECT organization_id, recipe_item_id AS item, finished_product_id AS f, component_product_id AS c FROM recipe_items
+UNION ALL SELECT organization_id, item, finished_product_id, component_product_id FROM asked WHERE op = 'insert' AND refused IS NULL""",
+    ),
+    (
+        "numbered",
+        """SELECT a.change_id, a.organization_id, a.op, a.item, a.quantity, i.f, i.c,
+       row_number() OVER (PARTITION BY a.organization_id, i.f, i.c ORDER BY a.change_id) AS n
+FROM asked a JOIN items i ON i.organization_id = a.organization_id AND i.item = a.item WHERE a.refused IS NULL""",
+    ),
+    (
+        "steps",
+        """SELECT DISTINCT n.organization_id, n.f, n.c, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS change_id, false AS holds,
+       r.recipe_item_id AS live, r.quantity
+FROM numbered n LEFT JOIN recipe_items r ON r.organization_id = n.organization_id AND r.finished_product_id = n.f AND r.component_product_id = n.c
+UNION ALL
+SELECT s.organization_id, s.f, s.c, m.n, m.change_id, x.ok,
+       CASE WHEN NOT x.ok THEN s.live WHEN m.op = 'delete' THEN NULL ELSE m.item END,
+       CASE WHEN NOT x.ok THEN s.quantity WHEN m.op = 'delete' THEN NULL ELSE m.quantity END
+FROM steps s JOIN numbered m ON m.organization_id = s.organization_id AND m.f = s.f AND m.c = s.c AND m.n = s.n + 1,
+LATERAL (SELECT CASE WHEN m.op = 'insert' THEN s.live IS NULL ELSE COALESCE(s.live = m.item, false) END AS ok) x""",
+    ),
+]
 
 
 def po_line_change_batch(spark, sf_dir):
@@ -182,32 +210,44 @@ def q_po_receipt_events(spark, sf_dir):
     return replenish.receipt_events(orders, lines, first_try.select("organization_id", "event_id"))
 
 
+# Four requests per order, in request order: submit, receive, an unknown action, submit again; every
+# third order is asked to be received first.
+PO_REQUESTS_SQL = """SELECT o.purchase_order_id, o.organization_id, o.status, COALESCE(n.n, 0) AS n_lines, CAST(i AS BIGINT) AS request_id,
+       CASE WHEN i = 3 THEN 'cancel' WHEN (i = 2) = (o.purchase_order_id % 3 <> 0) THEN 'receive' ELSE 'submit' END AS action
+FROM purchase_orders o CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS i)
+LEFT JOIN (SELECT purchase_order_id, COUNT(*) AS n FROM purchase_order_lines GROUP BY ALL) n USING (purchase_order_id)"""
+
+PO_STEPS_SQL = """SELECT purchase_order_id, organization_id, CAST(0 AS BIGINT) AS request_id, CAST(NULL AS VARCHAR) AS action,
+       CAST(NULL AS VARCHAR) AS old_status, ANY_VALUE(status) AS new_status, false AS accepted, CAST(NULL AS VARCHAR) AS error
+FROM po_requests GROUP BY purchase_order_id, organization_id
+UNION ALL
+SELECT s.purchase_order_id, s.organization_id, r.request_id, r.action, s.new_status,
+       CASE WHEN x.e IS NOT NULL THEN s.new_status WHEN r.action = 'submit' THEN 'SUBMITTED' ELSE 'RECEIVED' END, x.e IS NULL, x.e
+FROM po_steps s JOIN po_requests r ON r.purchase_order_id = s.purchase_order_id AND r.organization_id = s.organization_id AND r.request_id = s.request_id + 1,
+LATERAL (SELECT CASE
+    WHEN r.action NOT IN ('submit', 'receive') THEN 'Unknown action ' || r.action
+    WHEN r.action = 'submit' AND s.new_status <> 'DRAFT' THEN 'Cannot submit purchase order ' || s.purchase_order_id || ' in status ' || s.new_status
+    WHEN r.action = 'submit' AND r.n_lines = 0 THEN 'Cannot submit (no lines) purchase order ' || s.purchase_order_id || ' in status ' || s.new_status
+    WHEN r.action = 'receive' AND s.new_status <> 'SUBMITTED' THEN 'Cannot receive purchase order ' || s.purchase_order_id || ' in status ' || s.new_status
+  END AS e) x"""
+
+
 @register(
     "po_transitions",
     with_views(
-        """SELECT o.purchase_order_id, o.organization_id, r.action, o.status AS old_status,
-       CASE WHEN e IS NULL THEN CASE WHEN r.action = 'submit' THEN 'SUBMITTED' ELSE 'RECEIVED' END ELSE o.status END AS new_status,
-       e IS NULL AS accepted, e AS error
-FROM purchase_orders o
-JOIN (SELECT purchase_order_id, CASE WHEN purchase_order_id % 3 = 0 THEN 'receive' ELSE 'submit' END AS action FROM purchase_orders) r
-  ON r.purchase_order_id = o.purchase_order_id
-LEFT JOIN (SELECT purchase_order_id, COUNT(*) AS n FROM purchase_order_lines GROUP BY ALL) n ON n.purchase_order_id = o.purchase_order_id,
-LATERAL (SELECT CASE
-    WHEN r.action = 'submit' AND o.status <> 'DRAFT' THEN concat('Cannot submit purchase order ', CAST(o.purchase_order_id AS STRING), ' in status ', o.status)
-    WHEN r.action = 'submit' AND COALESCE(n.n, 0) = 0 THEN concat('Cannot submit (no lines) purchase order ', CAST(o.purchase_order_id AS STRING), ' in status ', o.status)
-    WHEN r.action = 'receive' AND o.status <> 'SUBMITTED' THEN concat('Cannot receive purchase order ', CAST(o.purchase_order_id AS STRING), ' in status ', o.status)
-  END AS e) x""",
+        "SELECT * FROM po_steps WHERE request_id > 0",
         "purchase_orders",
         "purchase_order_lines",
+        extra=[("po_requests", PO_REQUESTS_SQL), ("po_steps", PO_STEPS_SQL)],
+        recursive=True,
     ),
 )
 def q_po_transitions(spark, sf_dir):
     orders = A.purchase_orders(spark, sf_dir)
-    reqs = orders.select(
-        "purchase_order_id",
-        "organization_id",
-        F.when(F.col("purchase_order_id") % 3 == 0, "receive").otherwise("submit").alias("action"),
-    )
+    i = F.col("request_id")
+    action = F.when(i == 3, "cancel").when((i == 2) == (F.col("purchase_order_id") % 3 != 0), "receive").otherwise("submit")
+    numbers = F.explode(F.array(*[F.lit(n).cast("long") for n in (1, 2, 3, 4)]))
+    reqs = orders.select("purchase_order_id", "organization_id", numbers.alias("request_id")).withColumn("action", action)
     return replenish.po_transitions(orders, A.purchase_order_lines(spark, sf_dir), reqs)
 
 
@@ -251,10 +291,16 @@ def q_supplier_changes(spark, sf_dir):
 @register(
     "recipe_changes",
     with_views(
-        "SELECT change_id, organization_id, op, CASE WHEN error IS NULL THEN 'applied' ELSE 'rejected' END AS status, error FROM judged",
+        """SELECT a.change_id, a.organization_id, a.op,
+       CASE WHEN x.e IS NULL THEN 'applied' ELSE 'rejected' END AS status, x.e AS error
+FROM asked a LEFT JOIN steps s ON s.organization_id = a.organization_id AND s.change_id = a.change_id,
+LATERAL (SELECT CASE WHEN a.refused IS NOT NULL THEN a.refused WHEN s.holds THEN NULL
+    WHEN a.op = 'insert' THEN 'Recipe item already exists for finished product ' || a.finished_product_id || ' and component product ' || a.component_product_id
+    ELSE 'Recipe item ' || a.recipe_item_id || ' not found' END AS e) x""",
         "recipe_items",
         "products",
-        extra=[("rchg", RCHG_SQL), ("judged", RCHG_JUDGED_SQL)],
+        extra=RCHG_CTES,
+        recursive=True,
     ),
 )
 def q_recipe_changes(spark, sf_dir):
@@ -267,19 +313,16 @@ def q_recipe_changes(spark, sf_dir):
 @register(
     "recipe_snapshot",
     with_views(
-        """SELECT r.recipe_item_id, r.finished_product_id, r.component_product_id,
-       CAST(COALESCE(u.quantity, r.quantity) AS INT) AS quantity, r.organization_id
-FROM recipe_items r
-LEFT JOIN judged u ON u.op = 'update' AND u.error IS NULL AND u.organization_id = r.organization_id AND u.recipe_item_id = r.recipe_item_id
-WHERE NOT EXISTS (SELECT 1 FROM judged d WHERE d.op = 'delete' AND d.error IS NULL
-                  AND d.organization_id = r.organization_id AND d.recipe_item_id = r.recipe_item_id)
+        """SELECT recipe_item_id, finished_product_id, component_product_id, CAST(quantity AS INT) AS quantity, organization_id
+FROM recipe_items r WHERE NOT EXISTS (SELECT 1 FROM steps s WHERE s.organization_id = r.organization_id
+    AND s.f = r.finished_product_id AND s.c = r.component_product_id)
 UNION ALL
-SELECT change_id + (SELECT max(recipe_item_id) FROM recipe_items), finished_product_id, component_product_id,
-       CAST(quantity AS INT), organization_id
-FROM judged WHERE op = 'insert' AND error IS NULL""",
+SELECT live, f, c, CAST(quantity AS INT), organization_id FROM steps s
+WHERE live IS NOT NULL AND n = (SELECT max(n) FROM steps t WHERE t.organization_id = s.organization_id AND t.f = s.f AND t.c = s.c)""",
         "recipe_items",
         "products",
-        extra=[("rchg", RCHG_SQL), ("judged", RCHG_JUDGED_SQL)],
+        extra=RCHG_CTES,
+        recursive=True,
     ),
 )
 def q_recipe_snapshot(spark, sf_dir):

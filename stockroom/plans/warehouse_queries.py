@@ -156,8 +156,8 @@ def q_fact(spark, sf_dir):
 
 
 # ---- A2, A3, W1 (the warehouse's three queries) ---------------------------------------------------
-DAILY_DELTA_SQL = """SELECT product_id, date_id, CAST(SUM(quantity) AS BIGINT) AS daily_delta
-FROM {fact} GROUP BY product_id, date_id ORDER BY date_id, product_id"""
+DAILY_DELTA_SQL = """SELECT DISTINCT product_id, date_id,
+       CAST(SUM(quantity) OVER (PARTITION BY product_id, date_id) AS BIGINT) AS daily_delta FROM {fact}"""
 
 
 @register("daily_delta", with_views(DAILY_DELTA_SQL.format(fact="fact_e"), "fact_e"))
@@ -170,33 +170,35 @@ def q_daily_delta_l(spark, sf_dir):
     return analytics.daily_delta(fact_l(spark, sf_dir)).orderBy("date_id", "product_id")
 
 
-BREAKDOWN_SQL = """SELECT event_type, COUNT(*) AS event_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity
-FROM {fact} GROUP BY event_type ORDER BY COUNT(*) DESC"""
+BREAKDOWN_SQL = """SELECT t.event_type, (SELECT COUNT(*) FROM {fact} f WHERE f.event_type = t.event_type) AS event_count,
+       CAST((SELECT SUM(f.quantity) FROM {fact} f WHERE f.event_type = t.event_type) AS BIGINT) AS total_quantity
+FROM (SELECT DISTINCT event_type FROM {fact}) t"""
 
 
 @register("event_type_breakdown", with_views(BREAKDOWN_SQL.format(fact="fact_e"), "fact_e"))
 def q_breakdown(spark, sf_dir):
-    return analytics.event_type_breakdown(fact_e(spark, sf_dir)).orderBy(F.desc("event_count"))
+    return analytics.event_type_breakdown(fact_e(spark, sf_dir)).orderBy(F.desc("event_count"), "event_type")
 
 
 @register("event_type_breakdown_lineitem", with_views(BREAKDOWN_SQL.format(fact="fact_l"), "fact_l"))
 def q_breakdown_l(spark, sf_dir):
-    return analytics.event_type_breakdown(fact_l(spark, sf_dir)).orderBy(F.desc("event_count"))
+    return analytics.event_type_breakdown(fact_l(spark, sf_dir)).orderBy(F.desc("event_count"), "event_type")
 
 
-RUNNING_SQL = """SELECT product_id, date_id, quantity,
-       CAST(SUM(quantity) OVER (PARTITION BY product_id ORDER BY date_id ASC) AS BIGINT) AS running_balance
-FROM {fact} ORDER BY product_id, date_id"""
+RUNNING_SQL = """SELECT f.product_id, f.date_id, f.quantity, CAST(SUM(e.delta) AS BIGINT) AS running_balance
+FROM (SELECT *, row_number() OVER () AS n FROM {fact}) f
+JOIN (SELECT product_id, date_id, SUM(quantity) AS delta FROM {fact} GROUP BY ALL) e ON e.product_id = f.product_id AND e.date_id <= f.date_id
+GROUP BY f.n, f.product_id, f.date_id, f.quantity"""
 
 
 @register("running_balance", with_views(RUNNING_SQL.format(fact="fact_e"), "fact_e"))
 def q_running_balance(spark, sf_dir):
-    return analytics.running_balance(fact_e(spark, sf_dir))
+    return analytics.running_balance(fact_e(spark, sf_dir)).orderBy("product_id", "date_id", "quantity")
 
 
 @register("running_balance_lineitem", with_views(RUNNING_SQL.format(fact="fact_l"), "fact_l"))
 def q_running_balance_l(spark, sf_dir):
-    return analytics.running_balance(fact_l(spark, sf_dir))
+    return analytics.running_balance(fact_l(spark, sf_dir)).orderBy("product_id", "date_id", "quantity")
 
 
 # ---- A1, A14, P1, P2, P17, O6 ---------------------------------------------------------------------

@@ -1,13 +1,14 @@
 """Ingest validation, webhook and CSV sources, forecast quality gate, restock and PO flows."""
 
 import numpy as np
+import os
+
 import pandas as pd
 import pytest
 
 from stockroom import schemas as S
 from stockroom.operators import forecast as FC
 from stockroom.operators import ingest, replenish
-from stockroom.session import work_dir
 from stockroom.sources import batches
 
 ROWS = "organization_id int, row_number long, sku string, event_type string, quantity string, event_id string"
@@ -47,14 +48,15 @@ def test_first_failing_field_is_reported(spark):
     }
 
 
-def test_csv_batch_requires_columns_and_numbers_rows(spark):
-    path = work_dir(spark, "t-csv")
+def test_csv_batch_requires_columns_and_numbers_rows(spark, tmp_path):
+    path, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    os.mkdir(path)
+    os.mkdir(bad)
     pd.DataFrame({"sku": ["A", "B"], "event_type": ["SALE", "PURCHASE"], "quantity": ["1", "2"],
                   "event_id": ["e1", "e2"], "extra": ["x", "y"]}).to_csv(f"{path}/batch.csv", index=False)
     b = batches.read_csv_batch(spark, path, organization_id=3).orderBy("row_number").collect()
     assert [(r.row_number, r.sku, r.organization_id) for r in b] == [(1, "A", 3), (2, "B", 3)]
     assert "extra" not in b[0].asDict()
-    bad = work_dir(spark, "t-csv-bad")
     pd.DataFrame({"sku": ["A"], "quantity": ["1"]}).to_csv(f"{bad}/b.csv", index=False)
     with pytest.raises(batches.MissingColumnsError):
         batches.read_csv_batch(spark, bad, organization_id=1)
@@ -66,7 +68,7 @@ def test_webhook_namespacing_and_size_limit(spark):
     small = '{"source": "shop", "events": [' + item + "]}"
     big = '{"source": "shop", "events": [' + ",".join([item] * 1001) + "]}"
     payloads = spark.createDataFrame([(1, 0, small), (1, 1, big), (7, 2, small)], "organization_id int, batch long, body string")
-    rows, refused = batches.parse_webhooks(payloads, orgs)
+    rows, refused = batches.parse_webhooks(payloads, orgs, max_events=1000)
     r = rows.collect()
     assert [(x.batch, x.row_number, x.event_id, x.quantity) for x in r] == [(0, 1, "shop:ord-9", "2")]
     reasons = {x.batch: x.reason for x in refused.collect()}

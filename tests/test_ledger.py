@@ -164,5 +164,5 @@ def test_fast_path_marks_clean_groups(spark):
 def test_groups_on_a_long_chain_converge_quickly(spark):
     n = 300
     edges = spark.createDataFrame([(1, i, i + 1) for i in range(n)], "organization_id int, a long, b long")
-    g = ledger.connected_groups(edges, max_rounds=15)
+    g = ledger.connected_groups(edges)
     assert g.count() == n + 1 and {r.group_id for r in g.collect()} == {0}
