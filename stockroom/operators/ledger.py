@@ -15,11 +15,13 @@ Plan:
 1. **Groups** (O5): products that can influence each other (recipe edges, and products that
    share a repeated event id) get one ``group_id`` by iterative min-label propagation.
 2. **Fast path**: with no refusal the fold equals a prefix sum. A window sum per product over
-   the rows that would apply proves most groups clean; their results are pure SQL.
-3. **Slow path**: only dirty groups are hash-partitioned by group, sorted by arrival, and
+   the rows that would apply finishes clean groups, and dirty ones up to their first refusal, in
+   SQL. How much that is depends on the batch: on the driver's tables most rows come after a
+   refusal (61-94 %), since stock starts near zero there.
+3. **Slow path**: the rest of dirty groups is hash-partitioned by group, sorted by arrival, and
    folded by a streaming ``mapInPandas``: memory is the group's balances and its repeated
    ids, never the group's rows, so a hot product streams through one task instead of being
-   collected.
+   collected. This part stays sequential within a group.
 """
 
 from __future__ import annotations
@@ -297,18 +299,10 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
         n = len(df)
-        org = df["organization_id"].to_numpy()
-        grp = df["group_id"].to_numpy()
-        prod = df["product_id"].to_numpy()
-        eid = df["event_id"].to_numpy()
-        seq = df["seq"].to_numpy()
-        pos = df["pos"].to_numpy()
-        delta = df["delta"].to_numpy()
-        guarded = df["guarded"].to_numpy()
-        serr = df["sign_error"].to_numpy()
-        in_log = df["in_log"].to_numpy()
-        rep = df["repeated"].to_numpy()
-        start = df["fold_start"].to_numpy()
+        names = ("organization_id", "group_id", "product_id", "event_id", "seq", "guarded", "sign_error", "in_log", "repeated", "fold_start")
+        org, grp, prod, eid, seq, guarded, serr, in_log, rep, start = (df[c].tolist() for c in names)
+        invalid = df["delta"].isna().tolist()
+        delta = df["delta"].fillna(0).astype("int64").tolist()
         status = [None] * n
         error = [None] * n
         applied = [False] * n
@@ -322,13 +316,30 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             j = i + 1
             while j < n and seq[j] == seq[i] and grp[j] == grp[i] and org[j] == org[i]:
                 j += 1
-            # unit rows i..j-1, leader at i (pos 0)
             key = (org[i], eid[i])
+            if j == i + 1:  # a unit of one row, the usual case
+                if in_log[i] or (rep[i] and key in seen):
+                    status[i] = "success"
+                elif invalid[i]:
+                    status[i], error[i] = "failed", serr[i]
+                else:
+                    p = prod[i]
+                    new = bal.get(p, start[i]) + delta[i]
+                    if guarded[i] and new < 0:
+                        status[i], error[i] = "failed", S.MSG_INSUFFICIENT
+                    else:
+                        bal[p] = after[i] = new
+                        status[i], applied[i] = "success", True
+                        if rep[i]:
+                            seen.add(key)
+                i = j
+                continue
+            # unit rows i..j-1, leader at i (pos 0)
             if in_log[i] or key in seen:
                 status[i] = "success"
                 for k in range(i + 1, j):
                     status[k] = "skipped"
-            elif delta[i] is None or pd.isna(delta[i]):
+            elif invalid[i]:
                 status[i], error[i] = "failed", serr[i]
                 for k in range(i + 1, j):
                     status[k] = "skipped"
@@ -341,7 +352,7 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         continue
                     p = prod[k]
                     cur = tentative.get(p, bal.get(p, start[k]))
-                    new = cur + int(delta[k])
+                    new = cur + delta[k]
                     if guarded[k] and new < 0:
                         ok = False
                         break
