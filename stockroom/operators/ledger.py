@@ -166,7 +166,10 @@ def annotate(
         F.when(F.col("sign_error").isNull(), F.when(is_guarded("event_type"), -F.col("quantity")).otherwise(F.col("quantity"))),
     ).withColumn("guarded", is_guarded("event_type"))
     if log_ids is not None:
-        recorded = log_ids.select(*KEY).distinct().withColumn("in_log", F.lit(True))
+        # Only log rows with an id of this batch matter: the semi join lets a batch that turns out
+        # small be broadcast (adaptively, by its measured size), so the log need not be shuffled.
+        asked = rows.select(*KEY).distinct()
+        recorded = log_ids.select(*KEY).join(asked, KEY, "left_semi").distinct().withColumn("in_log", F.lit(True))
         out = out.join(recorded, KEY, "left").withColumn("in_log", F.coalesce("in_log", F.lit(False)))
     else:
         out = out.withColumn("in_log", F.lit(False))

@@ -79,3 +79,9 @@ def org_backfill(child: DataFrame, parent: DataFrame, key: str, parent_org: str
     if "quantity" in child.columns:
         out = out.withColumn("quantity", F.coalesce(F.col("quantity"), F.lit(0)))
     return out.drop("_parent_org")
+
+
+def event_id_backfill(log: DataFrame) -> DataFrame:
+    """V3: rows from before idempotency have no event id; theirs becomes ``backfill_`` and the row id."""
+    made = F.concat(F.lit("backfill_"), F.col("id").cast("string"))
+    return log.withColumn("event_id", F.coalesce(F.col("event_id"), made))
