@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from stockroom.llm import licenses, quality
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -26,10 +28,10 @@ found as (
 counted as (
     select bucket, count(*) as n_raw, count(*) filter (doc_id in (select doc_id from picked)) as n_good
     from found join docs using (r) group by bucket),
-sums as (select sum(n_raw) + {quality.BUCKETS} as all_raw, sum(n_good) + {quality.BUCKETS} as all_good, sum(n_good) as any_good from counted),
+sums as (select sum(n_raw)::double as all_raw, sum(n_good)::double as all_good from counted),
 ratio as (
-    select bucket, case when any_good = 0 then 0 else
-        floor(ln((n_good + 1) * all_raw::double / ((n_raw + 1) * all_good::double)) * 1000000 + 0.5) end::bigint as micro
+    select bucket, case when all_good = 0 then 0 else
+        floor(ln((n_good + {quality.PRIOR}) / (n_raw::double * all_good / all_raw + {quality.PRIOR})) * 1000000 + 0.5) end::bigint as micro
     from counted, sums),
 scores as (select r, count(*) as n_features, sum(micro) as score_micro from found join ratio using (bucket) group by r),
 spots as (select r, spot, count(*) over (partition by r, word, w2, w3, w4, w5) as times from line where w5 is not null),
@@ -48,7 +50,7 @@ base as (
 judged as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from base)
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
        n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
-       not base_failed and score_micro >= {int(quality.THRESHOLD * quality.MICRO)} * n_features as kept,
+       not base_failed and score_micro >= {math.floor(quality.THRESHOLD * quality.MICRO)} * n_features as kept,
        n_features::bigint as n_features, score_micro::bigint as score_micro
 from judged
 """

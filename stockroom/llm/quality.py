@@ -21,7 +21,10 @@ from stockroom.llm.arrowtext import text_chunks
 
 BUCKETS = 1 << 16
 TARGET_ROWS = 20_000
-THRESHOLD = -0.25
+THRESHOLD = -0.16
+#: Added to a bucket's trusted count and to the count that the raw corpus would lead one to expect:
+#: a rare bucket says little, so a small trusted sample does not speak against rare words.
+PRIOR = 10
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MICRO = 1_000_000
@@ -103,15 +106,15 @@ def bucket_counts(docs: DataFrame, trusted: set[int], buckets: int = BUCKETS) ->
 
 
 def log_ratios(counts: list[tuple[int, int, int]], buckets: int = BUCKETS) -> np.ndarray:
-    """For each bucket the log of trusted over raw frequency, add-one smoothed, in millionths; all
-    0 without trusted features."""
-    raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-    for bucket, r, g in counts:
-        raw[bucket], good[bucket] = r, g
-    if not good.sum():
-        return np.zeros(buckets, np.int64)
-    n_raw, n_good = int(raw.sum()) + buckets, int(good.sum()) + buckets
-    return np.array([math.floor(math.log((g + 1) * n_raw / ((r + 1) * n_good)) * MICRO + 0.5) for r, g in zip(raw.tolist(), good.tolist())], np.int64)
+    """For each bucket the log of its trusted frequency over its raw one, both with ``PRIOR`` more
+    features at the size of the trusted sample, in millionths; all 0 without trusted features."""
+    out = np.zeros(buckets, np.int64)
+    n_raw, n_good = (sum(c[i] for c in counts) for i in (1, 2))
+    if n_good:
+        for bucket, raw, good in counts:
+            expected = float(raw) * float(n_good) / float(n_raw)
+            out[bucket] = math.floor(math.log((good + PRIOR) / (expected + PRIOR)) * MICRO + 0.5)
+    return out
 
 
 def trusted_ids(labels: DataFrame, rows: int = TARGET_ROWS) -> set[int]:
