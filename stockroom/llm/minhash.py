@@ -166,7 +166,8 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT)
     sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n_bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("blocks"))
     placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    said = placed.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    # members grow with the texts, so they are not to be broadcast at any size
+    said = placed.hint("merge").join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     units = said.select("node", "text", "family", "block", "blocks", other.alias("other"))
     units = units.where("blocks = 1 or block <> other")  # two blocks' task also has the pairs within each
