@@ -5,7 +5,14 @@ deal the nodes of a label into leaves, several times over, and the nearest neigh
 leaves start the graph. Then neighbours meet: all neighbours of a node, in either direction, are
 compared with each other and better ones enter the lists, until hardly any does. By the triangle
 inequality a neighbour at more than twice the link angle never leads to a link through one step,
-so lists hold nearer ones only. A list that is full of links is saturated and doubles.
+so lists hold nearer ones only.
+
+Lists bound who meets whom, never which links count: every leaf and every meeting hands on a
+spanning forest of all links it has seen, before any list is cut. A list that is full of links is
+saturated and doubles once; if it still is full of links at the end, its links are put into the
+components and the search is repeated with lists of their own for neighbours in other components,
+until no such list is full of links. So the near copies of a dense group never crowd out the links
+that join it to another, and no list grows with a group.
 
 An audit compares a bounded sample of vectors with all rows; while it finds a link between two
 components, the graph gets more leaves. Links are then counted exactly within each component, block
@@ -24,10 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.components import components
+from stockroom.llm.minhash import spanning_links
 from stockroom.session import materialize
 
 THRESHOLD = 0.93
-#: Neighbours in a list at first, and after a saturated list has doubled.
+#: Neighbours in a list at first, and after a saturated list has doubled; a vector has one list for
+#: its own component and one for all others.
 NEIGHBOURS, MOST_NEIGHBOURS = 10, 20
 #: Vectors in a leaf, and leaves that each vector is in at first.
 LEAF, ROUNDS = 256, 12
@@ -72,27 +81,37 @@ def unit_rows(vectors: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _nearest(nodes: list[bytes], vectors: list[bytes], most: int, least_cosine: float) -> pa.Table:
-    """For each node its ``most`` nearest other ones with a cosine of at least ``least_cosine``."""
-    u, v, c = [], [], []
+EDGES = "u binary, v binary, cosine double, own boolean, forest boolean"
+
+
+def _nearest(table: pa.Table, most: int, threshold: float, least_cosine: float) -> pa.Table:
+    """``EDGES`` among the rows of ``table`` (node, vector, component): for each node its ``most``
+    nearest other ones of its own component, and as many of others, with a cosine of at least
+    ``least_cosine``; and a spanning forest of all links between components."""
+    nodes, vectors, number = table["node"].to_pylist(), table["vector"].to_pylist(), {}
+    component = np.array([number.setdefault(c, len(number)) for c in table["component"].to_pylist()], np.int64)
+    out: list[tuple] = []
     x = unit_rows(vectors) if nodes else np.zeros((0, 1))
+    linked = np.zeros((len(nodes), len(nodes)), bool)
     for start in range(0, len(nodes), 512):
         cosines = x[start : start + 512] @ x.T
         cosines[np.arange(len(cosines)), np.arange(start, start + len(cosines))] = -2
-        near = (cosines >= least_cosine).sum(1)
-        for i in np.flatnonzero(near):
-            for j in np.argsort(-cosines[i], kind="stable")[: min(most, near[i])]:
-                u.append(nodes[start + i])
-                v.append(nodes[j])
-                c.append(float(cosines[i, j]))
-    return pa.table([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(c, pa.float64())], ["u", "v", "cosine"])
-
-
-EDGES = "u binary, v binary, cosine double"
-
-
-def leaf_edges(nodes: DataFrame, first_round: int, rounds: int, least_cosine: float) -> DataFrame:
-    """Neighbours within leaves. A round's leaf is a label's vectors on the same sides of as many
+        own = component[start : start + 512, None] == component
+        linked[start : start + 512] = (cosines >= threshold) & ~own
+        for is_own, side in ((True, own), (False, ~own)):
+            shown = np.where(side, cosines, -2)
+            near = (shown >= least_cosine).sum(1)
+            for i in np.flatnonzero(near):
+                for j in np.argsort(-shown[i], kind="stable")[: min(most, near[i])]:
+                    out.append((nodes[start + i], nodes[j], float(shown[i, j]), is_own, False))
+    for i, j in spanning_links(linked | linked.T) if linked.any() else []:
+        out.append((nodes[i], nodes[j], float(x[i] @ x[j]), False, True))
+    u, v, c, own, forest = zip(*out) if out else ((),) * 5
+    return pa.table([pa.array(u, pa.binary()), pa.array(v, pa.binary()), pa.array(c, pa.float64()), pa.array(own, pa.bool_()), pa.array(forest, pa.bool_())], ["u", "v", "cosine", "own", "forest"])
+
+
+def leaf_edges(nodes: DataFrame, first_round: int, rounds: int, threshold: float, least_cosine: float) -> DataFrame:
+    """Neighbours and links within leaves of ``nodes`` (node, space, vector, component). A round's leaf is a label's vectors on the same sides of as many
     random hyperplanes as its size asks for; what still is too large is cut by a hash."""
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,10 +123,10 @@ def leaf_edges(nodes: DataFrame, first_round: int, rounds: int, least_cosine: fl
                 if len(x) not in planes:
                     planes[len(x)] = np.stack([np.random.default_rng([len(x), r]).standard_normal((PLANES, len(x))) for r in range(first_round, first_round + rounds)]).astype(np.float32)
                 codes.append(((planes[len(x)] @ x) > 0).astype(np.int64) @ (1 << np.arange(PLANES)))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("space"), batch.column("vector"), pa.array(codes, pa.list_(pa.int64()))], ["node", "space", "vector", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("space"), batch.column("vector"), batch.column("component"), pa.array(codes, pa.list_(pa.int64()))], ["node", "space", "vector", "component", "codes"])
 
-    coded = nodes.select("node", "space", "vector").mapInArrow(sides, "node binary, space string, vector binary, codes array<long>")
-    spread = coded.select("node", "space", "vector", F.posexplode("codes").alias("round", "code"))
+    coded = nodes.select("node", "space", "vector", "component").mapInArrow(sides, "node binary, space string, vector binary, component binary, codes array<long>")
+    spread = coded.select("node", "space", "vector", "component", F.posexplode("codes").alias("round", "code"))
     sizes = nodes.groupBy("space").agg(F.greatest(F.lit(0), F.least(F.lit(PLANES), F.ceil(F.log2(F.count(F.lit(1)) / LEAF)))).cast("int").alias("bits"))
     cut = spread.join(sizes, "space").withColumn("code", F.expr("code & (shiftleft(1L, bits) - 1)")).drop("bits")
     cut = materialize(cut, "leaf-codes")
@@ -115,50 +134,55 @@ def leaf_edges(nodes: DataFrame, first_round: int, rounds: int, least_cosine: fl
     placed = cut.join(parts, ["round", "space", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "round"), F.col("parts")))
 
     def near(table: pa.Table) -> pa.Table:
-        return _nearest(table["node"].to_pylist(), table["vector"].to_pylist(), NEIGHBOURS, least_cosine)
+        return _nearest(table, NEIGHBOURS, threshold, least_cosine)
 
-    return placed.select("round", "space", "code", "part", "node", "vector").groupBy("round", "space", "code", "part").applyInArrow(near, EDGES)
+    return placed.select("round", "space", "code", "part", "node", "vector", "component").groupBy("round", "space", "code", "part").applyInArrow(near, EDGES)
 
 
 def _lists(edges: DataFrame, wide: DataFrame | None) -> DataFrame:
-    """Each node's best neighbours (u, v, cosine, k), ``k`` as many; ``wide`` (u) have long lists."""
-    best = Window.partitionBy("u").orderBy(F.desc("cosine"), "v")
-    edges = edges.groupBy("u", "v").agg(F.max("cosine").alias("cosine"))
+    """``edges`` plus k and ``listed``: whether v is one of the ``k`` best neighbours of u in its own
+    component or in others; ``wide`` (u) have long lists. Only listed edges and those of a forest."""
+    best = Window.partitionBy("u", "own").orderBy(F.desc("cosine"), "v")
+    edges = edges.groupBy("u", "v").agg(F.max("cosine").alias("cosine"), F.bool_or("own").alias("own"), F.bool_or("forest").alias("forest"))
     if wide is None:
         edges = edges.withColumn("k", F.lit(NEIGHBOURS))
     else:
         edges = edges.join(wide.withColumn("wide", F.lit(True)), "u", "left").withColumn("k", F.when(F.col("wide"), MOST_NEIGHBOURS).otherwise(NEIGHBOURS)).drop("wide")
-    return edges.withColumn("at", F.row_number().over(best)).where("at <= k").drop("at")
+    return edges.withColumn("listed", F.row_number().over(best) <= F.col("k")).where("listed or forest")
 
 
-def _saturated(lists: DataFrame, threshold: float) -> DataFrame:
-    full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("worst"), F.max("k").alias("k"))
-    return full.where((F.col("k") == MOST_NEIGHBOURS) | ((F.col("n") == F.col("k")) & (F.col("worst") >= threshold))).select("u")
+def _full(lists: DataFrame, threshold: float) -> DataFrame:
+    """(u, own, k, full): whether a list is full of links."""
+    full = lists.groupBy("u", "own").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("worst"), F.max("k").alias("k"))
+    return full.select("u", "own", "k", ((F.col("n") == F.col("k")) & (F.col("worst") >= threshold)).alias("full"))
 
 
-def descend(nodes: DataFrame, edges: DataFrame, threshold: float, least_cosine: float) -> DataFrame:
-    """The neighbour graph (u, v, cosine) that NN-descent reaches from ``edges``."""
+def descend(nodes: DataFrame, edges: DataFrame, threshold: float, least_cosine: float) -> tuple[DataFrame, DataFrame]:
+    """The neighbour graph (u, v, cosine, own, k) that NN-descent reaches from ``edges``, and links
+    (a, b) that connect whatever links between components it has seen."""
     lists = materialize(_lists(edges, None), "neighbours")
-    vectors = nodes.select(F.col("node").alias("v"), "vector")
+    vectors = nodes.select(F.col("node").alias("v"), "vector", "component")
+    links = lists.where("forest").select(F.col("u").alias("a"), F.col("v").alias("b"))
 
     def meet(table: pa.Table) -> pa.Table:
-        return _nearest(table["v"].to_pylist(), table["vector"].to_pylist(), MOST_NEIGHBOURS, least_cosine)
+        return _nearest(table.rename_columns({"v": "node"}), MOST_NEIGHBOURS, threshold, least_cosine)
 
     while True:
-        wide = _saturated(lists, threshold)
-        back = lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "cosine", "k")
-        nearest = Window.partitionBy("u").orderBy(F.desc("cosine"), "v")
+        lists = lists.where("listed").select("u", "v", "cosine", "own", "k")
+        wide = _full(lists, threshold).where((F.col("k") == MOST_NEIGHBOURS) | F.col("full")).select("u").distinct()
+        back = lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "cosine", "own", "k")
+        nearest = Window.partitionBy("u", "own").orderBy(F.desc("cosine"), "v")
         back = back.withColumn("at", F.row_number().over(nearest)).where("at <= 2 * k").drop("at")
         around = lists.unionByName(back).select("u", "v").distinct()
         met = around.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("u"))).where("n > 1").select("u", "v").join(vectors, "v")
         found = met.groupBy("u").applyInArrow(meet, EDGES)
         known = lists.select("u", "v", F.lit(True).alias("old"))
-        merged = _lists(lists.select("u", "v", "cosine").unionByName(found), wide)
+        merged = _lists(lists.select("u", "v", "cosine", "own", F.lit(False).alias("forest")).unionByName(found), wide)
         lists = materialize(merged.join(known, ["u", "v"], "left").withColumn("new", F.col("old").isNull()).drop("old"), "neighbours")
-        fresh, total = lists.agg(F.coalesce(F.sum(F.col("new").cast("long")), F.lit(0)), F.count(F.lit(1))).first()
-        lists = lists.drop("new")
+        links = links.unionByName(lists.where("forest").select(F.col("u").alias("a"), F.col("v").alias("b")))
+        fresh, total = lists.where("listed").agg(F.coalesce(F.sum(F.col("new").cast("long")), F.lit(0)), F.count(F.lit(1))).first()
         if fresh <= SETTLED * total:
-            return lists.select("u", "v", "cosine")
+            return lists.where("listed").select("u", "v", "cosine", "own", "k"), links
 
 
 def missed_links(nodes: DataFrame, groups: DataFrame, threshold: float, audited: int = AUDITED) -> tuple[int, int]:
@@ -234,14 +258,25 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, rounds: int =
     nodes = rows.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("space").alias("space"), F.min("vector").alias("vector"))
     nodes = materialize(nodes, "vector-nodes")
     least_cosine = math.cos(min(2 * math.acos(threshold), math.pi))
-    edges, done = None, 0
+    edges, groups, done = None, None, 0
     while True:
-        more = leaf_edges(nodes, done, rounds, least_cosine)
-        edges = materialize(descend(nodes, more if edges is None else edges.unionByName(more), threshold, least_cosine), "graph")
+        if groups is None:
+            placed = nodes.withColumn("component", F.col("node"))
+        else:
+            placed = materialize(nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "vector-nodes")
+        more = leaf_edges(placed, done, rounds, threshold, least_cosine)
+        if edges is not None:
+            ends = [placed.select(F.col("node").alias(end), F.col("component").alias(f"_{end}")) for end in ("u", "v")]
+            old = edges.join(ends[0], "u").join(ends[1], "v").select("u", "v", "cosine", (F.col("_u") == F.col("_v")).alias("own"), F.lit(False).alias("forest"))
+            more = more.unionByName(old)
+        edges, links = descend(placed, more, threshold, least_cosine)
         done += rounds
-        links = edges.where(F.col("cosine") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        if groups is not None:
+            links = links.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
         groups = materialize(components(links), "vector-groups")
-        if missed_links(nodes, groups, threshold)[1] == 0:
+        # links that filled a list of other components have joined some of them: there are fewer now
+        crowded = _full(edges.where("not own"), threshold).where("full").limit(1).count()
+        if not crowded and missed_links(nodes, groups, threshold)[1] == 0:
             break
     counts = link_counts(nodes.select("node", "vector", "copies"), groups, threshold)
     known = nodes.select("node", "copies").join(groups, "node", "left").join(counts, "node", "left")

@@ -44,3 +44,31 @@ def test_clusters_chains_and_odd_vectors(spark, monkeypatch):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
     assert embeddings.near_vectors(df.where("false")).count() == 0
+
+
+def test_links_between_two_dense_groups(spark):
+    rng = np.random.default_rng(2)
+    axes = np.linalg.qr(rng.standard_normal((24, 24)))[0]
+
+    def pair(cosine, label, n=60):
+        centres = axes[0], cosine * axes[0] + np.sqrt(1 - cosine**2) * axes[1]
+        return [((c + 0.001 * rng.standard_normal(24)).tolist(), label) for c in centres for _ in range(n)]
+
+    rows = pair(0.94, 1) + pair(0.92, 2)  # the second two groups are joined by one vector between them
+    rows.append(((axes[0] + (0.92 * axes[0] + np.sqrt(1 - 0.92**2) * axes[1])).tolist(), 2))
+    rows = [(i, x, label) for i, (x, label) in enumerate(rows)]
+    want = brute(rows)
+    assert {n for i, n, _ in want if i < 120} == {119} and {c for _, _, c in want} == {0, 120}
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
+
+
+def test_dense_groups_of_several_leaves(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "LEAF", 16)
+    monkeypatch.setattr(embeddings, "missed_links", lambda *_: (0, 0))  # without the help of the audit
+    rng = np.random.default_rng(3)
+    axes = np.linalg.qr(rng.standard_normal((24, 24)))[0]
+    centres = axes[0], 0.94 * axes[0] + np.sqrt(1 - 0.94**2) * axes[1]
+    rows = [(i, (centres[i % 2] + 0.001 * rng.standard_normal(24)).tolist(), 1) for i in range(120)]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), rounds=3).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
