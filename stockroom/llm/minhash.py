@@ -42,7 +42,8 @@ ESTIMATE = 0.48
 BLOCK_BYTES = 3 << 20
 BLOCK_ROWS = 512
 
-SKETCHES = "doc_id long, n_shingles long, node binary, n_bytes long, sketch array<long>"
+SKETCHES = "doc_id long, digest binary, n_shingles long, node binary, n_bytes long, sketch array<long>"
+HAS_WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def shingle_set(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
@@ -67,21 +68,24 @@ def _set_of(text: str | None, ids: WordIds) -> tuple[np.ndarray, int]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``SKETCHES`` for each row of ``docs`` (doc_id, text); ``node`` is null for an empty set."""
+    """``SKETCHES`` for each row of ``docs`` (doc_id, text); ``node`` is null for an empty set,
+    ``digest`` is the MD5 of the text."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = WordIds()
         for batch in text_chunks(batches):
-            sets = [_set_of(t, ids) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            sets = [_set_of(t, ids) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    pa.array([hashlib.md5((t or "").encode(), usedforsecurity=False).digest() for t in texts], pa.binary()),
                     pa.array([len(s) for s, _ in sets], pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s, _ in sets], pa.binary()),
                     pa.array([n for _, n in sets], pa.int64()),
                     pa.array([s[:K].view(np.int64) for s, _ in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "node", "n_bytes", "sketch"],
+                ["doc_id", "digest", "n_shingles", "node", "n_bytes", "sketch"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, SKETCHES)
@@ -186,6 +190,19 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT)
     return units.groupBy("family", "i", "j").applyInArrow(settle, "a binary, b binary")
 
 
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, digest, n_shingles, component) for each row; ``component`` is null for an empty set."""
+    docs = docs.select("doc_id", "text")
+    rows = materialize(sketches(docs), "sketches")
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_bytes").alias("n_bytes"), F.any_value("sketch").alias("sketch"))
+    families = components(candidate_edges(nodes.select("node", "sketch")))
+    members = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"))
+    members = materialize(members.join(families.withColumnRenamed("component", "family"), "node"), "families")
+    groups = components(verified_links(docs, members, percent))
+    joined = rows.select("doc_id", "digest", "n_shingles", "node").join(groups, "node", "left")
+    return joined.select("doc_id", "digest", "n_shingles", F.coalesce("component", "node").alias("component"))
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -197,15 +214,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the group are null; such rows are kept if they are alone. An empty table gives an empty
     result; other columns are not read. Sets are compared by 64-bit hashes of their shingles.
     """
-    docs = docs.select("doc_id", "text")
-    rows = materialize(sketches(docs), "sketches")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_bytes").alias("n_bytes"), F.any_value("sketch").alias("sketch"))
-    families = components(candidate_edges(nodes.select("node", "sketch")))
-    members = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"))
-    members = materialize(members.join(families.withColumnRenamed("component", "family"), "node"), "families")
-    groups = components(verified_links(docs, members, percent))
-    joined = rows.select("doc_id", "n_shingles", "node").join(groups, "node", "left")
-    joined = joined.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
+    joined = _grouped(docs, percent)
     filled = joined.where("component is not null")
     smallest = filled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = filled.join(smallest, "component").select("doc_id", "n_shingles", "component_id")
@@ -214,7 +223,19 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each group of near duplicates the
-    one with the smallest doc_id."""
-    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: of each group of near duplicates one
+    row, that with the smallest doc_id (null last), then the smallest MD5 of the text, then, among
+    rows with equal id and text, the smallest other columns. Texts without words all stay."""
+    grouped = _grouped(docs, percent).where("component is not null")
+    copies = grouped.groupBy("component", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n")).alias("first")
+    kept = copies.groupBy("component").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"), F.col("first.n").alias("_n"))
+    kept = materialize(kept, "kept")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5(docs["text"])) == F.col("_digest"))
+    out = docs.where(~F.coalesce(docs["text"].rlike(HAS_WORD), F.lit(False))).unionByName(docs.join(kept.where("_n = 1"), same, "left_semi"))
+    several = kept.where("_n > 1")
+    if several.limit(1).count():
+        # a grouped minimum is partly found before the shuffle, however often a row is repeated
+        rows = docs.join(several, same).groupBy("_id", "_digest").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("_row"))
+        out = out.unionByName(rows.select("_row.*"))
+    return out

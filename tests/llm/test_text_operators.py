@@ -96,3 +96,14 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 120)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_a_group_stays(spark):
+    said = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, said(1), "b"), (1, said(1), "a"), (1, said(1), "a"), (1, said(2), "a"), (0, said(2) + " end", "a"), (None, said(1) + " end", "a")]
+    rows += [(None, said(3), "a"), (None, said(3), "a"), (None, said(3) + " end", "a"), (5, "", "a"), (5, "", "a"), (None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(tuple, minhash.keep_first(docs).collect()), key=str)
+    third = [r for r in got if r[1] and r[1].startswith("w3x")]
+    assert len(third) == 1 and third[0][0] is None
+    assert sorted([(0, said(2) + " end", "a"), (1, said(1), "a"), (5, "", "a"), (5, "", "a"), (None, None, "a"), *third], key=str) == got
