@@ -10,7 +10,7 @@ last block of a source is cut to its quota.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.running import running_total
@@ -93,23 +93,19 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
     return taken.select("slot", "key", "rank", block.alias("block"), words.alias("words"))
 
 
-def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block_words: int = 4096, seed: int = 0) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): size, source_size, target, taken.
+def _named(source: Column) -> Column:
+    return F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source))
 
-    Size is the number of words of the text (null or empty: 0). Sources stand in code point order,
-    null last as a source of its own. ``taken`` counts the words of the document in all blocks that
-    the schedule takes, repeats included; it is at most ``cap`` times the size. Documents without
-    words are taken 0 times. Equal rows are separate documents; which of them a cut falls on does
-    not show in the result as a whole. Null ids are shuffled as one id. An empty table gives an
-    empty result; other columns are not read. Only (id, source, size) rows are shuffled, and a
-    source that holds most rows is cut into 4,096 parts by its shuffle key.
-    """
-    named = F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source")))
+
+def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, block_words: int, seed: int, digests: bool) -> DataFrame:
+    """The rows of ``mix_documents`` with the key of their source and, if ``digests``, the MD5 of
+    their text, else null."""
     mixed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        named.alias("key"),
+        (F.unhex(F.md5("text")) if digests else F.lit(None).cast("binary")).alias("digest"),
+        _named(F.col("source")).alias("key"),
         mixed.alias("_order"),
     ).withColumn("_part", F.substring("_order", 1, 3))
     rows = materialize(rows, "mix-sizes")
@@ -117,26 +113,57 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: in
     targets = materialize(source_targets(sizes, weights, cap), "mix-targets")
     use = schedule(targets, block_words)
 
-    placed = running_total(rows.where("size > 0"), "key", "_part", ["_order", "doc_id", "size"], "size", "start")
+    placed = running_total(rows.where("size > 0"), "key", "_part", ["_order", "doc_id", "size", "digest"], "size", "start")
     span = F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))
-    pieces = placed.select("doc_id", "size", "key", "start", F.explode(span).alias("block"))
+    pieces = placed.select("doc_id", "digest", "size", "key", "start", F.explode(span).alias("block"))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
     until = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.coalesce("words", F.lit(0)))
     used = pieces.join(use.select("key", "block", "words"), ["key", "block"], "left")
     got = F.coalesce(F.greatest(until - first, F.lit(0)), F.lit(0))
-    taken = used.groupBy("doc_id", "size", "key", "start").agg(F.sum(got).alias("taken")).drop("start")
-    empty = rows.where("size = 0").select("doc_id", "size", "key", F.lit(0).cast("long").alias("taken"))
+    taken = used.groupBy("doc_id", "digest", "size", "key", "start").agg(F.sum(got).alias("taken")).drop("start")
+    empty = rows.where("size = 0").select("doc_id", "digest", "size", "key", F.lit(0).cast("long").alias("taken"))
     out = taken.unionByName(empty).join(targets, "key")
-    return out.select("doc_id", "size", "source_size", "target", "taken")
-
-
-def draw_mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix_documents`` takes its document, with all their
-    columns: not at all if nothing of it is taken, and the document on which a source's quota ends
-    whole. Rows with equal ids share the copies of all of them, rounded up."""
-    mixed = mix_documents(docs, **options)
-    times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
-    copies = mixed.groupBy("doc_id").agg(F.ceil(F.sum(times) / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
-    copies = copies.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[joined[c] for c in docs.columns])
+    return out.select("doc_id", "digest", "key", "size", "source_size", "target", "taken")
+
+
+def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block_words: int = 4096, seed: int = 0) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source): size, source_size, target, taken.
+
+    Size is the number of words of the text (null or empty: 0). Sources stand in code point order,
+    null last as a source of its own. ``taken`` counts the words of the document in all blocks that
+    the schedule takes, repeats included; it is at most ``cap`` times the size. Documents without
+    words are taken 0 times. Equal rows are separate documents; which of them a cut falls on does
+    not show in the result as a whole. Null ids are shuffled as one id. An empty table gives an
+    empty result; other columns are not read. Only (id, source, size) rows are shuffled, and a
+    source that holds most rows is cut into 4,096 parts by its shuffle key.
+    """
+    taken = _taken(docs, weights, cap, block_words, seed, digests=False)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def draw_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block_words: int = 4096, seed: int = 0) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix_documents`` takes it, with all their columns:
+    not at all if nothing of it is taken, and the document on which a source's quota ends whole.
+    Rows are told apart by id, source and text; rows equal in these share the sum of their copies
+    evenly, in order of all their columns."""
+    mixed = _taken(docs, weights, cap, block_words, seed, digests=True)
+    times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("long")
+    copies = mixed.groupBy("doc_id", "digest", "key").agg(F.sum(times).alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
+    copies = materialize(copies.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("key").alias("_key"), "_copies", "_rows"), "mix-copies")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.unhex(F.md5(docs["text"])) == F.col("_digest")) & (_named(docs["source"]) == F.col("_key"))
+    out = _repeated(docs.join(copies.where("_rows = 1"), same), F.col("_copies"), docs.columns)
+    several = copies.where("_rows > 1").withColumn("_equal", F.monotonically_increasing_id())
+    if several.limit(1).count():
+        # identical rows become one row with a number before they are put in order
+        several = materialize(several, "mix-copies")
+        equal = docs.join(several, same).groupBy("_equal", "_copies", "_rows", *[docs[c] for c in docs.columns]).agg(F.count(F.lit(1)).alias("_n"))
+        equal = materialize(equal.withColumn("_cell", F.pmod(F.xxhash64(*docs.columns), F.lit(4096))), "mix-equal")
+        ranked = running_total(equal, "_equal", "_cell", docs.columns, "_n", "_start")
+        share = F.expr("(_start + _n) * _copies div _rows - _start * _copies div _rows")
+        out = out.unionByName(_repeated(ranked, share, docs.columns))
+    return out
+
+
+def _repeated(rows: DataFrame, times: Column, columns: list[str]) -> DataFrame:
+    wanted = rows.withColumn("_times", times).where("_times > 0")
+    return wanted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*columns)

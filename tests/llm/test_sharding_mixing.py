@@ -89,3 +89,16 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
 def test_a_rerun_takes_the_same(odd_docs):
     once, again = (sorted(map(tuple, mixing.mix_documents(d).collect()), key=str) for d in (odd_docs, odd_docs.repartition(7)))
     assert once == again
+
+
+def test_rows_of_one_id_are_drawn_each(spark):
+    """Each source keeps its own share, also where rows have one id or none and are repeated."""
+    rows = [(None if i % 3 else 7, f"{s} {i % 25 if s == 'b' else i} " + "word " * 8, s) for s, n in (("a", 40), ("b", 90), ("c", 200)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = {r.source: r.n for r in docs.groupBy("source").agg({"text": "count"}).withColumnRenamed("count(text)", "n").collect()}
+    want = dict.fromkeys(sizes, 0)
+    for r in mixing.mix_documents(docs, block_words=64).collect():
+        source = next(s for s, n in sizes.items() if n * 10 == r.source_size)
+        want[source] += -(-r.taken // r.size)
+    got = {r.source: r["count"] for r in mixing.draw_mix(docs, block_words=64).groupBy("source").count().collect()}
+    assert got == want and got["c"] < 200 < 3 * got["a"]
