@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from stockroom.llm import licenses, quality
+from stockroom.llm import decontaminate, licenses, quality, ranked_search
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -206,6 +206,86 @@ found as (
 select *, vec_id = component_id as kept from found
 """
 
+_LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _lower_words(column: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({column}, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '{_LOWER_WORD}')"
+
+
+OP11 = rf"""
+with docs as (select row_number() over () as r, doc_id, {_lower_words("text")} as said from documents),
+items as (select coalesce(item_id::varchar, '') as item, {_lower_words("text")} as said from benchmark),
+windows as (
+    select distinct item, array_to_string(said[i : i + {decontaminate.WIDTH - 1}], ' ') as phrase, least(len(said), {decontaminate.WIDTH}) as length
+    from items, unnest(range(1, greatest(len(said) - {decontaminate.WIDTH}, 0) + 2)) as t(i) where len(said) > 0),
+lengths as (select distinct length from windows),
+starts as (select r, said, length, unnest(range(1, len(said) - length + 2)) as i from docs, lengths where len(said) >= length),
+met as (
+    select r, i, length, item from (select r, i, length, array_to_string(said[i : i + length - 1], ' ') as phrase from starts)
+    join windows using (length, phrase)),
+hit as (select r, count(*) as n from (select distinct r, unnest(range(i, i + length)) as spot from met) group by r),
+named as (select r, count(*) as n, string_agg(item, ',' order by item) as names from (select distinct r, item from met) group by r)
+select doc_id, len(said)::bigint as n_words, coalesce(h.n, 0)::bigint as n_hit, coalesce(m.n, 0)::bigint as n_items,
+       sha256(coalesce(m.names, '')) as items_sha256, coalesce(h.n, 0) > 0 as contaminated
+from docs left join hit h using (r) left join named m using (r)
+"""
+
+# each order's figures are counted from the documents themselves, step by step
+OP12 = rf"""
+with docs as (
+    select row_number() over () as r, doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '{_WORD}') as said from documents),
+firsts as (select text, min(doc_id) as first from docs group by text),
+marks as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+facts as (
+    select r, part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+           map {{'A': len(said) < 100, 'B': 100 * len(list_distinct(said)) < 80 * len(said),
+                 'C': 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * len(text),
+                 'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)}} as fails
+    from docs join firsts using (text) left join marks using (doc_id)),
+alike as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from facts group by part, fails),
+letters (l) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+    select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps as (
+    select filter_order, step, filter_order[step] as own, string_split(filter_order[: step - 1], '') as earlier
+    from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+judged as (
+    select part, filter_order, step, own, n, good, toxic, fails[own] as fail,
+           len(list_filter(earlier, lambda x : x <> '' and fails[x])) > 0 as gone,
+           len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda x : fails[x])) as n_fails
+    from alike, steps),
+figures as (
+    select part, filter_order, step, own,
+           coalesce(sum(n) filter (not gone and not fail), 0) as kept, coalesce(sum(n) filter (not gone and fail), 0) as removed,
+           coalesce(sum(n) filter (gone and fail), 0) as redundant, coalesce(sum(n) filter (fail and n_fails = 1), 0) as unique_fails,
+           coalesce(sum(good) filter (not gone and fail), 0) as good_lost, coalesce(sum(toxic) filter (not gone and fail), 0) as toxic_lost
+    from judged group by part, filter_order, step, own)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, own))::bigint as shapley
+from figures
+"""
+
+OP13 = rf"""
+with docs as (select row_number() over () as r, doc_id, {_lower_words("text")} as said from documents),
+items as (select row_number() over () as i, item_id, {_lower_words("text")} as said from benchmark),
+asked as (select distinct i, unnest(said) as term from items),
+sizes as (select r, doc_id, len(said)::bigint as n from docs where len(said) > 0),
+whole as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from sizes),
+found as (select r, term, count(*) as tf from (select r, unnest(said) as term from docs) where term in (select term from asked) group by r, term),
+weights as (
+    select term, floor({ranked_search.WEIGHT_UNIT} * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::bigint as w
+    from found, whole group by term),
+scores as (
+    select i, r, sum(w * (({ranked_search.UNIT} * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) as score
+    from asked join found using (term) join weights using (term) join sizes using (r), whole group by i, r),
+ranked as (select i, doc_id, score, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from scores join sizes using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score::bigint as score from ranked join items using (i) where rank <= {ranked_search.TOP}
+"""
+
 SQL: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op3_warc": OP3,
@@ -214,4 +294,7 @@ SQL: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op8_mixing": OP8,
     "op10_embeddings": OP10,
+    "op11_decontaminate": OP11,
+    "op12_filter_audit": OP12,
+    "op13_ranked_search": OP13,
 }

@@ -7,7 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.llm import bpe, embeddings, licenses, lines, minhash, mixing, oracle, quality, sharding, suffixes, warc
+from stockroom.llm import (
+    bpe,
+    decontaminate,
+    embeddings,
+    filter_audit,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    oracle,
+    quality,
+    ranked_search,
+    sharding,
+    suffixes,
+    warc,
+)
 from stockroom.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +72,33 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, QueryFn] = {
-    f.__name__: f for f in (op1_suffix_dedup, op2_quality_rules, op3_warc, op4_licenses, op5_minhash, op6_line_dedup, op7_sharding, op8_mixing, op9_bpe, op10_embeddings)
-}
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(decontaminate.find_passages(docs, benchmark))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OPERATORS = (
+    op1_suffix_dedup,
+    op2_quality_rules,
+    op3_warc,
+    op4_licenses,
+    op5_minhash,
+    op6_line_dedup,
+    op7_sharding,
+    op8_mixing,
+    op9_bpe,
+    op10_embeddings,
+    op11_decontaminate,
+    op12_filter_audit,
+    op13_ranked_search,
+)
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in OPERATORS}
 ORACLE: dict[str, str] = oracle.SQL

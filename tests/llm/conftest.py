@@ -3,7 +3,7 @@ import pytest
 
 from tests.conftest import SF_MID, SF_SMALL
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 
 def duck_over(**paths):
