@@ -70,8 +70,18 @@ def ingest(
     ``rows``: organization_id, row_number (1-based arrival order), sku, event_type, quantity
     (text), event_id (text). Rows failing validation or SKU lookup never reach the fold.
     """
-    # The validated batch feeds the fold, the failures and the result assembly: write it once.
-    checked = materialize(resolve_sku(validate(rows), products), "ingest-checked")
+    checked = check_rows(rows, products)
+    folded = apply_checked(checked, log, recipe_items, start_state)
+    return row_results(checked, folded), folded
+
+
+def check_rows(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """The validated batch. It feeds the fold, the failures and the result assembly: written once."""
+    return materialize(resolve_sku(validate(rows), products), "ingest-checked")
+
+
+def apply_checked(checked: DataFrame, log: DataFrame | None, recipe_items: DataFrame | None, start_state: DataFrame | None) -> DataFrame:
+    """Fold rows of the well-formed rows of a checked batch."""
     good = checked.filter(F.col("error").isNull()).select(
         "organization_id",
         "product_id",
@@ -81,15 +91,19 @@ def ingest(
         F.col("row_number").alias("seq"),
     )
     log_ids = None if log is None else log.select(*ledger.KEY)
-    folded = ledger.apply_batch(good, log_ids=log_ids, start_state=start_state, recipe_items=recipe_items)
-    # Leader rows (pos 0) are the batch rows that reached the fold; they carry the raw id.
+    return ledger.apply_batch(good, log_ids=log_ids, start_state=start_state, recipe_items=recipe_items)
+
+
+def row_results(checked: DataFrame, folded: DataFrame) -> DataFrame:
+    """(organization_id, row_number, event_id, status, error) for every row of a batch. Leader rows
+    (pos 0) of the fold are the batch rows that reached it; they carry the raw id."""
     ok = folded.filter(F.col("pos") == 0).select(
         "organization_id", F.col("seq").alias("row_number"), "event_id", "status", "error"
     )
     bad = checked.filter(F.col("error").isNotNull()).select(
         "organization_id", "row_number", "event_id", F.lit("failed").alias("status"), "error"
     )
-    return bad.unionByName(ok), folded
+    return bad.unionByName(ok)
 
 
 def summary(results: DataFrame) -> DataFrame:

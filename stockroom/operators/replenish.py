@@ -163,7 +163,10 @@ def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | Non
     )
     if log_ids is None:
         return ev.withColumn("already_recorded", F.lit(False))
-    seen = log_ids.select("organization_id", "event_id").distinct().withColumn("already_recorded", F.lit(True))
+    # only log rows with an id of these lines matter: the log itself is not shuffled for a small batch
+    asked = ev.select("organization_id", "event_id")
+    seen = log_ids.select("organization_id", "event_id").join(asked, ["organization_id", "event_id"], "left_semi")
+    seen = seen.distinct().withColumn("already_recorded", F.lit(True))
     return ev.join(seen, ["organization_id", "event_id"], "left").withColumn(
         "already_recorded", F.coalesce("already_recorded", F.lit(False))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stockroom.plans import (  # noqa: F401
     decision_queries,
+    journal_queries,
     lake_queries,
     ledger_queries,
     po_queries,

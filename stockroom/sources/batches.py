@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stockroom import schemas as S
 from stockroom.operators.ingest import parsed_quantity
+from stockroom.session import materialize
 
 
 def arrival_order(rows: DataFrame) -> DataFrame:
@@ -53,6 +54,15 @@ def number_rows(df: DataFrame) -> DataFrame:
     ).drop("_file", "_block", "_mid", "_offset", "_first")
 
 
+def numbered_rows(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with consecutive ``row_number`` 1..n in ``order``: each task writes a range of it, and
+    the counts of the files that come earlier, a row per file, give each file its offset. So ids are
+    handed out in ranges, and no window numbers the rows as a whole."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    written = materialize(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order), "numbered")
+    return number_rows(written)
+
+
 def _header_groups(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
     """Files of a CSV batch by their header line. The first line of a file is the one at offset 0
     of its first split; the driver gets a row for each file, as the reader's file listing does."""
