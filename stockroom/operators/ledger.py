@@ -20,8 +20,11 @@ Plan:
    refusal (61-94 %), since stock starts near zero there.
 3. **Slow path**: the rest of dirty groups is hash-partitioned by group, sorted by arrival, and
    folded by a streaming ``mapInPandas``: memory is the group's balances and its repeated
-   ids, never the group's rows, so a hot product streams through one task instead of being
-   collected. This part stays sequential within a group.
+   ids, never the group's rows.
+4. **Hot groups**: a group with very many such rows is cut into chunks by arrival number, and all
+   chunks are folded at once from guessed balances (``fold_hot``). A chunk's outcome holds for every
+   start that changes none of its decisions; a chain over a few numbers per chunk finds the chunks
+   whose guess was off, and only these are folded again.
 """
 
 from __future__ import annotations
@@ -290,10 +293,15 @@ FOLD_OUT = T.StructType(
 )
 
 
+#: Columns of the fold beyond its results: the chunk, the balance it started from, whether the id was
+#: taken as recorded by an earlier chunk, and by how much a refused row fell short.
+CHUNK_COLS = {"chunk": T.LongType(), "fold_start": T.LongType(), "assumed": T.BooleanType(), "short": T.LongType()}
+
+
 def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sequential fold over a partition sorted by (org, group, seq, pos).
+    """Sequential fold over a partition sorted by (org, group, chunk, seq, pos).
 
-    State: balances of the current group's products and the accepted ids among rows that
+    State: balances of the current chunk's products and the accepted ids among rows that
     repeat in the batch. A unit (same seq) is held back until its last row has arrived,
     because Arrow batches may split it.
     """
@@ -302,17 +310,19 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
         n = len(df)
-        names = ("organization_id", "group_id", "product_id", "event_id", "seq", "guarded", "sign_error", "in_log", "repeated", "fold_start")
-        org, grp, prod, eid, seq, guarded, serr, in_log, rep, start = (df[c].tolist() for c in names)
+        names = ("organization_id", "group_id", "product_id", "event_id", "seq", "guarded", "sign_error", "repeated", "fold_start", "chunk")
+        org, grp, prod, eid, seq, guarded, serr, rep, start, chunk = (df[c].tolist() for c in names)
+        in_log = (df["in_log"] | df["assumed"]).tolist()
         invalid = df["delta"].isna().tolist()
         delta = df["delta"].fillna(0).astype("int64").tolist()
         status = [None] * n
         error = [None] * n
         applied = [False] * n
         after = [None] * n
+        short = [None] * n
         i = 0
         while i < n:
-            g = (org[i], grp[i])
+            g = (org[i], grp[i], chunk[i])
             if g != state["group"]:
                 state["group"], state["bal"], state["seen"] = g, {}, set()
             bal, seen = state["bal"], state["seen"]
@@ -329,7 +339,7 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     p = prod[i]
                     new = bal.get(p, start[i]) + delta[i]
                     if guarded[i] and new < 0:
-                        status[i], error[i] = "failed", S.MSG_INSUFFICIENT
+                        status[i], error[i], short[i] = "failed", S.MSG_INSUFFICIENT, -new
                     else:
                         bal[p] = after[i] = new
                         status[i], applied[i] = "success", True
@@ -357,7 +367,7 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     cur = tentative.get(p, bal.get(p, start[k]))
                     new = cur + delta[k]
                     if guarded[k] and new < 0:
-                        ok = False
+                        ok, short[k] = False, -new
                         break
                     tentative[p] = new
                     after[k] = new
@@ -375,12 +385,13 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         status[k] = "failed" if k == i else "skipped"
                     error[i] = S.MSG_INSUFFICIENT
             i = j
-        out = df.drop(columns=["fold_start"])
+        out = df.copy(deep=False)
         out["status"] = status
         out["error"] = error
         out["applied"] = applied
         out["balance_after"] = pd.array(after, dtype="Int64")
-        return out
+        out["short"] = pd.array(short, dtype="Int64")
+        return out[FOLDED.fieldNames()]
 
     for pdf in batches:
         if carry is not None and len(carry):
@@ -399,13 +410,152 @@ def _fold_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield run(carry.reset_index(drop=True))
 
 
+FOLDED = T.StructType(FOLD_OUT.fields + [T.StructField(name, kind) for name, kind in CHUNK_COLS.items()])
+GROUP = ["organization_id", "group_id"]
+CHUNK = [*GROUP, "chunk"]
+
+
+def _fold_chunks(rows: DataFrame) -> DataFrame:
+    """Fold each (group, chunk) in order, each from its ``fold_start`` balances."""
+    columns = [*FOLD_IN_COLS, "chunk", "fold_start", "assumed"]
+    keyed = rows.select(*columns).repartition(*CHUNK).sortWithinPartitions(*CHUNK, "seq", "pos")
+    return keyed.mapInPandas(_fold_stream, FOLDED)
+
+
 def fold_slow(rows: DataFrame) -> DataFrame:
     """Sequential fold of the rows from each dirty group's cut on; ``fold_start`` is each
     product's balance at the cut."""
-    keyed = rows.select(*FOLD_IN_COLS, "fold_start").repartition("organization_id", "group_id").sortWithinPartitions(
-        "organization_id", "group_id", "seq", "pos"
+    whole = rows.withColumn("chunk", F.lit(0).cast("long")).withColumn("assumed", F.lit(False))
+    return _fold_chunks(whole).select(*FOLD_OUT.fieldNames())
+
+
+# ---- hot groups: all chunks at once from guessed balances --------------------------------------------------------
+#: Rows behind its cut above which a group is folded in chunks, and how often chunks whose guess was
+#: off are folded again before their group is folded in one go.
+HOT_ROWS = 1 << 20
+ROUNDS = 8
+
+#: Stands for a difference of balances without a bound.
+FAR = 1 << 62
+CHAIN_OUT = "organization_id int, group_id long, chunk long, product_id long, event_id string, wrong boolean, start long, seen boolean"
+
+
+def _guesses(rows: DataFrame, chunk: int) -> DataFrame:
+    """First guesses: a product's balance at a chunk's start as if refused rows took what there was
+    (the running sum less its lowest point below zero), and an id as recorded at its first valid row."""
+    numbered = rows.withColumn("chunk", F.floor(F.col("seq") / chunk)).withColumnRenamed("fold_start", "base")
+    took = F.when(F.col("effective"), F.col("delta")).otherwise(F.lit(0))
+    low = F.min(F.when(F.col("effective") & F.col("guarded"), F.col("running")))
+    sums = numbered.groupBy(*CHUNK, "product_id", "base").agg(F.sum(took).alias("_sum"), low.alias("_low"))
+    earlier = Window.partitionBy(*GROUP, "product_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    debt = F.least(F.lit(0), F.coalesce(F.min("_low").over(earlier), F.lit(0)))
+    guess = F.col("base") + F.coalesce(F.sum("_sum").over(earlier), F.lit(0)) - debt
+    guesses = sums.select(*CHUNK, "product_id", guess.alias("fold_start"))
+    assumed = F.col("repeated") & F.coalesce(F.floor(F.col("first_valid.seq") / chunk) < F.col("chunk"), F.lit(False))
+    return numbered.withColumn("assumed", assumed).join(guesses, [*CHUNK, "product_id"])
+
+
+def _chunk_summaries(folded: DataFrame, bases: DataFrame) -> DataFrame:
+    """A row for each product of a chunk: by how much its start may differ from the guess without
+    changing a decision (lo <= difference < hi) and its net change; and one for each repeated id."""
+    products = folded.groupBy(*CHUNK, "product_id").agg(
+        F.max("fold_start").alias("guess"),
+        F.coalesce(F.sum(F.when(F.col("applied"), F.col("delta"))), F.lit(0)).alias("net"),
+        F.coalesce(-F.min(F.when(F.col("applied") & F.col("guarded"), F.col("balance_after"))), F.lit(-FAR)).alias("lo"),
+        F.coalesce(F.min("short"), F.lit(FAR)).alias("hi"),
     )
-    return keyed.mapInPandas(_fold_stream, FOLD_OUT)
+    ids = folded.where("repeated and not in_log").groupBy(*CHUNK, "event_id").agg(F.max("assumed").alias("assumed"), F.max("applied").alias("accepted"))
+    both = products.join(bases, [*GROUP, "product_id"]).unionByName(ids, allowMissingColumns=True)
+    return both.select(*CHUNK, "product_id", "event_id", "base", "guess", "net", "lo", "hi", "assumed", "accepted").fillna(0, ["product_id", "base", "guess", "net", "lo", "hi"])
+
+
+def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Walk the chunk summaries of each group in order and tell for each what it really starts from.
+
+    A chunk whose guess was off counts on with the end it found, since folds from different starts
+    tend to meet; that is only the next guess. Chunks before a group's first wrong one are final."""
+    group, chunk, rows = None, None, []
+    balance: dict = {}
+    seen: set = set()
+
+    def close() -> list[tuple]:
+        starts, wrong = [], False
+        for r in rows:
+            if r.event_id is not None:
+                wrong |= bool(r.assumed) != (r.event_id in seen)
+                continue
+            start = balance.get(r.product_id, r.base)
+            off = start - r.guess
+            bad = not r.lo <= off < r.hi
+            wrong |= bad
+            starts.append((r, start, r.guess if bad else start))
+        out = [(*group, chunk, int(r.product_id), None, wrong, int(start), None) for r, start, _ in starts]
+        ids = [r for r in rows if r.event_id is not None]
+        out += [(*group, chunk, None, r.event_id, wrong, None, r.event_id in seen) for r in ids]
+        balance.update({r.product_id: begun + r.net for r, _, begun in starts})
+        seen.update(r.event_id for r in ids if r.accepted)
+        return out
+
+    for pdf in batches:
+        out = []
+        pdf["event_id"] = pdf["event_id"].astype(object).where(pdf["event_id"].notna(), None)
+        for r in pdf.itertuples(index=False):
+            at = (int(r.organization_id), int(r.group_id))
+            if rows and (at != group or int(r.chunk) != chunk):
+                out += close()
+                rows = []
+            if at != group:
+                group, balance, seen = at, {}, set()
+            chunk = int(r.chunk)
+            rows.append(r)
+        yield _chain_frame(out)
+    if rows:
+        yield _chain_frame(close())
+
+
+def _chain_frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=[c.split()[0] for c in CHAIN_OUT.split(", ")])
+    return out.astype({"product_id": "Int64", "start": "Int64", "seen": "boolean"})
+
+
+def fold_hot(rows: DataFrame, chunk: int, rounds: int = ROUNDS) -> DataFrame:
+    """``fold_slow`` for groups with very many rows, spread over chunks of ``chunk`` arrival numbers.
+
+    Each round folds the chunks in question in parallel. A group's first wrong chunk starts from
+    its true balances in the next round, so every round settles at least one more; groups that are
+    not settled after ``rounds`` are folded in one go. ``rows`` also has effective, running and
+    first_valid from the fast path."""
+    guessed = materialize(_guesses(rows, chunk), "fold-guesses")
+    bases = guessed.select(*GROUP, "product_id", "base").distinct()
+    pending, results, asked, open_groups = guessed, None, None, None
+    for turn in range(rounds):
+        folded = materialize(_fold_chunks(pending).withColumn("turn", F.lit(turn)), "fold-chunks")
+        fresh = _chunk_summaries(folded, bases)
+        if results is None:
+            results, summaries = folded, materialize(fresh, "fold-summaries")
+        else:
+            results = results.unionByName(folded)
+            summaries = materialize(summaries.join(asked, CHUNK, "left_anti").unionByName(fresh), "fold-summaries")
+        walked = summaries.repartition(*GROUP).sortWithinPartitions(*CHUNK).mapInPandas(_chain, CHAIN_OUT)
+        starts = materialize(walked, "fold-starts")
+        asked = materialize(starts.where("wrong").select(*CHUNK).distinct(), "fold-wrong")
+        if asked.isEmpty():
+            open_groups = None
+            break
+        open_groups = asked.select(*GROUP).distinct()
+        moved = starts.where("wrong and product_id is not null").select(*CHUNK, "product_id", F.col("start").alias("fold_start"))
+        ids = starts.where("wrong and event_id is not null").select(*CHUNK, "event_id", F.col("seen").alias("assumed"))
+        again = guessed.drop("fold_start", "assumed").join(moved, [*CHUNK, "product_id"])
+        pending = again.join(ids, [*CHUNK, "event_id"], "left").withColumn("assumed", F.coalesce("assumed", F.lit(False)))
+    # of each chunk the last fold holds; balances move by what its start differs from the guess
+    last = results.select(*CHUNK, "turn").distinct().groupBy(*CHUNK).agg(F.max("turn").alias("turn"))
+    true_starts = starts.where("product_id is not null").select(*CHUNK, "product_id", "start")
+    settled = results.join(last, [*CHUNK, "turn"]).join(true_starts, [*CHUNK, "product_id"])
+    settled = settled.withColumn("balance_after", F.col("balance_after") + F.col("start") - F.col("fold_start"))
+    if open_groups is None:
+        return settled.select(*FOLD_OUT.fieldNames())
+    rest = fold_slow(rows.join(open_groups, GROUP, "left_semi"))
+    return settled.join(open_groups, GROUP, "left_anti").select(*FOLD_OUT.fieldNames()).unionByName(rest)
 
 
 # ---- the composed operator -----------------------------------------------------------------------------------
@@ -417,12 +567,15 @@ def apply_batch(
     groups: DataFrame | str | None = None,
     unique_ids: bool = False,
     chunk: int = 1 << 16,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """O1+O2+O3: per fold row ``status`` (success / failed / skipped), ``error``, ``applied``
     (newly recorded), ``balance_after``. Leader rows (``pos`` 0) are the batch's rows.
 
     ``groups="product"`` declares that rows of different products never interact (no
-    recipes, ids unique per product) and skips the labelling rounds.
+    recipes, ids unique per product) and skips the labelling rounds. Groups with more than
+    ``hot_rows`` rows behind their first possible refusal are folded in chunks of ``chunk`` arrival
+    numbers, spread over tasks; the outcome is the same.
     """
     rows = expand_units(events, recipe_items)
     rows = annotate(rows, log_ids, start_state, unique_ids=unique_ids)
@@ -463,8 +616,13 @@ def apply_batch(
         # ids recorded before the cut are no-ops when they repeat after it
         done = accepted_before.select(*KEY).distinct().withColumn("_done", F.lit(True))
         suffix = suffix.join(done, KEY, "left").withColumn("in_log", F.col("in_log") | F.coalesce("_done", F.lit(False)))
-    slow = fold_slow(suffix)
-    return clean.unionByName(slow)
+    sizes = judged.filter(~before).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.where(F.col("n") > hot_rows).select(*GROUP)
+    if hot.isEmpty():
+        return clean.unionByName(fold_slow(suffix))
+    hot = materialize(hot, "hot-groups")
+    spread = fold_hot(suffix.join(hot, GROUP, "left_semi"), chunk)
+    return clean.unionByName(fold_slow(suffix.join(hot, GROUP, "left_anti"))).unionByName(spread)
 
 
 def final_balances(results: DataFrame, start_state: DataFrame | None = None) -> DataFrame:

@@ -3,10 +3,9 @@ webhook and CSV batch sources."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stockroom.operators import ingest, ledger, projection
+from stockroom.operators import ingest, ledger, projection, quality
 from stockroom.plans.ingest_oracle import CASCADE_CTES, CASCADE_VIEWS, INGEST_CTES, INGEST_VIEWS, NEW_STATE
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
@@ -52,11 +51,11 @@ def q_oversell_apply(spark, sf_dir):
     # O1 on the lineitem log: every row is its own event (ids made unique by arrival number),
     # applied in the total order per product from a zero balance.
     log = A.event_log_l(spark, sf_dir)
-    order = Window.partitionBy("organization_id", "product_id").orderBy(
-        "created_at", "event_id", "supplier_id", "quantity", "price", "event_type"
-    )
+    order = ["created_at", "event_id", "supplier_id", "quantity", "price", "event_type"]
     raw = F.when(F.col("event_type").isin("SALE", "DAMAGE", "WASTE"), -F.col("quantity")).otherwise(F.col("quantity"))
-    events = log.withColumn("seq", F.row_number().over(order)).select(
+    # numbered within (product, day) plus the counts of earlier days: no product's rows meet in one task
+    numbered = quality.occurrence_numbers(log, ["organization_id", "product_id"], order, F.to_date("created_at"))
+    events = numbered.withColumn("seq", F.col("occurrence").cast("long")).select(
         "organization_id",
         "product_id",
         F.concat(F.col("event_id"), F.lit("#"), F.col("seq").cast("string")).alias("event_id"),
