@@ -15,6 +15,7 @@ from stockroom.session import work_dir
 from stockroom.sources import adapters as A
 from stockroom.sources import lake
 from stockroom.streaming import jobs
+from stockroom.streaming.idlog import IdLog
 
 LOG_L_SCHEMA = T.StructType(
     [
@@ -53,11 +54,11 @@ def q_stream_export(spark, sf_dir):
     with_views("SELECT DISTINCT organization_id, event_id FROM event_log_l", "event_log_l"),
 )
 def q_stream_dedup(spark, sf_dir):
+    # Four micro-batches of mixed dates: repeats come back years later and are dropped all the same.
     src = _stage(A.event_log_l(spark, sf_dir), "stream_src_l", spark)
     out = work_dir(spark, "stream_dedup")
-    # Horizon wider than the lineitem date range, so the result is the exact distinct set.
-    jobs.dedup_stream(jobs.log_stream(spark, src, LOG_L_SCHEMA, max_files=1), out, f"{out}_ckpt", horizon="4000 days")
-    return spark.read.parquet(out).select("organization_id", "event_id")
+    jobs.dedup_stream(jobs.log_stream(spark, src, LOG_L_SCHEMA, max_files=1), out, f"{out}_ckpt")
+    return IdLog(spark, out).rows().select("organization_id", "event_id")
 
 
 @register("stream_projection", ORACLE["replay_state"])
@@ -87,11 +88,63 @@ def q_stream_daily_delta(spark, sf_dir):
     )
 
 
+# Rows arrive in five files, mostly by time, but one in ten a file late.
+ARRIVAL_SQL = """SELECT *, CAST(least(4, floor(5 * (epoch(created_at) - lo) / (hi - lo + 1)) + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END) AS INT) AS file
+FROM event_log, (SELECT min(epoch(created_at)) AS lo, max(epoch(created_at)) AS hi FROM event_log) b"""
+
+
+def _arrival(log):
+    span = log.agg(F.min(F.unix_timestamp("created_at")).alias("lo"), F.max(F.unix_timestamp("created_at")).alias("hi")).first()
+    late = F.when(F.col("id") % 10 == 0, 1).otherwise(0) if "id" in log.columns else F.when(F.pmod(F.crc32("event_id"), F.lit(10)) == 0, 1).otherwise(0)
+    at = F.unix_micros("created_at") / 1e6
+    return F.least(F.lit(4), F.floor(5 * (at - span["lo"]) / (span["hi"] - span["lo"] + 1)) + late).cast("int")
+
+
+def _stage_files(df, name, spark, file):
+    """Write the rows as one Parquet file after the other, by number."""
+    path = work_dir(spark, name)
+    for k in range(5):
+        df.where(file == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register(
+    "stream_daily_late",
+    with_views(
+        """SELECT product_id, strftime(created_at, '%Y-%m-%d') AS date_id, CAST(SUM(quantity) AS BIGINT) AS daily_delta,
+       CAST(SUM(CASE WHEN late THEN 0 ELSE quantity END) AS BIGINT) AS on_time_delta, COUNT(*) FILTER (WHERE late) AS late_rows
+FROM judged GROUP BY ALL""",
+        "event_log",
+        extra=[
+            ("arrival", ARRIVAL_SQL),
+            ("marks", "SELECT a.file, max(b.created_at) - INTERVAL 2 DAY AS mark FROM (SELECT DISTINCT file FROM arrival) a JOIN arrival b ON b.file < a.file GROUP BY a.file"),
+            ("judged", "SELECT a.*, COALESCE(date_trunc('day', a.created_at) + INTERVAL 1 DAY <= m.mark, false) AS late FROM arrival a LEFT JOIN marks m USING (file)"),
+        ],
+    ),
+)
+def q_stream_daily_late(spark, sf_dir):
+    # Five micro-batches, a tenth of the rows a batch late: on-time and late rows add up to Query 1.
+    log = A.event_log(spark, sf_dir)
+    src = _stage_files(log, "stream_src_late", spark, _arrival(log))
+    store = jobs.daily_delta_store(spark, work_dir(spark, "stream_daily_late"))
+    jobs.daily_delta_with_late_rows(jobs.log_stream(spark, src, max_files=1), store, f"{store.root}_ckpt")
+    late = store.read("late").select("product_id", F.date_format("created_at", "yyyy-MM-dd").alias("date_id"), "quantity")
+    on_time = jobs.daily_totals(store).select("product_id", "date_id", F.col("daily_delta").alias("quantity"), F.lit(0).alias("late"))
+    both = on_time.unionByName(late.withColumn("late", F.lit(1)))
+    return both.groupBy("product_id", "date_id").agg(
+        F.sum("quantity").alias("daily_delta"),
+        F.sum(F.when(F.col("late") == 0, F.col("quantity")).otherwise(0)).alias("on_time_delta"),
+        F.count_if(F.col("late") == 1).alias("late_rows"),
+    )
+
+
 @register("stream_oversell", ORACLE["oversell_apply"])
 def q_stream_oversell(spark, sf_dir):
-    src = _stage(A.event_log_l(spark, sf_dir), "stream_src_l", spark)
+    # Five micro-batches out of order (a tenth of the rows come a file late), settled in time order.
+    log = A.event_log_l(spark, sf_dir)
+    src = _stage_files(log, "stream_src_l", spark, _arrival(log))
     out = work_dir(spark, "stream_oversell")
-    # One ordered micro-batch (the oracle's case); later batches continue from the stored balance.
-    jobs.oversell_stream(jobs.log_stream(spark, src, LOG_L_SCHEMA), out, f"{out}_ckpt")
-    return spark.read.parquet(out)
-
+    stream = jobs.log_stream(spark, src, LOG_L_SCHEMA, max_files=1)
+    jobs.oversell_stream(stream, out, f"{out}_ckpt", lateness_seconds=800 * 86400)
+    jobs.finish_oversell(stream, out, f"{out}_ckpt")
+    return spark.read.parquet(out).drop("batch_id")

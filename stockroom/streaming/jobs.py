@@ -7,18 +7,18 @@ in a checkpoint location under the shared checkpoint folder, and can run continu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stockroom import schemas as S
 from stockroom.functions.events import date_id, partition_parts
+from stockroom.operators import ledger
+from stockroom.operators.quality import occurrence_numbers
+from stockroom.session import materialize
 from stockroom.sources import lake
+from stockroom.sources.store import Store
+from stockroom.streaming.idlog import IdLog
 
 
 def log_stream(spark: SparkSession, path: str, schema: T.StructType = S.EVENT_LOG, max_files: int | None = None) -> DataFrame:
@@ -64,9 +64,20 @@ def export_stream(stream: DataFrame, root: str, checkpoint: str, available_now:
 
 
 # ---- T2: de-duplication of event ids ----------------------------------------------------------------------------------
-def dedup_stream(stream: DataFrame, out: str, checkpoint: str, horizon: str = "7 days", available_now: bool = True):
-    """O2 as a stream: drop repeats of ``(org, event_id)`` arriving within ``horizon`` of the
-    first copy (state is bounded by the watermark, not by the log's history)."""
+def dedup_stream(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True):
+    """O2 as a stream: the first row of each ``(org, event_id)``, however long ago it was recorded.
+    Each micro-batch is tested against the whole log under ``out`` (see ``idlog``)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch, "dedup-batch")
+        IdLog(batch.sparkSession, out).append(rows, batch_id, ["created_at"])
+
+    return _run(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
+
+
+def approximate_dedup_stream(stream: DataFrame, out: str, checkpoint: str, horizon: str = "7 days", available_now: bool = True):
+    """Drop repeats of ``(org, event_id)`` that arrive within ``horizon`` of the first copy. State is
+    bounded by the watermark, not by the log; a repeat after the horizon is written again."""
     d = stream.withWatermark("created_at", horizon).dropDuplicatesWithinWatermark(["organization_id", "event_id"])
     w = d.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
     return _run(w, available_now)
@@ -109,79 +120,116 @@ def daily_delta_stream(stream: DataFrame, out: str, checkpoint: str, lateness: s
     return _run(w, available_now)
 
 
-# ---- T4: streaming oversell guard --------------------------------------------------------------------------------------------
-GUARD_OUT = T.StructType(
-    [
-        T.StructField("organization_id", T.IntegerType()),
-        T.StructField("product_id", T.LongType()),
-        T.StructField("event_id", T.StringType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
-        T.StructField("accepted", T.BooleanType()),
-        T.StructField("balance_after", T.LongType()),
-    ]
-)
-GUARD_STATE = T.StructType([T.StructField("balance", T.LongType())])
-
-
-def _fold(balance: int, outflow: np.ndarray, quantity: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Guarded balances of one run of rows in order: (accepted, balance after, last balance).
-
-    Rows between two refusals are one vector sum. A refused row leaves the balance as it is, so the
-    next run starts behind it: the cost follows the number of refusals, not of rows."""
-    accepted, after = np.ones(len(quantity), bool), np.zeros(len(quantity), np.int64)
-    start, width = 0, 256
-    while start < len(quantity):
-        part = slice(start, start + width)
-        run = balance + np.cumsum(quantity[part])
-        refused = np.flatnonzero(outflow[part] & (run < 0))
-        stop = int(refused[0]) if len(refused) else len(run)
-        after[start : start + stop] = run[:stop]
-        balance = int(run[stop - 1]) if stop else balance
-        if len(refused):
-            accepted[start + stop], after[start + stop] = False, balance
-            stop += 1
-        width = min(1 << 16, 2 * width) if not len(refused) else 256
-        start += stop
-    return accepted, after, balance
+# Days of on-time rows and the late rows themselves, published together with the watermark.
+DAILY = T.StructType([T.StructField("product_id", T.LongType()), T.StructField("date_id", T.StringType()), T.StructField("daily_delta", T.LongType())])
+LATE = T.StructType([*S.EVENT_LOG.fields, T.StructField("batch_id", T.LongType())])
+WATERMARK = "watermark"
+
+
+def daily_delta_store(spark: SparkSession, root: str) -> Store:
+    return Store(spark, root, {"daily": DAILY, "late": LATE})
+
+
+def daily_delta_with_late_rows(stream: DataFrame, store: Store, checkpoint: str, lateness_seconds: int = 2 * 86400, available_now: bool = True):
+    """A2 as a stream with a side output. A row is late if its day had ended by the watermark that
+    earlier micro-batches committed (their newest ``created_at`` less ``lateness_seconds``); late rows go to
+    the table ``late`` with the number of their batch, the others add to their day in ``daily``
+    (readers sum over versions). Both and the new watermark are published as one version, so a
+    batch that is run again adds nothing, and no row is lost: ``daily`` and ``late`` together are the log."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables = Store(spark, store.root, store.schemas, store.keys)
+        rows = materialize(batch.select(*S.EVENT_LOG_COLUMNS), "daily-batch")
+        mark = tables.mark(WATERMARK)
+        newest = rows.agg(F.max(F.unix_micros("created_at"))).first()[0]
+        ends = F.unix_micros(F.date_trunc("day", "created_at")) + 86_400_000_000
+        late = F.lit(False) if mark is None else F.coalesce(ends <= F.lit(mark), F.lit(False))
+        sums = rows.where(~late).groupBy("product_id", date_id("created_at").alias("date_id")).agg(F.sum("quantity").alias("daily_delta"))
+        known = [m for m in (mark, None if newest is None else newest - lateness_seconds * 1_000_000) if m is not None]
+        side = rows.where(late).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        tables.publish(f"batch-{batch_id}", {"daily": sums, "late": side}, {WATERMARK: max(known)} if known else None)
 
+    return _run(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
 
+
+def daily_totals(store: Store) -> DataFrame:
+    """On-time sums per product and day, over all versions."""
+    return store.read("daily").groupBy("product_id", "date_id").agg(F.sum("daily_delta").alias("daily_delta"))
+
+
+# ---- T4: streaming oversell guard --------------------------------------------------------------------------------------------
 ORDER = ["created_at", "event_id", "supplier_id", "quantity", "price", "event_type"]
 
 
-def _guard(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keyed fold: state = the product's balance, carried across micro-batches. Rows of one key in
-    one micro-batch are put in their total order first; only the columns the fold and the order
-    need are held together, and results leave in pieces."""
-    balance = int(state.get[0]) if state.exists else 0
-    rows = pd.concat([b[["organization_id", "product_id", *ORDER]] for b in batches], ignore_index=True)
-    rows = rows.sort_values(ORDER, kind="stable")
-    outflow = rows["event_type"].isin(S.OUTFLOW_TYPES).to_numpy()
-    accepted, after, balance = _fold(balance, outflow, rows["quantity"].to_numpy(np.int64))
-    state.update((balance,))
-    for start in range(0, len(rows), 1 << 16):
-        part = rows.iloc[start : start + (1 << 16)]
-        took = accepted[start : start + (1 << 16)]
-        yield pd.DataFrame(
-            {
-                "organization_id": part["organization_id"].astype("int32"),
-                "product_id": part["product_id"].astype("int64"),
-                "event_id": part["event_id"],
-                "event_type": part["event_type"],
-                "quantity": part["quantity"].astype("int32"),
-                "accepted": took,
-                "balance_after": pd.Series(after[start : start + (1 << 16)], part.index).astype("Int64").where(took),
-            }
-        )
-
-
-def oversell_stream(stream: DataFrame, out: str, checkpoint: str, available_now: bool = True):
-    """O1 as a stream: ``applyInPandasWithState`` keyed by product (state on the configured
-    state store, RocksDB on our sessions); the micro-batch size bounds each key's pandas frame."""
-    guarded = stream.groupBy("organization_id", "product_id").applyInPandasWithState(
-        _guard, GUARD_OUT, GUARD_STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    w = guarded.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode(
-        "append"
+GUARD_COLUMNS = ["organization_id", "product_id", *ORDER]
+
+
+def _guard_store(stream: DataFrame, checkpoint: str) -> Store:
+    """Balances and the rows that wait for the watermark."""
+    fields = {f.name: f for f in stream.schema.fields}
+    state = T.StructType([fields["organization_id"], fields["product_id"], T.StructField("quantity", T.LongType())])
+    tables = {"state": state, "waiting": T.StructType([fields[c] for c in GUARD_COLUMNS])}
+    return Store(stream.sparkSession, f"{checkpoint.rstrip('/')}/guard", tables, {"state": ["organization_id", "product_id"]})
+
+
+def _apply_in_order(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """The batch guard over ``rows`` in their total order per product, from the balances in ``state``."""
+    numbered = occurrence_numbers(rows, ["organization_id", "product_id"], ORDER, F.coalesce(F.to_date("created_at"), F.lit("0001-01-01").cast("date")))
+    raw = F.when(F.col("event_type").isin(*S.OUTFLOW_TYPES), -F.col("quantity")).otherwise(F.col("quantity"))
+    seq = F.col("occurrence").cast("long")
+    events = numbered.select(
+        "organization_id", "product_id", F.concat("event_id", F.lit("#"), seq.cast("string")).alias("event_id"), "event_type", raw.alias("quantity"), seq.alias("seq")
     )
-    return _run(w, available_now)
+    return materialize(ledger.apply_batch(events, start_state=state, groups="product", unique_ids=True), "guarded")
+
+
+def _guard_version(store: Store, out: str, run_id: str, folder: str, ready: DataFrame, waiting: DataFrame, marks: dict[str, int] | None) -> None:
+    """Write what ``ready`` gives under ``out``, then publish the balances it leaves and the rows that
+    wait. Run again after a crash, it starts from the same balances and replaces what it wrote."""
+    applied = _apply_in_order(ready, store.read("state"))
+    applied.select(
+        "organization_id",
+        "product_id",
+        F.substring_index("event_id", "#", 1).alias("event_id"),
+        "event_type",
+        F.col("delta").cast("int").alias("quantity"),
+        F.col("applied").alias("accepted"),
+        "balance_after",
+    ).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={folder}")
+    store.publish(run_id, {"state": ledger.final_balances(applied), "waiting": waiting}, marks, replace=("waiting",))
+
+
+def oversell_stream(stream: DataFrame, out: str, checkpoint: str, lateness_seconds: int | None = None, available_now: bool = True):
+    """O1 as a stream. Without ``lateness_seconds`` each micro-batch is applied in its own order on top of
+    the ones before. With it, rows wait until the newest ``created_at`` seen is that much later, and are
+    then applied in time order whichever micro-batch brought them; ``finish_oversell`` applies those
+    that still wait. A row that comes after its time was settled is applied with the next rows.
+
+    A micro-batch runs through the batch guard: rows and balances are tables, no product's rows
+    are gathered in one frame, and a hot product is folded in chunks by many tasks."""
+    store = _guard_store(stream, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = Store(batch.sparkSession, store.root, store.schemas, store.keys)
+        if own.published(f"batch-{batch_id}"):
+            return
+        fresh = materialize(batch.select(*GUARD_COLUMNS), "guard-batch")
+        if lateness_seconds is None:
+            _guard_version(own, out, f"batch-{batch_id}", str(batch_id), fresh, fresh.limit(0), None)
+            return
+        mark, newest = own.mark(WATERMARK), fresh.agg(F.max(F.unix_micros("created_at"))).first()[0]
+        known = [m for m in (mark, None if newest is None else newest - lateness_seconds * 1_000_000) if m is not None]
+        settled = F.coalesce(F.unix_micros("created_at") <= F.lit(max(known, default=None)), F.lit(False))
+        rows = materialize(own.read("waiting").unionByName(fresh), "guard-waiting")
+        _guard_version(own, out, f"batch-{batch_id}", str(batch_id), rows.where(settled), rows.where(~settled), {WATERMARK: max(known)} if known else None)
+
+    return _run(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write), available_now)
+
+
+def finish_oversell(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Apply the rows that still wait for the watermark: the stream has ended."""
+    store = _guard_store(stream, checkpoint)
+    head = store.head()
+    rows = store.read("waiting", head)
+    _guard_version(store, out, f"finish-{head.version}", str(1_000_000_000 + head.version), rows, rows.limit(0), None)

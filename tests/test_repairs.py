@@ -1,6 +1,5 @@
 """Batches and streams that used to go wrong: arrival order, repeated runs, retries, unknown requests."""
 
-import numpy as np
 import pytest
 
 from stockroom import session
@@ -140,20 +139,6 @@ def test_a_replayed_micro_batch_replaces_itself(spark, tmp_path):
     assert jobs.latest_per_key(spark, str(tmp_path / "small"), ["organization_id", "product_id"]).count() == 1
 
 
-def test_fold_jumps_from_refusal_to_refusal():
-    rng = np.random.default_rng(2)
-    for n in (0, 1, 5, 3000):
-        quantity = rng.integers(-5, 5, n)
-        outflow = (quantity < 0) & (rng.random(n) < 0.8)
-        balance, want = 3, []
-        for out, q in zip(outflow, quantity):
-            ok = not (out and balance + q < 0)
-            balance += int(q) if ok else 0
-            want.append((ok, balance))
-        accepted, after, last = jobs._fold(3, outflow, quantity)
-        assert list(zip(accepted.tolist(), after.tolist())) == want and last == balance
-
-
 def test_a_cluster_without_shared_folder_is_refused(monkeypatch):
     class Context:
         master = "spark://host:1"

@@ -3,6 +3,7 @@ dropped by the watermark, repeats removed across batches."""
 
 import datetime as dt
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from stockroom import schemas as S
@@ -10,6 +11,7 @@ from stockroom.plans.stream_queries import LOG_L_SCHEMA
 from stockroom.session import work_dir
 from stockroom.sources import adapters as A
 from stockroom.streaming import jobs
+from stockroom.streaming.idlog import IdLog, make_filter, may_hold
 from tests.conftest import SF_SMALL
 
 
@@ -52,7 +54,7 @@ def test_daily_window_counts_rows_within_lateness_and_evicts_old_windows(spark):
     assert last["stateOperators"][0]["numRowsTotal"] <= 2  # the 03-10 window was evicted
 
 
-def test_dedup_across_micro_batches(spark):
+def test_approximate_dedup_across_micro_batches(spark):
     t0 = dt.datetime(2026, 3, 10, 12, 0)
     src = work_dir(spark, "t-dedup-src")
     rows1 = [(1, "x", 1, "PURCHASE", 5, t0, 1)]
@@ -60,6 +62,70 @@ def test_dedup_across_micro_batches(spark):
     spark.createDataFrame(rows1, S.EVENT_LOG).coalesce(1).write.mode("append").parquet(src)
     spark.createDataFrame(rows2, S.EVENT_LOG).coalesce(1).write.mode("append").parquet(src)
     out = work_dir(spark, "t-dedup-out")
-    jobs.dedup_stream(jobs.log_stream(spark, src, max_files=1), out, f"{out}_ckpt", horizon="1 day")
+    jobs.approximate_dedup_stream(jobs.log_stream(spark, src, max_files=1), out, f"{out}_ckpt", horizon="1 day")
     kept = sorted((r.organization_id, r.id) for r in spark.read.parquet(out).collect())
     assert kept == [(1, 1), (2, 3)]
+
+
+def test_a_repeat_long_after_is_dropped_and_a_replayed_batch_replaces_itself(spark, tmp_path):
+    t0 = dt.datetime(2026, 3, 10, 12, 0)
+    at = lambda days: t0 + dt.timedelta(days=days)
+    rows = [
+        [(1, "x", 1, "PURCHASE", 5, at(0), 1), (9, "x", 1, "PURCHASE", 5, at(-1), 1), (2, "y", 1, "PURCHASE", 5, at(0), 1)],
+        [(3, "x", 2, "PURCHASE", 5, at(8), 2), (4, "x", 1, "PURCHASE", 5, at(8), 1)],
+        [(5, "y", 1, "PURCHASE", 5, at(4000), 1), (6, "z", 1, "PURCHASE", 5, at(4000), 1)],
+    ]
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for part in rows:
+        spark.createDataFrame(part, S.EVENT_LOG).coalesce(1).write.mode("append").parquet(src)
+    kept = lambda: sorted((r.organization_id, r.id) for r in IdLog(spark, out).rows().collect())
+    jobs.dedup_stream(jobs.log_stream(spark, src, max_files=1), out, f"{out}_ckpt")
+    assert kept() == [(1, 2), (1, 6), (1, 9), (2, 3)]
+    IdLog(spark, out).append(spark.createDataFrame(rows[2], S.EVENT_LOG), 2, ["created_at"])
+    assert kept() == [(1, 2), (1, 6), (1, 9), (2, 3)]
+
+
+def test_filters_keep_new_ids_from_opening_the_log(spark, tmp_path):
+    ids = IdLog(spark, str(tmp_path / "ids"))
+    part = lambda lo, hi: spark.range(lo, hi).select(F.lit(1).alias("organization_id"), F.concat(F.lit("e"), "id").alias("event_id"), "id")
+    for n in range(4):
+        ids.append(part(1000 * n, 1000 * n + 1000), n, ["id"])
+    assert ids.rows().count() == 4000
+    old = ids.candidates(part(2000, 2050), 4).distinct().collect()
+    assert {r.batch_id for r in old} >= {2} and len({r["_bucket"] for r in old if r.batch_id == 2}) > 10
+    false_hits = [r for r in old if r.batch_id != 2]
+    assert len(false_hits) < 15
+    assert ids.recorded(part(2000, 2050), 4).count() == 50 and ids.recorded(part(2000, 2050), 2).count() == 0
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
+    assert may_hold(make_filter(hashes), hashes).all() and may_hold(make_filter(hashes), hashes + 1).mean() < 0.03
+    assert not may_hold(make_filter(hashes[:0]), hashes).any()
+
+
+def test_guard_holds_rows_until_their_time(spark, tmp_path):
+    t0 = dt.datetime(2026, 3, 10)
+    row = lambda n, kind, q, day: (f"e{n}", 1, kind, q, t0 + dt.timedelta(days=day), 1, 1, 1.0)
+    files = [[row(1, "SALE", -5, 3), row(2, "PURCHASE", 4, 1)], [row(3, "PURCHASE", 2, 2), row(4, "SALE", -1, 9)], [row(5, "PURCHASE", 9, 8)]]
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for part in files:
+        spark.createDataFrame(part, LOG_L_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    stream = jobs.log_stream(spark, src, LOG_L_SCHEMA, max_files=1)
+    jobs.oversell_stream(stream, out, f"{out}_ckpt", lateness_seconds=2 * 86400)
+    read = lambda: {r.event_id: (r.accepted, r.balance_after) for r in spark.read.parquet(out).collect()}
+    settled = {"e2": (True, 4), "e3": (True, 6), "e1": (True, 1)}
+    assert read() == settled
+    jobs.finish_oversell(stream, out, f"{out}_ckpt")
+    assert read() == settled | {"e5": (True, 10), "e4": (True, 9)}
+
+
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    t0 = dt.datetime(2026, 3, 10, 12)
+    row = lambda n, q, day: (n, f"e{n}", 1, "PURCHASE", q, t0 + dt.timedelta(days=day), 1)
+    src = str(tmp_path / "src")
+    for part in ([row(1, 5, 0), row(2, 7, 5)], [row(3, 100, 0), row(4, 1, 4)]):
+        spark.createDataFrame(part, S.EVENT_LOG).coalesce(1).write.mode("append").parquet(src)
+    store = jobs.daily_delta_store(spark, str(tmp_path / "store"))
+    run = lambda name: jobs.daily_delta_with_late_rows(jobs.log_stream(spark, src, max_files=1), store, str(tmp_path / name), 86400)
+    for name in ("mark", "lost-mark"):  # the second run repeats all batches and adds nothing
+        run(name)
+        assert [(r.id, r.batch_id) for r in store.read("late").collect()] == [(3, 1)]
+        assert {(r.date_id, r.daily_delta) for r in jobs.daily_totals(store).collect()} == {("2026-03-10", 5), ("2026-03-14", 1), ("2026-03-15", 7)}
