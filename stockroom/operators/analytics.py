@@ -66,6 +66,44 @@ def event_page(
     return f.orderBy(*_event_order(descending)).offset(offset).limit(limit)
 
 
+def day_index(log: DataFrame) -> DataFrame:
+    """Events per product and day: what ``deep_page`` needs to find the days of a page. Kept next to the
+    log, it grows with product-days, not with events, and new days only add to it."""
+    return log.groupBy("organization_id", "product_id", F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def page_days(index: DataFrame, product_id: int, org: int, limit: int, offset: int, descending: bool = False) -> tuple | None:
+    """(first day, last day, rows of those days before the page) of one page, or None behind the end.
+    A running sum over the days of one product; the driver gets one row."""
+    days = index.filter((F.col("organization_id") == org) & (F.col("product_id") == product_id))
+    order = F.col("day").desc() if descending else F.col("day").asc()
+    until = F.sum("events").over(Window.partitionBy("organization_id", "product_id").orderBy(order))
+    spans = days.select("day", (until - F.col("events")).alias("start"), until.alias("until"))
+    on_page = spans.filter((F.col("until") > offset) & (F.col("start") < offset + limit))
+    first, last, start = on_page.agg(F.min("day"), F.max("day"), F.min("start")).first()
+    return None if first is None else (first, last, offset - start)
+
+
+def deep_page(log: DataFrame, index: DataFrame, product_id: int, org: int, limit: int = S.PAGE_DEFAULT, offset: int = 0, descending: bool = False) -> DataFrame:
+    """L1 at any depth: the page that ``event_page`` gives, from the rows of its own days only. The day
+    range is a filter on ``created_at`` and, if ``log`` is the partitioned lake, on its day folders, so
+    the days before the page are not opened, however many rows they have."""
+    if not 1 <= limit <= S.PAGE_MAX:
+        raise ValueError(f"limit must be within 1..{S.PAGE_MAX}")
+    if offset < 0:
+        raise ValueError("offset must be >= 0")
+    found = page_days(index, product_id, org, limit, offset, descending)
+    if found is None:
+        return log.limit(0)
+    first, last, skip = found
+    rows = log.filter((F.col("organization_id") == org) & (F.col("product_id") == product_id))
+    rows = rows.filter((F.col("created_at") >= F.lit(first)) & (F.col("created_at") < F.date_add(F.lit(last), 1)))
+    if {"org_id", "year", "month", "day"} <= set(log.columns):
+        folder = F.concat_ws("-", "year", "month", "day")
+        rows = rows.filter((F.col("org_id") == org) & folder.between(str(first), str(last)))
+    return rows.orderBy(*_event_order(descending)).offset(skip).limit(limit)
+
+
 def event_count(log: DataFrame, page_size: int = S.DASHBOARD_PAGE) -> DataFrame:
     """Events per product and number of pages ``max(1, ceil(n / size))``."""
     return log.groupBy("organization_id", "product_id").agg(

@@ -34,14 +34,28 @@ def _results(judged: DataFrame, ok_status: str, *cols: str) -> DataFrame:
     )
 
 
+def _text_rule(field: str, most: int, needed: bool = True) -> Column:
+    """The first fault of a text field: absent (if needed), empty (if needed) or too long."""
+    c = F.col(field)
+    long = F.when(F.length(c) > most, F.lit(S.MSG_FIELD_TEXT_LONG.format(field=field, most=most)))
+    if not needed:
+        return long
+    return F.coalesce(
+        F.when(c.isNull(), F.lit(S.MSG_FIELD_MISSING_STR.format(field=field))), F.when(F.length(c) < 1, F.lit(S.MSG_FIELD_TEXT_SHORT.format(field=field))), long
+    )
+
+
 def product_inserts(snapshot: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Insert products; a duplicate ``(org, sku)`` (existing, or earlier in the batch) is
-    refused. ``changes``: change_id, organization_id, sku, name, unit."""
+    """Insert products; texts of a wrong length are refused (name, sku, unit, in this order), and
+    so is a duplicate ``(org, sku)`` (existing, or earlier in the batch). ``changes``: change_id, organization_id, sku, name, unit."""
     existing = snapshot.select("organization_id", "sku").distinct().withColumn("_exists", F.lit(True))
-    j = _first_wins(changes, ["organization_id", "sku"]).join(existing, ["organization_id", "sku"], "left")
-    err = F.when(
-        F.col("_exists").isNotNull() | ~F.col("_first"),
-        F.concat(F.lit(S.MSG_DUPLICATE_SKU), F.col("sku")),
+    malformed = F.coalesce(_text_rule("name", 255), _text_rule("sku", S.MAX_TEXT_LEN), _text_rule("unit", 20, needed=False))
+    changes = changes.withColumn("_malformed", malformed)
+    first = _first_wins(changes, ["organization_id", "sku"], F.col("_malformed").isNull())
+    j = first.join(existing, ["organization_id", "sku"], "left")
+    err = F.coalesce(
+        F.col("_malformed"),
+        F.when(F.col("_exists").isNotNull() | ~F.col("_first"), F.concat(F.lit(S.MSG_DUPLICATE_SKU), F.col("sku"))),
     )
     judged = j.withColumn("error", err)
     max_id = snapshot.agg(F.max("product_id")).scalar()

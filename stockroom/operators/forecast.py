@@ -10,12 +10,19 @@ deviations. A Fourier-term variant runs per series in ``applyInPandas`` (``fit_f
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockroom import schemas as S
+from stockroom.operators.features import daily_features
+from stockroom.operators.projection import active_scope
+from stockroom.session import materialize
+from stockroom.sources.store import Store
 
 SERIES = ["organization_id", "product_id"]
 Z95 = 1.96
@@ -43,10 +50,19 @@ def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING
     ``slope, intercept, sigma, first_ds, last_ds, training_rows``; the mean residual per
     (series, weekday); and the series refused for having fewer than ``min_rows`` rows.
     """
+    return fit_statistics(weekday_statistics(features), weekly, min_rows)
+
+
+#: Sums that make up the statistics of a (series, weekday); those of two sets of days add up.
+SUMS = ("n", "sx", "sy", "sxy", "sxx", "syy")
+
+
+def weekday_statistics(features: DataFrame) -> DataFrame:
+    """Sufficient statistics per (series, weekday) of features (one row per series and day)."""
     base = features.select(*SERIES, F.to_date("date").alias("ds"), F.col("units_sold").cast("double").alias("y"))
     origin = F.to_date(F.lit(X_ORIGIN))
     x, y = F.datediff("ds", origin).cast("double"), F.col("y")
-    per_wd = base.groupBy(*SERIES, F.weekday("ds").alias("wd")).agg(
+    return base.groupBy(*SERIES, F.weekday("ds").alias("wd")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(x).alias("sx"),
         F.sum(y).alias("sy"),
@@ -56,6 +72,16 @@ def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING
         F.min("ds").alias("mn"),
         F.max("ds").alias("mx"),
     )
+
+
+def merged_statistics(rows: DataFrame) -> DataFrame:
+    """Statistics of all days from statistics of disjoint sets of days."""
+    return rows.groupBy(*SERIES, "wd").agg(*[F.sum(c).alias(c) for c in SUMS], F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+
+
+def fit_statistics(per_wd: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING_DAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``fit`` from the statistics: no features are needed."""
+    origin = F.to_date(F.lit(X_ORIGIN))
     tot = per_wd.groupBy(*SERIES).agg(
         F.sum("n").alias("training_rows"),
         *[F.sum(c).alias(c.upper()) for c in ("sx", "sy", "sxy", "sxx", "syy")],
@@ -258,3 +284,48 @@ def rollback(pointers: DataFrame, versions: DataFrame, requests: DataFrame) -> t
 def champion_lookup(pointers: DataFrame, versions: DataFrame) -> DataFrame:
     """The parameters of each series' champion (pointer x version log)."""
     return pointers.join(versions, [*SERIES, "version"], "inner")
+
+
+# ---- F2 + F6 + F8: one retrain job over stored statistics --------------------------------------------------
+def _shape(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+INT, LONG, DOUBLE, DATE, TEXT = T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(), T.StringType()
+TRAINING = {
+    "statistics": _shape(organization_id=INT, product_id=LONG, wd=INT, n=LONG, sx=DOUBLE, sy=DOUBLE, sxy=DOUBLE, sxx=DOUBLE, syy=DOUBLE, mn=DATE, mx=DATE),
+    "versions": _shape(
+        organization_id=INT, product_id=LONG, version=INT, run=TEXT, training_rows=LONG, slope=DOUBLE, intercept=DOUBLE, sigma=DOUBLE, first_ds=DATE, last_ds=DATE
+    ),
+    "champions": _shape(organization_id=INT, product_id=LONG, version=INT),
+}
+TRAINED_DAY = "trained_day"
+
+
+def training_store(spark: SparkSession, root: str) -> Store:
+    return Store(spark, root, TRAINING, {"champions": SERIES})
+
+
+def retrain(store: Store, fact: DataFrame, organizations: DataFrame, until: str, run: str) -> DataFrame:
+    """F8, one scheduled run: features of the days after the last trained one up to ``until``
+    (``yyyy-MM-dd``, whole days), their statistics added to the stored ones, a fit of every series of
+    active organizations from the sums, a new version per series and its champion pointer, published
+    together. Only the new days' fact rows are scanned; a run that was published before is not
+    repeated. Returns the versions of this run."""
+    if not store.published(run):
+        head = store.head()
+        mark = (head.marks or {}).get(TRAINED_DAY)
+        new_days = fact.where(F.col("date_id") <= until)
+        if mark is not None:
+            new_days = new_days.where(F.col("date_id") > str(dt.date.fromisoformat(X_ORIGIN) + dt.timedelta(days=mark)))
+        sold = daily_features(active_scope(new_days, organizations))
+        fresh = materialize(weekday_statistics(sold), "weekday-statistics")
+        every = merged_statistics(store.read("statistics", head).unionByName(fresh.withColumn("wd", F.col("wd").cast("int"))))
+        models, _, _ = fit_statistics(every)
+        old = store.read("versions", head)
+        newest = old.groupBy(*SERIES).agg(F.max("version").alias("_v"))
+        versions = models.join(newest, SERIES, "left").withColumn("version", (F.coalesce("_v", F.lit(0)) + 1).cast("int"))
+        versions = materialize(versions.withColumn("run", F.lit(run)), "retrained")
+        last = (dt.date.fromisoformat(until) - dt.date.fromisoformat(X_ORIGIN)).days
+        store.publish(run, {"statistics": fresh, "versions": versions, "champions": versions}, {TRAINED_DAY: last})
+    return store.read("versions").where(F.col("run") == run)

@@ -31,12 +31,13 @@ SCHEMAS = {
     "log": T.StructType([*S.EVENT_LOG.fields, T.StructField("created_by_id", LONG)]),
     "state": _shape(organization_id=INT, product_id=LONG, quantity=LONG),
     "orders": _shape(purchase_order_id=LONG, supplier_id=LONG, organization_id=INT, status=TEXT, created_at=TIME),
+    "lines": _shape(line_id=LONG, purchase_order_id=LONG, product_id=LONG, quantity=INT, unit_cost=T.DecimalType(10, 2), organization_id=INT),
     "audit": _shape(actor_id=LONG, action=TEXT, detail=TEXT, organization_id=INT, created_at=TIME),
     "results": _shape(run_id=TEXT, organization_id=INT, row_number=LONG, event_id=TEXT, status=TEXT, error=TEXT),
     "verdicts": _shape(run_id=TEXT, purchase_order_id=LONG, organization_id=INT, request_id=LONG, accepted=FLAG, error=TEXT),
 }
 KEYS = {"state": ["organization_id", "product_id"], "orders": ["organization_id", "purchase_order_id"]}
-LAST_ID = "last_id"
+LAST_ID, LAST_ORDER, LAST_LINE = "last_id", "last_order", "last_line"
 
 
 def open_journal(spark: SparkSession, root: str) -> Store:
@@ -152,3 +153,25 @@ def receive_orders(
         }
         store.publish(run_id, tables, {LAST_ID: last_id})
     return store.read("verdicts").where(F.col("run_id") == run_id).drop("run_id")
+
+
+def create_orders(store: Store, run_id: str, requests: DataFrame, lines: DataFrame, products: DataFrame, suppliers: DataFrame, at: datetime) -> DataFrame:
+    """New DRAFT orders of any number of lines, each accepted or refused as a whole; returns the
+    verdicts of the run. ``requests``: request_id, organization_id, supplier_id; ``lines``: request_id,
+    position, product_id, quantity, unit_cost. Orders and lines get serial ids in request order."""
+    if not store.published(run_id):
+        head = store.head()
+        marks = head.marks or {}
+        judged = materialize(replenish.judge_orders(requests, lines, products, suppliers), "order-verdicts")
+        ok = judged.where("accepted").select("request_id", "organization_id", "supplier_id")
+        orders = numbered_rows(ok, "request_id").withColumn("purchase_order_id", F.col("row_number") + marks.get(LAST_ORDER, 0)).drop("row_number")
+        orders = materialize(orders, "orders-new")
+        mine = lines.join(orders.select("request_id", "purchase_order_id", "organization_id"), "request_id")
+        rows = numbered_rows(mine, "request_id", "position").withColumn("line_id", F.col("row_number") + marks.get(LAST_LINE, 0))
+        tables = {
+            "orders": orders.select("*", F.lit("DRAFT").alias("status"), F.lit(at).cast("timestamp").alias("created_at")),
+            "lines": rows,
+            "verdicts": judged.join(orders.select("request_id", "purchase_order_id"), "request_id", "left").withColumn("run_id", F.lit(run_id)),
+        }
+        store.publish(run_id, tables, {LAST_ORDER: marks.get(LAST_ORDER, 0) + orders.count(), LAST_LINE: marks.get(LAST_LINE, 0) + rows.count()})
+    return store.read("verdicts").where(F.col("run_id") == run_id).drop("run_id")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stockroom.sources.store import Store
 
 
 def scope(df: DataFrame, org: int | None) -> DataFrame:
@@ -36,6 +39,20 @@ def replay_summary(log: DataFrame, org: int | None = None) -> DataFrame:
     )
 
 
+def stock_lookup(asked: DataFrame, products: DataFrame, state: DataFrame) -> DataFrame:
+    """P17 for a batch of asked products (organization_id, product_id): the stock of each, or the
+    error of one that the organization does not have. One row per asked row."""
+    key = ["organization_id", "product_id"]
+    known = products.select(*key).distinct().withColumn("known", F.lit(True))
+    rows = asked.select(*key).join(known, key, "left").join(state.select(*key, "quantity"), key, "left")
+    missing = F.concat(F.lit("Product "), F.coalesce(F.col("product_id").cast("string"), F.lit("null")), F.lit(" not found"))
+    return rows.select(
+        *key,
+        F.when(F.col("known"), F.coalesce("quantity", F.lit(0))).cast("bigint").alias("quantity"),
+        F.when(F.col("known").isNull(), missing).alias("error"),
+    )
+
+
 def stock_levels(products: DataFrame, state: DataFrame, org: int | None = None) -> DataFrame:
     """P17 (batch form): every known product with its stock; missing state reads as 0."""
     p = scope(products, org).select("organization_id", "product_id")
@@ -59,3 +76,44 @@ def state_reconciliation(state: DataFrame, log: DataFrame) -> DataFrame:
         r.cast("bigint").alias("replayed_quantity"),
         (r - s).cast("bigint").alias("difference"),
     )
+
+
+# ---- A1 / T3: snapshot plus delta --------------------------------------------------------------------
+SNAPSHOT = T.StructType(
+    [T.StructField("organization_id", T.IntegerType()), T.StructField("product_id", T.LongType()), T.StructField("quantity", T.LongType())]
+)
+LAST_ID = "last_id"
+
+
+def snapshots(spark: SparkSession, root: str) -> Store:
+    """Sums per product of stretches of the log, and the id up to which they reach."""
+    return Store(spark, root, {"sums": SNAPSHOT})
+
+
+def advance_snapshot(store: Store, log: DataFrame, most_versions: int = 8) -> bool:
+    """Add the log rows behind the snapshot's high-water id as one more version of sums; more than
+    ``most_versions`` of them are folded into one. Only new rows are read (the id bound reaches the
+    scan). False if there were none."""
+    head = store.head()
+    mark = (head.marks or {}).get(LAST_ID)
+    fresh = log if mark is None else log.where(F.col("id") > mark)
+    upper = fresh.agg(F.max("id")).first()[0]
+    if upper is None:
+        return False
+    store.publish(f"advance-{mark}-{upper}", {"sums": replay_state(fresh.where(F.col("id") <= upper))}, {LAST_ID: upper})
+    head = store.head()
+    if len(head.tables["sums"]) > most_versions:
+        store.publish(f"fold-{head.version}", {"sums": _summed(store.read("sums", head))}, replace=("sums",))
+    return True
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("organization_id", "product_id").agg(F.sum("quantity").alias("quantity"))
+
+
+def current_state(store: Store, log: DataFrame) -> DataFrame:
+    """A1 as of now: the snapshot's sums plus the rows that came after it."""
+    head = store.head()
+    mark = (head.marks or {}).get(LAST_ID)
+    tail = log if mark is None else log.where(F.col("id") > mark)
+    return _summed(store.read("sums", head).unionByName(replay_state(tail)))

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stockroom import schemas as S
+from stockroom.sources.store import Store
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -50,7 +51,12 @@ def check_row(name: str, failing: DataFrame) -> DataFrame:
 
 def _row_checks(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Row-level predicates of one table counted in a single scan, one output row per check."""
-    counts = df.agg(*[F.count_if(pred).alias(name) for name, pred in checks.items()])
+    return _counted(df, {name: F.count_if(pred) for name, pred in checks.items()})
+
+
+def _counted(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """One output row per check from one aggregation of ``df``."""
+    counts = df.agg(*[count.cast("long").alias(name) for name, count in checks.items()])
     pairs = ", ".join(f"'{n}', `{n}`" for n in checks)
     return counts.selectExpr(f"stack({len(checks)}, {pairs}) as (check, failing_rows)").select(
         "check", "failing_rows", (F.col("failing_rows") == 0).alias("passed")
@@ -68,21 +74,13 @@ def dq_report(
 ) -> DataFrame:
     """Q7: one row per check; any failing check should stop a scheduled run.
 
-    Row-level rules are folded into one aggregation per table (one scan each); key rules
-    (uniqueness, foreign keys, org boundary) are one aggregation or anti-join each.
+    Row-level rules are folded into one aggregation per table; those of events and all rules that
+    relate events to products share one scan and one join. Other key rules are one aggregation or
+    anti-join each.
     """
     c = F.col
     row_rules = [
-        _row_checks(
-            events,
-            {
-                "not_null_event_id": c("event_id").isNull(),
-                "not_null_product_id": c("product_id").isNull(),
-                "not_null_quantity": c("quantity").isNull(),
-                "check_event_type_domain": ~c("event_type").isin(*S.EVENT_TYPES),
-                "check_event_id_length": ~F.length("event_id").between(1, S.MAX_TEXT_LEN),
-            },
-        ),
+        _counted(events.join(_orgs_of_products(dim_products), "product_id", "left"), _event_rules()),
         _row_checks(
             recipe_items,
             {
@@ -102,9 +100,6 @@ def dq_report(
     ]
     key_rules = {
         "unique_event_key": duplicate_keys(events, list(unique_key)),
-        "relationships_product_id": orphans(events, dim_products, ["product_id"]),
-        "org_boundary": org_boundary_violations(events, dim_products),
-        "fk_event_product_org": orphans(events, dim_products, ["organization_id", "product_id"]),
         "fk_recipe_finished": orphans(
             recipe_items, dim_products, ["organization_id", "finished_product_id"], ["organization_id", "product_id"]
         ),
@@ -125,6 +120,60 @@ def dq_report(
     return reduce(DataFrame.unionByName, rows)
 
 
+# ---- Q7 as a gate ------------------------------------------------------------------------------------------
+class QualityError(ValueError):
+    """A publish was refused; ``failing`` has the failing rows of each failing check."""
+
+    def __init__(self, failing: dict[str, int]) -> None:
+        super().__init__("; ".join(f"{name}: {n}" for name, n in sorted(failing.items())))
+        self.failing = failing
+
+
+def _orgs_of_products(dim_products: DataFrame) -> DataFrame:
+    """The organizations of each product id (one, unless the dimension is broken)."""
+    return dim_products.groupBy("product_id").agg(F.collect_set("organization_id").alias("_orgs"))
+
+
+def _event_rules() -> dict[str, Column]:
+    """Counts of the row and product rules of events that were joined with ``_orgs_of_products``."""
+    c = F.col
+    known, here = c("_orgs").isNotNull(), F.array_contains("_orgs", c("organization_id"))
+    others = F.size(F.filter("_orgs", lambda o: o != c("organization_id")))
+    return {
+        "not_null_event_id": F.count_if(c("event_id").isNull()),
+        "not_null_product_id": F.count_if(c("product_id").isNull()),
+        "not_null_quantity": F.count_if(c("quantity").isNull()),
+        "check_event_type_domain": F.count_if(~c("event_type").isin(*S.EVENT_TYPES)),
+        "check_event_id_length": F.count_if(~F.length("event_id").between(1, S.MAX_TEXT_LEN)),
+        "relationships_product_id": F.count_if(c("product_id").isNotNull() & ~known),
+        "org_boundary": F.coalesce(F.sum(F.when(known & c("organization_id").isNotNull(), others)), F.lit(0)),
+        "fk_event_product_org": F.count_if(c("product_id").isNotNull() & c("organization_id").isNotNull() & ~(known & F.coalesce(here, F.lit(False)))),
+    }
+
+
+def publish_fact(store: Store, table: str, staged: DataFrame, dim_products: DataFrame, run_id: str, key: tuple[str, ...] = ("organization_id", "event_id")) -> dict[str, int]:
+    """Q7 as a gate: write the staged events as the new ``table`` and publish it only if every check
+    holds; else the old table stays in force and ``QualityError`` names the failing checks.
+
+    Row and product rules are counted by ``observe`` while the rows are written, from one left join
+    with the products; the key rule reads the key columns of what was written. So the events are
+    scanned once. Returns the number of failing rows of each check (all 0)."""
+    seen = Observation(f"gate-{run_id}")
+    rules = _event_rules()
+    judged = staged.join(_orgs_of_products(dim_products), "product_id", "left").observe(seen, *[c.alias(n) for n, c in rules.items()])
+    found: dict[str, int] = {}
+
+    def check(written: dict[str, DataFrame]) -> None:
+        found.update({n: int(seen.get[n]) for n in rules})
+        found["unique_event_key"] = duplicate_keys(written[table], list(key)).count()
+        failing = {n: v for n, v in found.items() if v}
+        if failing:
+            raise QualityError(failing)
+
+    store.publish(run_id, {table: judged}, replace=(table,), check=check)
+    return found
+
+
 def occurrence_numbers(df: DataFrame, key: list[str], order: list[str], bucket: Column) -> DataFrame:
     """``occurrence`` = 1, 2, ... within each key in ``order``, without sending a key's rows
     to one task. ``bucket`` must be monotone in ``order`` (e.g. the day of the leading

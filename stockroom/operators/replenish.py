@@ -34,6 +34,19 @@ def recipe_list(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def recipe_lookup(asked: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """P16 for a batch of asked dishes (organization_id, product_id): the items of each with labels, or
+    one row with the error of a dish that the organization does not have. A known dish without a
+    recipe has no row."""
+    key = ["organization_id", "finished_product_id"]
+    dishes = asked.select("organization_id", F.col("product_id").alias("finished_product_id")).distinct()
+    known = products.select("organization_id", F.col("product_id").alias("finished_product_id"))
+    listed = recipe_list(items, products).join(dishes, key, "left_semi").withColumn("error", F.lit(None).cast("string"))
+    unknown = dishes.join(known, key, "left_anti")
+    text = F.concat(F.lit("Product "), F.coalesce(F.col("finished_product_id").cast("string"), F.lit("null")), F.lit(" not found"))
+    return listed.unionByName(unknown.withColumn("error", text), allowMissingColumns=True)
+
+
 SERIES = ["organization_id", "product_id"]
 
 
@@ -222,6 +235,29 @@ def po_transitions(orders: DataFrame, lines: DataFrame, requests: DataFrame) ->
     )
 
 
+def judge_orders(requests: DataFrame, lines: DataFrame, products: DataFrame, suppliers: DataFrame) -> DataFrame:
+    """Whether each requested order can be made, all its lines or none. ``requests``: request_id,
+    organization_id, supplier_id; ``lines``: request_id, position, product_id, quantity. The first reason
+    counts: a line whose quantity is not above 0, an unknown supplier, the first line (by position) whose
+    product the organization does not have. An order without lines is accepted, as a draft."""
+    known = products.select("organization_id", "product_id").withColumn("_p", F.lit(True))
+    found = suppliers.select("organization_id", "supplier_id").withColumn("_s", F.lit(True))
+    mine = lines.join(requests.select("request_id", "organization_id"), "request_id").join(known, SERIES, "left")
+    faults = mine.groupBy("request_id").agg(
+        F.max((F.coalesce(F.col("quantity"), F.lit(0)) <= 0).cast("int")).alias("_empty"),
+        F.min(F.when(F.col("_p").isNull(), F.struct("position", "product_id"))).alias("_missing"),
+    )
+    missing = F.concat(F.lit("Product "), F.coalesce(F.col("_missing.product_id").cast("string"), F.lit("null")), F.lit(" not found"))
+    supplier = F.concat(F.lit("Supplier "), F.coalesce(F.col("supplier_id").cast("string"), F.lit("null")), F.lit(" not found"))
+    error = (
+        F.when(F.col("_empty") == 1, F.lit("quantity: Input should be greater than 0"))
+        .when(F.col("_s").isNull(), supplier)
+        .when(F.col("_missing").isNotNull(), missing)
+    )
+    judged = requests.join(found, ["organization_id", "supplier_id"], "left").join(faults, "request_id", "left")
+    return judged.select("request_id", "organization_id", "supplier_id", error.isNull().alias("accepted"), error.alias("error"))
+
+
 def draft_orders(restock_rows: DataFrame, requests: DataFrame, products: DataFrame, suppliers: DataFrame) -> DataFrame:
     """R4 + R7: for (product, supplier) requests, a DRAFT PO with one line of the recommended
     quantity where it is > 0; otherwise 'not needed'. Unknown supplier/product are refused."""

@@ -8,6 +8,7 @@ from stockroom.plans import (  # noqa: F401
     lake_queries,
     ledger_queries,
     po_queries,
+    publish_queries,
     stream_queries,
     warehouse_queries,
 )

@@ -37,6 +37,8 @@ MSG_FIELD_QTY_INT = "quantity: Input should be a valid integer, unable to parse
 MSG_FIELD_QTY_ZERO = "quantity: Value error, Quantity cannot be zero"
 MSG_FIELD_EVENT_ID = "event_id: String should have at least 1 character"
 MSG_FIELD_EVENT_ID_LONG = "event_id: String should have at most 100 characters"
+MSG_FIELD_TEXT_SHORT = "{field}: String should have at least 1 character"
+MSG_FIELD_TEXT_LONG = "{field}: String should have at most {most} characters"
 MSG_FIELD_MISSING_STR = "{field}: Input should be a valid string"
 MSG_FIELD_QTY_MISSING = "quantity: Input should be a finite number"
 

@@ -63,24 +63,26 @@ def numbered_rows(rows: DataFrame, *order: str) -> DataFrame:
     return number_rows(written)
 
 
-def _header_groups(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
-    """Files of a CSV batch by their header line. The first line of a file is the one at offset 0
+def _header_groups(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str]]]:
+    """Files of a CSV batch by their header line, and by whether a quoted text in them holds a line
+    break (a line then has an odd number of quotes). The first line of a file is the one at offset 0
     of its first split; the driver gets a row for each file, as the reader's file listing does."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")
     )
-    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    return [(r["header"], r["files"]) for r in grouped.collect()]
+    odd = F.regexp_count("value", F.lit('"')) % 2 == 1
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "at")).alias("header"), F.max(odd).alias("broken"))
+    grouped = first.groupBy("header", "broken").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [(r["header"], r["broken"], r["files"]) for r in grouped.collect()]
 
 
 def read_csv_batch(spark: SparkSession, path: str, organization_id: int) -> DataFrame:
     """Header CSV read as text, by column name whatever each file's column order; required
     columns are checked for every file, extra ones dropped, and doubled quotes within quoted text
-    are read as one."""
+    are read as one. Files with line breaks in quoted text are read whole, all others in splits."""
     parts = []
-    for _header, files in _header_groups(spark, path):
-        raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(files)
+    for _header, broken, files in _header_groups(spark, path):
+        raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", broken).csv(files)
         missing = [c for c in S.INGEST_COLUMNS if c not in raw.columns]
         if missing:
             raise MissingColumnsError(f"Missing required columns: {', '.join(missing)}")

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from stockroom import schemas as S
 from stockroom.functions.events import partition_parts
+from stockroom.session import materialize
+from stockroom.sources.store import Store
 
 CHECKPOINT_KEY = "inventory_events"
 PARTITION_COLS = ["org_id", "year", "month", "day"]
@@ -171,6 +173,79 @@ def _summary(spark, rows, parts, files, mode, updated, last_id) -> DataFrame:
     )
 
 
+# ---- S4 + S6: exactly-once export ------------------------------------------------------------------------
+LAKE_FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType())])
+LAKE_PARTITIONS = T.StructType(
+    [T.StructField("org_id", T.IntegerType())]
+    + [T.StructField(c, T.StringType()) for c in ("year", "month", "day")]
+    + [T.StructField(c, T.LongType()) for c in ("start_id", "end_id", "rows")]
+)
+LAST_ID = "last_id"
+
+
+def lake_commits(spark: SparkSession, root: str) -> Store:
+    """Files and partitions of the lake that were committed, and the high-water id they reach."""
+    return Store(spark, _state(root, "commits"), {"files": LAKE_FILES, "partitions": LAKE_PARTITIONS})
+
+
+def _relative(path: str) -> Column:
+    return F.regexp_extract(path, "/inventory_events/(.*)$", 1)
+
+
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length): all data files under the lake, committed or not; a listing, no file is read."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(events_path(root))
+    except AnalysisException:  # nothing was written yet
+        return spark.createDataFrame([], LAKE_FILES)
+    return files.select(_relative("path").alias("path"), "length")
+
+
+def export_once(spark: SparkSession, log: DataFrame, root: str) -> DataFrame:
+    """A5, exactly once: rows behind the committed high-water id are written to the lake, and then
+    their files, their partitions and the new id are committed in one publish. A run that dies
+    before that leaves files that no reader sees (``uncommitted_files``); the next run exports the
+    same rows again. One export runs at a time."""
+    commits = lake_commits(spark, root)
+    last_id = commits.mark(LAST_ID)
+    upper = log.agg(F.max("id")).first()[0]
+    if upper is None or (last_id is not None and upper <= last_id):
+        return _summary(spark, 0, 0, 0, "incremental", False, last_id)
+    before = materialize(lake_files(spark, root), "lake-files")
+    batch = incremental(base_scan(log), last_id).filter(F.col("id") <= upper)
+    write_lake(batch, root)
+    files = materialize(lake_files(spark, root).join(before.select("path"), "path", "left_anti"), "lake-files")
+    parts = materialize(partition_manifest(batch), "lake-partitions")
+    commits.publish(f"export-{last_id}-{upper}", {"files": files, "partitions": parts}, {LAST_ID: upper})
+    totals = parts.agg(F.sum("rows"), F.count(F.lit(1))).first()
+    return _summary(spark, totals[0], totals[1], files.count(), "incremental", True, upper)
+
+
+def read_committed(spark: SparkSession, root: str) -> DataFrame:
+    """The lake's committed rows (S5): rows of files that the commits name. Filters on org and day
+    still prune partitions."""
+    files = lake_commits(spark, root).read("files").select("path")
+    rows = read_lake(spark, root).withColumn("path", _relative("_metadata.file_path"))
+    return rows.join(files, "path", "left_semi").drop("path")
+
+
+def uncommitted_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files in the lake that no commit names: left by runs that died, safe to delete when no export runs."""
+    return lake_files(spark, root).join(lake_commits(spark, root).read("files").select("path"), "path", "left_anti")
+
+
+def file_order(spark: SparkSession, root: str) -> DataFrame:
+    """Per committed file its rows and how many of them stand before a row with a smaller
+    ``(created_at, id)``. Rows of a file are read in file order; a file has a bounded number of rows."""
+    rows = read_lake(spark, root).select(
+        _relative("_metadata.file_path").alias("path"), F.struct("created_at", "id").alias("at"), F.monotonically_increasing_id().alias("place")
+    )
+    earlier = F.lag("at").over(Window.partitionBy("path").orderBy("place"))
+    return rows.withColumn("earlier", earlier).groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("earlier") > F.col("at")).alias("out_of_order")
+    )
+
+
 # ---- S10 ------------------------------------------------------------------------------------------------
 AUDIT_SCHEMA = "actor_id long, action string, detail string, organization_id int"
 

@@ -2,7 +2,7 @@
 
 Layout under a root folder (any Hadoop file system URI):
 
-    {root}/{table}/version=N/part-*.parquet     rows that version N added to a table
+    {root}/{table}/publish=N/part-*.parquet     rows that version N added to a table
     {root}/_commits/version=N/part-*.json       one file, one row: the head that version N makes
 
 A version's folders are written first; readers do not see them. The commit file, a single small
@@ -57,23 +57,23 @@ class Store:
         rows = self.versions(table, head)
         keys = self.keys.get(table)
         if keys is None:
-            return rows.drop("version")
-        rest = [c for c in rows.columns if c not in (*keys, "version")]
-        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("version")).alias("row"))
+            return rows.drop("publish")
+        rest = [c for c in rows.columns if c not in (*keys, "publish")]
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("publish")).alias("row"))
         return newest.select(*keys, "row.*").select(*self.schemas[table].fieldNames())
 
     def versions(self, table: str, head: T.Row | None = None) -> DataFrame:
-        """All published rows of a table with the version that wrote them."""
+        """All published rows of a table with the version that wrote them as ``publish``."""
         head = head or self.head()
         folders = (head.tables or {}).get(table) or []
-        schema = T.StructType(self.schemas[table].fields + [T.StructField("version", T.LongType())])
+        schema = T.StructType(self.schemas[table].fields + [T.StructField("publish", T.LongType())])
         if not folders:
             return self.spark.createDataFrame([], schema)
         paths = [self._folder(table, v) for v in folders]
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths)
 
     def _folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/version={version}"
+        return f"{self.root}/{table}/publish={version}"
 
     # ---- writing -----------------------------------------------------------------------------------
     def stage(self, table: str, rows: DataFrame, version: int) -> DataFrame:
@@ -125,5 +125,5 @@ class Store:
         """(path): files of a table that no version in force names: left by crashed or replaced runs."""
         folders = (self.head().tables or {}).get(table) or []
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{self.root}/{table}").select("path")
-        version = F.regexp_extract("path", "/version=([0-9]+)/", 1).cast("long")
+        version = F.regexp_extract("path", "/publish=([0-9]+)/", 1).cast("long")
         return files.where(~version.isin(folders) if folders else F.lit(True))
