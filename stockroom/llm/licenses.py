@@ -1,10 +1,11 @@
 """License scan by diagonal voting, in DataFrame operations only.
 
 All rolling three-word hashes of all texts meet the three-word hashes of license templates in one
-join. A hit votes for a diagonal: its place in the text less its place in the template. The hits of
-a diagonal are gathered as a bit mask of template places. Neighbouring diagonals of a template
-(a word was put in or left out) merge into one span, and a span counts if it covers enough of the
-template within a bounded stretch of text.
+join. A hit votes for a diagonal: its place in the text less its place in the template. Neighbouring
+diagonals of a template (a word was put in or left out) merge into one span, and the span is
+verified word by word: how many words of the template it covers, and how many words of the text
+between its ends belong to no hit. Of spans that overlap the best one counts, since notices of
+different licenses share most of their words.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GRAM = 3
 #: Diagonals this near each other belong to one span.
 NEAR = 3
-#: A span counts if it covers this share of the template ...
+#: A span counts if it covers this share of the template's words ...
 COVER = 0.8
-#: ... within a stretch of text that is at most this many times as long as the template.
-STRETCH = 1.5
+#: ... and has at most one foreign word for so many words of the template: in a short notice a
+#: single word put in ("lesser", "noncommercial") makes it the notice of another license.
+FOREIGN = 15
 
 # Phrases that give a label wherever their words stand consecutively.
 PHRASES = (
@@ -30,15 +32,65 @@ PHRASES = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-# Sentences of public licenses and notices, of at most 62 words.
+# Notices and whole texts of public licenses.
 TEMPLATES = (
     ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+        "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for "
+        "any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the "
+        "software or the use or other dealings in the software",
+        "mit",
+    ),
     ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache-2"),
+    (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain "
+        "a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software "
+        "distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied "
+        "see the license for the specific language governing permissions and limitations under the license",
+        "apache-2",
+    ),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the "
+        "above copyright notice and this permission notice appear in all copies",
+        "isc",
+    ),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "0bsd"),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages "
+        "arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely",
+        "zlib",
+    ),
+    (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or "
+        "distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+        "unlicense",
+    ),
+    ("licensed under the gnu general public license version 2", "gpl-2"),
     ("licensed under the gnu general public license version 3", "gpl-3"),
+    ("licensed under the gnu lesser general public license version 2 1", "lgpl-2.1"),
+    ("licensed under the gnu lesser general public license version 3", "lgpl-3"),
+    ("licensed under the gnu affero general public license version 3", "agpl-3"),
     ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl"),
+    ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl"),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license", "agpl"),
     ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", "epl-2"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license v1 0", "epl-1"),
+    ("to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights", "cc0"),
     ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by"),
+    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", "cc-by-nc"),
+    ("this work is licensed under a creative commons attribution noderivatives 4 0 international license", "cc-by-nd"),
+    ("this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license", "cc-by-nc-sa"),
+    ("this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license", "cc-by-nc-nd"),
 )
 
 Template = tuple[str, str]
@@ -51,8 +103,8 @@ def template_grams(spark: SparkSession, phrases: tuple[Template, ...], templates
     rows = ["(-1, '', false, 1, 0, cast(array() as array<string>))"]
     for number, (text, label) in enumerate([*phrases, *templates]):
         words = text.split()
-        if not GRAM <= len(words) <= 62 or not re.fullmatch("[a-z0-9 ]+", text) or not re.fullmatch("[\\w.-]+", label):
-            raise ValueError(f"a template has {GRAM} to 62 words of a-z and 0-9 and a plain label: {text!r}, {label!r}")
+        if len(words) < GRAM or not re.fullmatch("[a-z0-9 ]+", text) or not re.fullmatch("[\\w.-]+", label):
+            raise ValueError(f"a template has {GRAM} or more words of a-z and 0-9 and a plain label: {text!r}, {label!r}")
         for place in range(len(words) - GRAM + 1):
             gram = ", ".join(f"'{w}'" for w in words[place : place + GRAM])
             rows.append(f"({number}, '{label}', {str(number < len(phrases)).lower()}, {len(words)}, {place}, array({gram}))")
@@ -70,12 +122,15 @@ def _rolling() -> Column:
 
 def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...] = PHRASES, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): n_words, n_base (places of phrases), first_word
-    and last_word (their smallest and largest start, else null), base_labels, labels and score, the
-    largest share of a phrase or template that a counted span covers.
-
-    A null or empty text has no words, no labels and score 0. Repeated rows and null ids are rows
-    like any other; an empty table gives an empty result; other columns are not read. Texts are
-    read once and never shuffled: only hits and one row for each text are.
+    and last_word (their smallest and largest start, else null), base_labels, labels and score: the
+    largest share of a counted span, its covered template words over the template's words and the
+    foreign words of the span (1 for a phrase).
+
+    Of spans that overlap, directly or in a chain, the one with most covered words counts, then the
+    one with fewest foreign words, then the first template. Phrases always count. A null or empty
+    text has no words, no labels and score 0. Repeated rows and null ids are rows like any other;
+    an empty table gives an empty result; other columns are not read. Texts are read once and never
+    shuffled: only hits and one row for each text are.
     """
     grams = template_grams(docs.sparkSession, phrases, templates)
     words = F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
@@ -97,28 +152,35 @@ def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...] = PHRASES, temp
     # from here on all rows of a text stay in one partition: a text has fewer hits than words
     text = ["row", "doc_id", "n_words"]
     kind = [*text, "template", "label", "base", "length"]
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))
-    lines = hits.repartition("row").groupBy(*kind, "diagonal").agg(
-        F.bit_or(bit).alias("mask"),
-        (F.min("place") + F.col("diagonal")).alias("from_word"),
-        (F.max("place") + F.col("diagonal") + GRAM - 1).alias("to_word"),
-    )
+    lines = hits.repartition("row").groupBy(*kind, "diagonal").agg(F.collect_list("place").alias("places"))
     along = Window.partitionBy(*kind).orderBy("diagonal")
     apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > NEAR).cast("int"), F.lit(0))
-    exact = F.col("base") & (F.bit_count("mask") == F.col("length") - GRAM + 1)
-    spans = lines.withColumn("apart", apart).withColumn("span", F.sum("apart").over(along)).withColumn("exact", exact)
-    spans = spans.groupBy(*kind, "span").agg(
-        F.bit_or("mask").alias("mask"),
-        F.min("from_word").alias("from_word"),
-        F.max("to_word").alias("to_word"),
+    # a phrase stands where all its places are on one diagonal
+    exact = F.col("base") & (F.size("places") == F.col("length") - GRAM + 1)
+    lines = lines.withColumn("apart", apart).withColumn("span", F.sum("apart").over(along)).withColumn("exact", exact)
+    covered = lambda of: F.flatten(F.collect_set(F.flatten(F.transform("places", of))))
+    spans = lines.groupBy(*kind, "span").agg(
+        F.size(F.array_distinct(covered(lambda p: F.array(*[p + k for k in range(GRAM)])))).alias("covered"),
+        F.size(F.array_distinct(covered(lambda p: F.array(*[p + k + F.col("diagonal") for k in range(GRAM)])))).alias("said"),
+        F.min(F.array_min("places") + F.col("diagonal")).alias("from_word"),
+        F.max(F.array_max("places") + F.col("diagonal") + GRAM - 1).alias("to_word"),
         F.sum(F.col("exact").cast("long")).alias("n_exact"),
         F.min(F.when(F.col("exact"), F.col("diagonal"))).alias("first_exact"),
         F.max(F.when(F.col("exact"), F.col("diagonal"))).alias("last_exact"),
     )
-    covered = F.bit_count(_widened(F.col("mask"))) / F.col("length")
-    fits = (covered >= COVER) & (F.col("to_word") - F.col("from_word") + 1 <= F.col("length") * STRETCH)
-    found = F.when(F.col("template") < 0, False).when(F.col("base"), F.col("n_exact") > 0).otherwise(fits)
-    spans = spans.withColumn("found", found).withColumn("share", F.when(F.col("base"), F.lit(1.0)).otherwise(covered))
+    foreign = F.col("to_word") - F.col("from_word") + 1 - F.col("said")
+    spans = spans.withColumn("foreign", foreign)
+    fits = (F.col("template") >= 0) & ~F.col("base") & (F.col("covered") >= COVER * F.col("length")) & (foreign * FOREIGN <= F.col("length"))
+    spans = spans.withColumn("fits", fits)
+    # overlapping spans form clusters: a new one starts behind the furthest end so far
+    in_text = Window.partitionBy("row", "fits").orderBy("from_word", "to_word", "template")
+    reach = F.max("to_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("opens", F.coalesce((F.col("from_word") > reach).cast("int"), F.lit(0)))
+    spans = spans.withColumn("cluster", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    best = Window.partitionBy("row", "fits", "cluster").orderBy(F.desc("covered"), "foreign", "template", "from_word")
+    chosen = F.col("fits") & (F.row_number().over(best) == 1)
+    spans = spans.withColumn("found", chosen | (F.col("n_exact") > 0))
+    spans = spans.withColumn("share", F.when(F.col("base"), F.lit(1.0)).otherwise(F.col("covered") / (F.col("length") + F.col("foreign"))))
     labels = lambda when: F.array_join(F.array_sort(F.collect_set(F.when(when, F.col("label")))), ",")
     return (
         spans.groupBy(*text)
@@ -132,10 +194,3 @@ def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...] = PHRASES, temp
         )
         .drop("row")
     )
-
-
-def _widened(mask: Column) -> Column:
-    """The mask of words from the mask of the three-word places that cover them."""
-    for k in range(1, GRAM):
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.col("mask"), F.lit(k)))
-    return mask

@@ -74,48 +74,51 @@ from hashed join firsts using (hex) join text using (hex)
 """
 
 
-def _templates() -> str:
-    kinds = [(text, label, True) for text, label in licenses.PHRASES] + [(text, label, False) for text, label in licenses.TEMPLATES]
-    return ", ".join(f"({i}, '{text}', '{label}', {base})" for i, (text, label, base) in enumerate(kinds))
+def _rows(wordings: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join(f"({i}, '{label}', {text.split()})" for i, (text, label) in enumerate(wordings))
 
 
+# Phrases are looked up word by word. A notice is aligned by the places where three words in a row
+# agree with the template; alignments that are shifted by up to three words belong together.
 OP4 = rf"""
 with docs as (
     select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as said
     from documents),
-spoken as (select r, unnest(said) as word, generate_subscripts(said, 1) - 1 as spot from docs),
-trios as (select r, spot, word as w1, lead(word) over d as w2, lead(word, 2) over d as w3 from spoken window d as (partition by r order by spot)),
-templates (template, wording, label, base) as (values {_templates()}),
-parts as (select template, label, base, string_split(wording, ' ') as said from templates),
-asked as (select template, label, base, len(said) as length, unnest(said) as word, generate_subscripts(said, 1) - 1 as place from parts),
-grams as (
-    select template, label, base, length, place, word as w1, lead(word) over d as w2, lead(word, 2) over d as w3
-    from asked window d as (partition by template order by place)),
-hits as (select r, template, label, base, length, spot - place as diagonal, place, spot from trios join grams using (w1, w2, w3)),
-diagonals as (
-    select r, template, label, base, length, diagonal, base and count(*) = length - 2 as exact,
-           diagonal - lag(diagonal) over (partition by r, template order by diagonal) > {licenses.NEAR} as apart
-    from hits group by r, template, label, base, length, diagonal),
+phrases (phrase, label, words) as (values {_rows(licenses.PHRASES)}),
+stands as (
+    select r, label, i - 1 as start from (select r, said, label, words, unnest(range(1, len(said) - len(words) + 2)) as i from docs, phrases)
+    where said[i] = words[1] and said[i : i + len(words) - 1] = words),
+base as (select r, count(*) as n, min(start) as first, max(start) as last, string_agg(distinct label, ',' order by label) as labels from stands group by r),
+notices (notice, label, words) as (values {_rows(licenses.TEMPLATES)}),
+asked as (select notice, i as place, array_to_string(words[i : i + 2], ' ') as trio from notices, unnest(range(1, len(words) - 1)) as t(i)),
+heard as (select r, i as spot, array_to_string(said[i : i + 2], ' ') as trio from docs, unnest(range(1, len(said) - 1)) as t(i)),
+agreed as (select r, notice, spot - place as shift, place, spot from heard join asked using (trio)),
+shifts as (select distinct r, notice, shift from agreed),
+steps as (
+    select *, case when shift - lag(shift) over (partition by r, notice order by shift) > {licenses.NEAR} then 1 else 0 end as step from shifts),
+aligned as (select r, notice, shift, sum(step) over (partition by r, notice order by shift) as part from steps),
+words as (
+    select r, notice, part, place + k as wanted, spot + k as found
+    from agreed join aligned using (r, notice, shift), (select unnest([0, 1, 2]) as k)),
 spans as (
-    select *, coalesce(sum(apart::int) over (partition by r, template order by diagonal), 0) as span from diagonals),
-covers as (
-    select s.r, s.template, s.label, s.length, s.span, count(distinct h.place + k) / s.length as share,
-           max(h.spot) + 3 - min(h.spot) as stretch
-    from spans s join hits h using (r, template, diagonal), (select unnest([0, 1, 2]) as k) where not s.base
-    group by s.r, s.template, s.label, s.length, s.span),
-found as (
-    select r, label, true as base, 1.0::double as share from diagonals where exact
-    union all
-    select r, label, false, share from covers where share >= {licenses.COVER} and stretch <= length * {licenses.STRETCH}),
-named as (
-    select r, string_agg(distinct label, ',' order by label) as labels, coalesce(string_agg(distinct label, ',' order by label) filter (base), '') as base_labels,
-           max(share) as score
-    from found group by r),
-exacts as (select r, count(*) as n, min(diagonal) as first, max(diagonal) as last from diagonals where exact group by r)
-select doc_id, len(said)::bigint as n_words, coalesce(n, 0)::bigint as n_base, first::bigint as first_word, last::bigint as last_word,
-       coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
-from docs left join exacts using (r) left join named using (r)
+    select r, notice, part, count(distinct wanted) as covered, min(found) as lo, max(found) as hi,
+           max(found) - min(found) + 1 - count(distinct found) as alien
+    from words group by r, notice, part),
+fitting as (
+    select r, notice, label, len(n.words) as length, covered, lo, hi, alien from spans join notices n using (notice)
+    where covered >= {licenses.COVER} * len(n.words) and alien * {licenses.FOREIGN} <= len(n.words)),
+touching as (
+    select *, case when lo > max(hi) over (partition by r order by lo, hi, notice rows between unbounded preceding and 1 preceding) then 1 else 0 end as opens from fitting),
+clusters as (select *, sum(opens) over (partition by r order by lo, hi, notice rows unbounded preceding) as cluster from touching),
+best as (
+    select r, label, covered / (length + alien) as share from clusters
+    qualify row_number() over (partition by r, cluster order by covered desc, alien, notice, lo) = 1),
+every as (select r, label, 1.0::double as share from stands union all select r, label, share from best),
+named as (select r, string_agg(distinct label, ',' order by label) as labels, max(share) as score from every group by r)
+select doc_id, len(said)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, b.first::bigint as first_word, b.last::bigint as last_word,
+       coalesce(b.labels, '') as base_labels, coalesce(m.labels, '') as labels, coalesce(m.score, 0)::double as score
+from docs left join base b using (r) left join named m using (r)
 """
 
 OP5 = rf"""

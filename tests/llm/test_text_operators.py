@@ -107,3 +107,33 @@ def test_one_row_of_a_group_stays(spark):
     third = [r for r in got if r[1] and r[1].startswith("w3x")]
     assert len(third) == 1 and third[0][0] is None
     assert sorted([(0, said(2) + " end", "a"), (1, said(1), "a"), (5, "", "a"), (5, "", "a"), (None, None, "a"), *third], key=str) == got
+
+
+def test_notices_that_differ_by_a_word(spark):
+    said = [
+        ("licensed under the GNU Lesser General Public License version 3", "lgpl-3"),
+        ("licensed under the GNU Affero General Public License version 3", "agpl-3"),
+        ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", "agpl"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+        ("This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "cc-by-sa"),
+        ("This work is licensed under a Creative Commons Attribution NonCommercial NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+        ("licensed under the gnu frobnicated general public license version 3", ""),
+        ("This work is licensed under a Creative Commons Attribution Weekendsonly 4.0 International License", ""),
+        ("licensed under the gnu general public license version 3. This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by,gpl-3"),
+    ]
+    rows = licenses.scan_licenses(docs_of(spark, [t for t, _ in said])).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == [label for _, label in said]
+    assert all(r.score == (1.0 if r.labels else 0.0) for r in rows)
+
+
+def test_whole_license_texts(spark):
+    whole = next(t for t, label in licenses.TEMPLATES if label == "mit" and len(t.split()) > 62)
+    words = whole.split()
+    changed = " ".join(w if i % 40 else "changed" for i, w in enumerate(words))
+    half = " ".join(words[30:90])
+    rows = licenses.scan_licenses(docs_of(spark, [whole.upper(), changed, half, f"before {whole} between {whole} after"])).orderBy("doc_id").collect()
+    assert [r.labels for r in rows] == ["mit", "mit", "", "mit"]
+    assert rows[0].score == 1.0 and 0.8 <= rows[1].score < 1 and rows[3].score == 1.0
+    long = (" ".join(f"w{i}" for i in range(300)), "own")
+    (row,) = licenses.scan_licenses(docs_of(spark, ["x " + long[0]]), templates=(long,)).collect()
+    assert (row.labels, row.score) == ("own", 1.0)
