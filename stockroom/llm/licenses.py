@@ -20,11 +20,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GRAM = 3
 #: Diagonals this near each other belong to one span.
 NEAR = 3
-#: A span counts if it covers this share of the template's words ...
-COVER = 0.8
-#: ... and has at most one foreign word for so many words of the template: in a short notice a
-#: single word put in ("lesser", "noncommercial") makes it the notice of another license.
-FOREIGN = 15
+#: A span counts if it has at most one fault for so many words of the template: a word missing, put
+#: in or replaced. In a short notice a single word ("lesser", "noncommercial") makes another license.
+FAULT = 20
 
 # Phrases that give a label wherever their words stand consecutively.
 PHRASES = (
@@ -126,11 +124,11 @@ def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...] = PHRASES, temp
     largest share of a counted span, its covered template words over the template's words and the
     foreign words of the span (1 for a phrase).
 
-    Of spans that overlap, directly or in a chain, the one with most covered words counts, then the
-    one with fewest foreign words, then the first template. Phrases always count. A null or empty
-    text has no words, no labels and score 0. Repeated rows and null ids are rows like any other;
-    an empty table gives an empty result; other columns are not read. Texts are read once and never
-    shuffled: only hits and one row for each text are.
+    Of spans that overlap, directly or in a chain, the one with most covered words less its faults
+    counts, then the first template. Phrases always count. A null or empty text has no words, no
+    labels and score 0. Repeated rows and null ids are rows like any other; an empty table gives an
+    empty result; other columns are not read. Texts are read once and never shuffled: only hits and
+    one row for each text are.
     """
     grams = template_grams(docs.sparkSession, phrases, templates)
     words = F.coalesce(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
@@ -170,14 +168,15 @@ def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...] = PHRASES, temp
     )
     foreign = F.col("to_word") - F.col("from_word") + 1 - F.col("said")
     spans = spans.withColumn("foreign", foreign)
-    fits = (F.col("template") >= 0) & ~F.col("base") & (F.col("covered") >= COVER * F.col("length")) & (foreign * FOREIGN <= F.col("length"))
-    spans = spans.withColumn("fits", fits)
+    faults = F.greatest(F.col("length") - F.col("covered"), F.col("foreign"))
+    fits = (F.col("template") >= 0) & ~F.col("base") & (faults * FAULT <= F.col("length"))
+    spans = spans.withColumn("fits", fits).withColumn("agreed", F.col("covered") - faults)
     # overlapping spans form clusters: a new one starts behind the furthest end so far
     in_text = Window.partitionBy("row", "fits").orderBy("from_word", "to_word", "template")
     reach = F.max("to_word").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("opens", F.coalesce((F.col("from_word") > reach).cast("int"), F.lit(0)))
     spans = spans.withColumn("cluster", F.sum("opens").over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    best = Window.partitionBy("row", "fits", "cluster").orderBy(F.desc("covered"), "foreign", "template", "from_word")
+    best = Window.partitionBy("row", "fits", "cluster").orderBy(F.desc("agreed"), "template", "from_word")
     chosen = F.col("fits") & (F.row_number().over(best) == 1)
     spans = spans.withColumn("found", chosen | (F.col("n_exact") > 0))
     spans = spans.withColumn("share", F.when(F.col("base"), F.lit(1.0)).otherwise(F.col("covered") / (F.col("length") + F.col("foreign"))))

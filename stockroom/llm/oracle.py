@@ -107,13 +107,13 @@ spans as (
     from words group by r, notice, part),
 fitting as (
     select r, notice, label, len(n.words) as length, covered, lo, hi, alien from spans join notices n using (notice)
-    where covered >= {licenses.COVER} * len(n.words) and alien * {licenses.FOREIGN} <= len(n.words)),
+    where greatest(len(n.words) - covered, alien) * {licenses.FAULT} <= len(n.words)),
 touching as (
     select *, case when lo > max(hi) over (partition by r order by lo, hi, notice rows between unbounded preceding and 1 preceding) then 1 else 0 end as opens from fitting),
 clusters as (select *, sum(opens) over (partition by r order by lo, hi, notice rows unbounded preceding) as cluster from touching),
 best as (
     select r, label, covered / (length + alien) as share from clusters
-    qualify row_number() over (partition by r, cluster order by covered desc, alien, notice, lo) = 1),
+    qualify row_number() over (partition by r, cluster order by covered - greatest(length - covered, alien) desc, notice, lo) = 1),
 every as (select r, label, 1.0::double as share from stands union all select r, label, share from best),
 named as (select r, string_agg(distinct label, ',' order by label) as labels, max(share) as score from every group by r)
 select doc_id, len(said)::bigint as n_words, coalesce(b.n, 0)::bigint as n_base, b.first::bigint as first_word, b.last::bigint as last_word,
