@@ -164,14 +164,28 @@ def spanning_links(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` (node, doc_id, digest, n and others) with the text of each node, one row per node:
+    that of the row of ``docs`` with the node's doc_id and digest, of which ``docs`` has ``n``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.unhex(F.md5("text")).alias("_digest"), "text").where("text is not null")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    # members grow with the texts, so they are not to be broadcast at any size
+    said = members.where("n = 1").hint("merge").join(texts, same).drop("_id", "_digest")
+    several = members.where("n > 1")
+    if several.limit(1).count():
+        # equal rows become one before the shuffle, however often a row is repeated
+        columns = members.columns
+        found = several.hint("merge").join(texts.groupBy("_id", "_digest").agg(F.any_value("text").alias("text")), same)
+        said = said.unionByName(found.select(*columns, "text"))
+    return said
+
+
 def verified_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that connect all linked nodes of each family. ``members``: node, doc_id, n_bytes,
-    family. A family of many texts is cut into hashed blocks, and every two blocks of it meet."""
+    """Links (a, b) that connect all linked nodes of each family. ``members``: node, doc_id, digest, n,
+    n_bytes, family. A family of many texts is cut into hashed blocks, and every two blocks of it meet."""
     sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n_bytes") / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias("blocks"))
     placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    # members grow with the texts, so they are not to be broadcast at any size
-    said = placed.hint("merge").join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    said = texts_of(docs, placed)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     units = said.select("node", "text", "family", "block", "blocks", other.alias("other"))
     units = units.where("blocks = 1 or block <> other")  # two blocks' task also has the pairs within each
@@ -181,8 +195,7 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int = PERCENT)
         ids, sets = WordIds(), {}
         for node, text in zip(table["node"].to_pylist(), table["text"].to_pylist()):
             hashes, _ = _set_of(text, ids)
-            if len(hashes) and set_key(hashes) == node:  # else another text under a repeated id
-                sets[node] = hashes
+            sets[node] = hashes
         names = list(sets)
         links = spanning_links(similar(list(sets.values()), percent)) if len(names) > 1 else []
         return pa.table([pa.array([names[i] for i, _ in links], pa.binary()), pa.array([names[j] for _, j in links], pa.binary())], ["a", "b"])
@@ -194,9 +207,11 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, digest, n_shingles, component) for each row; ``component`` is null for an empty set."""
     docs = docs.select("doc_id", "text")
     rows = materialize(sketches(docs), "sketches")
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.any_value("n_bytes").alias("n_bytes"), F.any_value("sketch").alias("sketch"))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.any_value("sketch").alias("sketch"))
     families = components(candidate_edges(nodes.select("node", "sketch")))
-    members = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"))
+    # a node's text is read from one row: preferably one that is not repeated
+    equal = rows.where("node is not null").groupBy("node", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"), F.max("n_bytes").alias("n_bytes"))
+    members = equal.groupBy("node").agg(F.min(F.struct("n", "doc_id", "digest", "n_bytes")).alias("row")).select("node", "row.*")
     members = materialize(members.join(families.withColumnRenamed("component", "family"), "node"), "families")
     groups = components(verified_links(docs, members, percent))
     joined = rows.select("doc_id", "digest", "n_shingles", "node").join(groups, "node", "left")

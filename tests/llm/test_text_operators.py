@@ -137,3 +137,26 @@ def test_whole_license_texts(spark):
     long = (" ".join(f"w{i}" for i in range(300)), "own")
     (row,) = licenses.scan_licenses(docs_of(spark, ["x " + long[0]]), templates=(long,)).collect()
     assert (row.labels, row.score) == ("own", 1.0)
+
+
+def test_many_rows_without_id_meet_one_to_one(spark):
+    said = lambda k, end="": " ".join(f"w{k}x{i}" for i in range(40)) + end
+    rows = [(None, said(i % 50, " end" if i % 3 else "")) for i in range(300)] + [(7, said(i)) for i in range(60)] + [(None, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = []
+    texts_of = minhash.texts_of
+
+    def counted(docs, members):
+        out = texts_of(docs, members)
+        nodes.append((members.count(), out.count(), out.select("node").distinct().count()))
+        return out
+
+    minhash.texts_of = counted
+    try:
+        got = minhash.near_groups(docs).collect()
+    finally:
+        minhash.texts_of = texts_of
+    assert nodes == [(nodes[0][0],) * 3] and nodes[0][0] >= 100
+    assert len(got) == len(rows) and {r.component_id for r in got if r.n_shingles and r.doc_id is None} == {7}
+    kept = minhash.keep_first(docs)
+    assert kept.where("text like 'w%'").count() == 60
