@@ -268,5 +268,6 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 
 def digests(encoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``encode_documents`` rows."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of ``encode_documents`` rows, one per row; a null
+    or empty text has no ids, and its digests are those of the empty string."""
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

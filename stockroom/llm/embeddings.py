@@ -53,7 +53,10 @@ PREPARED = "vec_id long, space string, node binary, vector binary"
 
 def prepare(vectors: DataFrame) -> DataFrame:
     """(vec_id, space, node, vector): ``space`` names label and length, null for vectors that link
-    with nothing; ``node`` is the same for equal vectors of a space; ``vector`` has 32-bit floats."""
+    with nothing; ``node`` is the same for equal vectors of a space; ``vector`` has the numbers in the
+    precision they came in, 32-bit floats or doubles, behind a byte that says which."""
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    tag, kind = (b"4", np.float32) if single else (b"8", np.float64)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,22 +64,28 @@ def prepare(vectors: DataFrame) -> DataFrame:
             for label, values in zip(batch.column("label").to_pylist(), batch.column("embedding").to_pylist()):
                 space = node = data = None
                 if label is not None and values and None not in values:
-                    x = np.array(values, np.float32) + np.float32(0)  # -0.0 counts as 0.0
+                    x = np.array(values, kind) + kind(0)  # -0.0 counts as 0.0
                     if np.isfinite(x).all() and x.any():
-                        space, data = f"{label}:{len(x)}", x.tobytes()
+                        space, data = f"{label}:{len(x)}", tag + x.tobytes()
                         node = hashlib.md5(space.encode() + b"\0" + data, usedforsecurity=False).digest()
                 spaces.append(space)
                 nodes.append(node)
                 found.append(data)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(spaces, pa.string()), pa.array(nodes, pa.binary()), pa.array(found, pa.binary())], ["vec_id", "space", "node", "vector"])
 
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), (F.col("embedding") if single else F.col("embedding").cast("array<double>")).alias("embedding"))
     return rows.mapInArrow(read, PREPARED)
 
 
+def numbers(vectors: list[bytes]) -> np.ndarray:
+    """Vectors of equal length as rows, in the precision they came in."""
+    kind = np.float32 if vectors[0][:1] == b"4" else np.float64
+    return np.frombuffer(b"".join(v[1:] for v in vectors), kind).reshape(len(vectors), -1)
+
+
 def unit_rows(vectors: list[bytes]) -> np.ndarray:
     """Vectors of equal length as rows of length 1, in double precision."""
-    x = np.frombuffer(b"".join(vectors), np.float32).reshape(len(vectors), -1).astype(np.float64)
+    x = numbers(vectors).astype(np.float64)
     x /= np.abs(x).max(1, keepdims=True)  # no overflow of the squares
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
@@ -119,7 +128,7 @@ def leaf_edges(nodes: DataFrame, first_round: int, rounds: int, threshold: float
         for batch in batches:
             codes = []
             for vector in batch.column("vector").to_pylist():
-                x = np.frombuffer(vector, np.float32)
+                x = numbers([vector])[0]
                 if len(x) not in planes:
                     planes[len(x)] = np.stack([np.random.default_rng([len(x), r]).standard_normal((PLANES, len(x))) for r in range(first_round, first_round + rounds)]).astype(np.float32)
                 codes.append(((planes[len(x)] @ x) > 0).astype(np.int64) @ (1 << np.arange(PLANES)))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockroom.llm.names import plain_names
+
 WIDTH = 3
 HAS_WORD = "[^\\x20\\x09-\\x0D]"
 
@@ -55,7 +57,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     column made here are kept under their name, but for n_lines and n_removed, which are replaced.
     """
     gone = later_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5"), F.col("gone").alias("_gone"))
-    rows = docs.drop("n_lines", "n_removed")
+    docs = docs.drop("n_lines", "n_removed")
+    rows = plain_names(docs, "doc_id", "text")
     joined = rows.join(gone, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.unhex(F.md5(rows["text"])) == F.col("_md5")), "left")
     lines = _split(F.col("text"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
@@ -65,13 +68,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
     }
     out = joined.select(*[(fresh if c == "text" else F.col(c)).alias(c) for c in rows.columns], *[v.alias(k) for k, v in made.items()])
-    return out
+    return out.toDF(*docs.columns, *made)
 
 
 def without_later_lines(docs: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` after ``dedup_lines``, ``n_chars`` kept true if there is one;
-    a document that loses its last word goes."""
-    fresh = dedup_lines(docs)
+    a document that loses its last word goes. Null and empty texts lose nothing and stay; equal rows
+    all stay or all go; an empty table gives an empty result. All other columns keep their values,
+    whatever their names."""
+    rows = plain_names(docs, "doc_id", "text", "n_chars")
+    fresh = dedup_lines(rows)
     left = fresh.where((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD))
-    chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
-    return left.select(*[(chars.cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)) for c in docs.columns])
+    if "n_chars" in docs.columns:
+        chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
+    return left.select(*rows.columns).toDF(*docs.columns)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from stockroom.llm.arrowtext import text_chunks
 from stockroom.llm.components import components
+from stockroom.llm.names import plain_names
 from stockroom.llm.quality import WordIds
 from stockroom.session import materialize
 
@@ -240,7 +241,9 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group of near duplicates one
     row, that with the smallest doc_id (null last), then the smallest MD5 of the text, then, among
-    rows with equal id and text, the smallest other columns. Texts without words all stay."""
+    rows with equal id and text, the smallest other columns. Texts without words, null ones among
+    them, all stay. An empty table gives an empty result."""
+    names, docs = docs.columns, plain_names(docs, "doc_id", "text")
     grouped = _grouped(docs, percent).where("component is not null")
     copies = grouped.groupBy("component", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "n")).alias("first")
@@ -253,4 +256,4 @@ def keep_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         # a grouped minimum is partly found before the shuffle, however often a row is repeated
         rows = docs.join(several, same).groupBy("_id", "_digest").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("_row"))
         out = out.unionByName(rows.select("_row.*"))
-    return out
+    return out.toDF(*names)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.llm.names import plain_names
 from stockroom.llm.running import running_total
 from stockroom.session import materialize
 
@@ -145,7 +146,9 @@ def draw_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
     """The rows of ``docs``, each as often as ``mix_documents`` takes it, with all their columns:
     not at all if nothing of it is taken, and the document on which a source's quota ends whole.
     Rows are told apart by id, source and text; rows equal in these share the sum of their copies
-    evenly, in order of all their columns."""
+    evenly, in order of all their columns. Rows without words, null texts among them, are not taken; an
+    empty table gives an empty result."""
+    names, docs = docs.columns, plain_names(docs, "doc_id", "text", "source")
     mixed = _taken(docs, weights, cap, block_words, seed, digests=True)
     times = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("long")
     copies = mixed.groupBy("doc_id", "digest", "key").agg(F.sum(times).alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
@@ -161,7 +164,7 @@ def draw_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
         ranked = running_total(equal, "_equal", "_cell", docs.columns, "_n", "_start")
         share = F.expr("(_start + _n) * _copies div _rows - _start * _copies div _rows")
         out = out.unionByName(_repeated(ranked, share, docs.columns))
-    return out
+    return out.toDF(*names)
 
 
 def _repeated(rows: DataFrame, times: Column, columns: list[str]) -> DataFrame:

@@ -169,7 +169,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``docs`` that ``score_documents`` keeps, with all their columns; each row is
-    judged on its own, so repeated ids need no care."""
+    judged on its own, so repeated and null ids need no care, and equal rows all stay or all go.
+    Null and empty texts have too few words and go; an empty table gives an empty result."""
     ratios, floor = _fitted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, target_rows, buckets), math.floor(threshold * MICRO)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,8 +51,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     one more shard is added.
 
     Size is the UTF-8 length of the text (null: 0) plus 16; the CRC of a null text is that of the
-    empty string. Slots number the rows of a shard from 0 without gaps, in order of a hash of the
-    key; equal rows take neighbouring slots. A null doc_id is a key of its own (-1). An empty
+    empty string. Slots number the rows of a shard from 0 without gaps, in order of hashes of the key
+    and of the text, so that rows of one key are numbered by many tasks; equal rows take
+    neighbouring slots. A null doc_id is a key of its own (-1). An empty
     table gives an empty result, and other columns of ``docs`` are not read. The text itself is
     never shuffled: only the digest of a row is.
     """
@@ -66,7 +67,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
         "*",
         shard_of(F.col("doc_id"), n_shards).alias("shard"),
         shard_of(F.col("doc_id"), n_shards + 1).alias("grown_shard"),
-        F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), 1, 2).alias("_part"),
+        F.format_string("%02x%02x", F.pmod(F.xxhash64("doc_id"), F.lit(256)), F.shiftright(F.col("text_crc32"), 24)).alias("_part"),
         F.lit(1).cast("long").alias("_one"),
     )
     placed = materialize(placed, "shards")

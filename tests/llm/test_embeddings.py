@@ -72,3 +72,16 @@ def test_dense_groups_of_several_leaves(spark, monkeypatch):
     rows = [(i, (centres[i % 2] + 0.001 * rng.standard_normal(24)).tolist(), 1) for i in range(120)]
     got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), rounds=3).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
+
+
+def test_doubles_keep_their_precision_and_other_columns_are_not_read(spark):
+    edge = [0.93, float(np.sqrt(1 - 0.93**2))]
+    rows = [(1, [1e39, 0.0], 1), (2, [2e39, 0.0], 1), (3, [1.0, 0.0], 2), (4, edge, 2), (5, [1.0, 0.0], 3), (6, [0.93 - 1e-9, edge[1] + 1e-8], 3)]
+    df = spark.createDataFrame([(*r, "x", b"y") for r in rows], "vec_id long, embedding array<double>, label int, node string, vector binary")
+
+    def cosine(x, y):
+        return float(np.dot(np.array(x) / np.abs(x).max(), np.array(y) / np.abs(y).max()) / np.linalg.norm(np.array(x) / np.abs(x).max()) / np.linalg.norm(np.array(y) / np.abs(y).max()))
+
+    want = {1: 1, 2: 1, 3: int(cosine(rows[2][1], rows[3][1]) >= 0.93), 5: int(cosine(rows[4][1], rows[5][1]) >= 0.93)}
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()}
+    assert {k: got[k] for k in want} == want and want[5] == 0

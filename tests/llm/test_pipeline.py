@@ -6,6 +6,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stockroom.llm import bpe
 from stockroom.llm.queries import ORACLE
@@ -76,3 +78,29 @@ def test_bpe(spark, stages):
 def test_run_applies_all_stages(spark, stages):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, stages["bpe"][1].collect()))
+
+
+CLASHING = ("_id", "_md5", "_gone", "_digest", "_n", "_row", "_copies", "_rows", "_equal", "_key", "_part", "_order", "_start", "_times", "_copy", "_cell", "_one", "n_lines", "n_removed", "size", "x1")
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_columns_named_like_inner_ones_come_back(spark, odd_docs, no_docs, name, stage):
+    docs = odd_docs.drop("size").withColumns({c: F.concat(F.lit(c), F.coalesce("source", F.lit("-"))) for c in CLASHING})
+    docs = docs.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    kept = stage(spark, docs, SF_SMALL)
+    assert kept.columns == docs.columns
+    for r in kept.collect():
+        own = r.source if r.source is not None else "-"
+        assert r["n_lines"] == "n_lines" + own and r["_id"] == "_id" + own and r["_copies"] == "_copies" + own
+    assert stage(spark, docs.where("false"), SF_SMALL).count() == 0
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_run_on_odd_and_repeated_rows(spark, odd_docs, tmp_path, empty):
+    docs = odd_docs.unionByName(odd_docs).withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    docs.where(F.lit(not empty)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(rows) == 0 if empty else {r.doc_id for r in rows} >= {1}
+    for r in rows:
+        assert r.n_tokens > 0 and len(r.ids_sha256) == 64

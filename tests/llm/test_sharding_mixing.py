@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from stockroom.llm import mixing, sharding
 from stockroom.llm.queries import QUERIES
@@ -102,3 +103,14 @@ def test_rows_of_one_id_are_drawn_each(spark):
         want[source] += -(-r.taken // r.size)
     got = {r.source: r["count"] for r in mixing.draw_mix(docs, block_words=64).groupBy("source").count().collect()}
     assert got == want and got["c"] < 200 < 3 * got["a"]
+
+
+def test_rows_of_one_id_are_numbered_by_many_tasks(spark):
+    docs = spark.createDataFrame([(5, f"text {i}") for i in range(1000)] + [(None, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    rows = sharding.shard_documents(docs, 4)
+    slots = {}
+    for r in rows.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) <= 2
+    part = F.shiftright(F.crc32(F.col("text").cast("binary")), 24)
+    assert docs.where("doc_id = 5").select(part.alias("p")).distinct().count() > 200
