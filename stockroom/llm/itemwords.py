@@ -21,7 +21,12 @@ _PLACE = _RANDOM.integers(0, 1 << 63, 1 << 12, dtype=np.uint64) * np.uint64(2) +
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts of a column, one after the other, and the n + 1 places where
     they start and end; a null text is empty."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_binary())
+    return binary_bytes(pa.compute.fill_null(column, ""))
+
+
+def binary_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``text_bytes`` of a column of texts or byte strings without nulls."""
+    column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     held = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)

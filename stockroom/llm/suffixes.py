@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.arrowtext import text_chunks
+from stockroom.llm.itemwords import binary_bytes, text_bytes
 from stockroom.session import materialize
 
 LENGTH = 100
@@ -126,6 +127,41 @@ def repeated_starts(text: np.ndarray, valid: np.ndarray, length: int = LENGTH) -
 
 
 # ---- guides -------------------------------------------------------------------------------------
+_BLOCK = 1 << 15  # places worked on at a time, so that the arrays stay in the processor's cache
+
+
+def _hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the ``GUIDE`` bytes from each place on, with 8 low bits of 0: polynomials of 2, 4, 8
+    and 16 bytes, each from two of the size before."""
+    n = len(data) - GUIDE + 1
+    out = np.empty(n, np.uint64)
+    powers = {1: int(_ODD)}
+    for k in (2, 4, 8):
+        powers[k] = powers[k // 2] ** 2 % 2**64
+    for a in range(0, n, _BLOCK):
+        b = min(n, a + _BLOCK)
+        h = data[a : b + GUIDE - 1].astype(np.uint64) + np.uint64(1)
+        four = h
+        for k in (1, 2, 4, 8):
+            h = h[:-k] * np.uint64(powers[k]) + h[k:]
+            four = h if k == 2 else four
+        h = h[:-4] * np.uint64(powers[4]) + four[16:]
+        h ^= h >> np.uint64(32)
+        h *= _MIX
+        h ^= h >> np.uint64(29)
+        out[a:b] = h & ~np.uint64(255)
+    return out
+
+
+def _least(keys: np.ndarray, span: int) -> np.ndarray:
+    """The least of each ``span`` neighbouring keys."""
+    width = 1
+    while 2 * width <= span:
+        keys = np.minimum(keys[:-width], keys[width:])
+        width *= 2
+    return np.minimum(keys[: len(keys) - (span - width)], keys[span - width :]) if width < span else keys
+
+
 def guides(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """(document, first, last, hash, looped) of the pieces of concatenated texts that end at ``ends``:
     strings that start at first..last (places in ``data``) have one guide. A piece is looped if its
@@ -134,44 +170,32 @@ def guides(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none, np.zeros(0, bool)
-    grams = np.zeros(n - GUIDE + 1, np.uint64)
-    for i in range(GUIDE):
-        grams = grams * _ODD + data[i : i + len(grams)] + np.uint64(1)
-    grams ^= grams >> np.uint64(32)
-    grams *= _MIX
-    grams ^= grams >> np.uint64(29)
-    low = np.uint64(255)
-    grams &= ~low
-    least = grams | (np.arange(len(grams), dtype=np.uint64) & low)
-    width = 1
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+    grams, low = _hashes(data), np.uint64(255)
+    # of equal hashes the place with the smaller low byte is the guide; with the order of places
+    # turned round, another place is least just where the hash occurs twice in the string
+    value, twice = np.empty(n - length + 1, np.uint64), np.empty(n - length + 1, bool)
+    for a in range(0, len(value), _BLOCK):
+        b = min(len(value), a + _BLOCK)
+        hashes = grams[a : b + span - 1]
+        place = np.arange(a, a + len(hashes), dtype=np.uint64) & low
+        value[a:b] = _least(hashes | place, span)
+        twice[a:b] = (value[a:b] & low) != low - (_least(hashes | (low - place), span) & low)
     starts = np.concatenate([[0], ends[:-1]])
-    doc = np.repeat(np.arange(len(ends)), ends - starts)[: len(least)]
-    fits = np.arange(len(least)) + length <= ends[doc]
-    places = np.flatnonzero(fits)
+    doc = np.repeat(np.arange(len(ends)), ends - starts)[: len(value)]
+    places = np.flatnonzero(np.arange(len(value)) + length <= ends[doc])
     if not len(places):
         return none, none, none, none, np.zeros(0, bool)
-    value, of = least[places], doc[places]
-    new = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1]) | (places[1:] != places[:-1] + 1))
+    least, of = value[places], doc[places]
+    new = np.append(True, (least[1:] != least[:-1]) | (of[1:] != of[:-1]) | (places[1:] != places[:-1] + 1))
     at = np.flatnonzero(new)
     first, last = places[at], places[np.append(at[1:], len(places)) - 1]
-    hashes = (value[at] & ~low)
-    guide = first + ((value[at] & low).astype(np.int64) - first) % 256
-    looped = np.zeros(len(at), bool)
-    for step in range(1, span):
-        there = guide + step
-        inside = there <= last + span - 1
-        looped[inside] |= grams[there[inside]] == hashes[inside]
-    return of[at], first, last, (hashes >> np.uint64(8)).astype(np.int64), looped
+    # all strings of a piece hold its guide; a second place of the hash is in the first or the last of them
+    return of[at], first, last, (least[at] >> np.uint64(8)).astype(np.int64), twice[first] | twice[last]
 
 
-def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(t or "").encode() for t in texts]
-    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts])
+def _joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, bounds = text_bytes(texts)
+    return data, bounds[1:]
 
 
 def repeated_guides(rows: DataFrame) -> DataFrame:
@@ -184,14 +208,18 @@ def repeated_guides(rows: DataFrame) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
             docs = batch.column("doc").to_numpy()
-            of, _, _, hashes, looped = guides(*_joined(batch.column("text").to_pylist()))
+            of, _, _, hashes, looped = guides(*_joined(batch.column("text")))
             order = np.lexsort((of, hashes))
-            hashes, of, looped = hashes[order], docs[of[order]], looped[order]
+            hashes, of, looped = hashes[order], of[order], looped[order]
             head = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
-            tail = np.append(head[1:], len(hashes))[: len(head)]
-            single = (tail - head == 1) & ~np.logical_or.reduceat(looped, head) if len(head) else np.zeros(0, bool)
-            others = [None if one else np.unique(of[a:b][of[a:b] != of[a]]) for one, a, b in zip(single.tolist(), head.tolist(), tail.tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[head]), pa.array(of[head]), pa.array(others, pa.list_(pa.int64()))], ["guide", "doc", "others"])
+            sizes = np.diff(np.append(head, len(hashes)))
+            single = (sizes == 1) & ~(np.logical_or.reduceat(looped, head) if len(head) else np.zeros(0, bool))
+            # the other documents of a guide: wherever the document changes within its rows
+            change = np.append(False, (hashes[1:] == hashes[:-1]) & (of[1:] != of[:-1]))[: len(hashes)]
+            more = np.add.reduceat(change.astype(np.int64), head) if len(head) else np.zeros(0, np.int64)
+            offsets = np.append(0, np.cumsum(more))
+            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(docs[of[change]]), mask=pa.array(single))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[head]), pa.array(docs[of[head]]), others], ["guide", "doc", "others"])
 
     found = rows.mapInArrow(find, "guide long, doc long, others array<long>")
     counted = found.withColumn("chunks", F.count(F.lit(1)).over(Window.partitionBy("guide")))
@@ -201,15 +229,25 @@ def repeated_guides(rows: DataFrame) -> DataFrame:
     return each
 
 
-PIECES = "guide long, shards int, doc_id long, doc long, start long, looped boolean, piece binary"
+PIECES = "guide long, shards int, doc_id long, doc long, start long, looped boolean, piece binary, n_bytes int"
+
+
+def _firsts(code: np.ndarray, ids: pa.Array, docs: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For each row the first row, in document order (null id first), with the same code."""
+    has_id = np.asarray(ids.is_valid())
+    order = np.lexsort((start, docs, np.asarray(ids.fill_null(0)), has_id))
+    known, first = np.unique(code[order], return_index=True)
+    return order[first][np.searchsorted(known, code)]
 
 
 def repeated_pieces(rows: DataFrame) -> DataFrame:
-    """``PIECES`` of ``rows`` (doc_id, doc, text, guides array of (guide, shards))."""
+    """``PIECES`` of ``rows`` (doc_id, doc, text, guides array of (guide, shards)). Of equal pieces of a
+    chunk of text only the first in document order has its bytes; the others are repeats as a whole,
+    whatever other chunks hold, and have null."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
-            data, ends = _joined(batch.column("text").to_pylist())
+            data, ends = _joined(batch.column("text"))
             of, first, last, hashes, looped = guides(data, ends)
             lists = batch.column("guides")
             lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
@@ -227,10 +265,16 @@ def repeated_pieces(rows: DataFrame) -> DataFrame:
             raw = data.tobytes()
             begin = np.concatenate([[0], ends[:-1]])
             pieces = [raw[a : b + LENGTH] for a, b in zip(first.tolist(), last.tolist())]
-            ids = batch.column("doc_id").take(pa.array(of))
+            pieces, start = pa.array(pieces, pa.binary()), first - begin[of]
+            ids, docs = batch.column("doc_id").take(pa.array(of)), batch.column("doc").take(pa.array(of))
+            code = np.asarray(pieces.dictionary_encode().indices)
+            own = _firsts(code, ids, docs.to_numpy(), start)
+            later = pa.array((docs.to_numpy() != docs.to_numpy()[own]) | (start != start[own]))
+            blank = pa.compute.if_else(later, pa.scalar(None, pa.binary()), pieces)
+            size = pa.compute.binary_length(pieces).cast(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes), pa.array(split, pa.int32()), ids, batch.column("doc").take(pa.array(of)), pa.array(first - begin[of]), pa.array(looped), pa.array(pieces, pa.binary())],
-                ["guide", "shards", "doc_id", "doc", "start", "looped", "piece"],
+                [pa.array(hashes), pa.array(split, pa.int32()), ids, docs, pa.array(start), pa.array(looped), blank, size],
+                ["guide", "shards", "doc_id", "doc", "start", "looped", "piece", "n_bytes"],
             )
 
     return rows.mapInArrow(cut, PIECES)
@@ -247,72 +291,80 @@ def _spans(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), k.type) for c, k in zip(zip(*rows), _SPANS)], schema=_SPANS) if rows else _SPANS.empty_table()
 
 
-def _stretches(starts: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of consecutive numbers of a sorted array."""
-    head = np.flatnonzero(np.append(True, np.diff(starts) != 1))
-    return list(zip(starts[head].tolist(), starts[np.append(head[1:], len(starts)) - 1].tolist()))
+def _plain_spans(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Table:
+    rest = [pa.nulls(len(doc), field.type) for field in list(_SPANS)[3:]]
+    return pa.Table.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int64()), pa.array(last, pa.int64()), *rest], schema=_SPANS)
 
 
-def _settle(pieces: list[tuple], shard: int) -> list[tuple]:
-    """Spans of different pieces (has_id, doc_id, doc, start, piece, split), those of a guide in
-    document order, by one suffix array. Byte 255, which UTF-8 never has, stands for byte 0."""
-    text = np.frombuffer(b"".join(p[4].replace(b"\0", b"\xff") + b"\0" for p in pieces), np.uint8)
-    sizes = np.array([len(p[4]) for p in pieces])
-    begin = np.cumsum(sizes + 1) - sizes - 1
+def _settle(pieces: pa.Array, has_id: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, split: np.ndarray, shard: int) -> list[pa.Table]:
+    """Spans of different pieces, those of a guide in document order, by one suffix array. Byte 255,
+    which UTF-8 never has, stands for byte 0, with which a piece ends."""
+    data, bounds = binary_bytes(pieces)
+    sizes = np.diff(bounds)
+    begin = bounds[:-1] + np.arange(len(sizes))
+    text = np.zeros(len(data) + len(sizes), np.uint8)
+    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = np.where(data == 0, np.uint8(255), data)
     edge = np.zeros(len(text) + 1, np.int64)
     np.add.at(edge, begin, 1)
     np.add.at(edge, begin + sizes - LENGTH + 1, -1)
     starts = repeated_starts(text, np.cumsum(edge)[:-1] > 0)
-    out = []
-    if len(starts):
-        which = np.searchsorted(begin, starts, "right") - 1
-        own, cuts = np.unique(which, return_index=True)
-        for k, some in zip(own.tolist(), np.split(starts, cuts[1:])):
-            _, _, doc, start, _, _ = pieces[k]
-            out.extend((doc, start + a, start + b, None, None, None, None) for a, b in _stretches(some - begin[k]))
+    which = np.searchsorted(begin, starts, "right") - 1
+    head = np.flatnonzero(np.append(True, (np.diff(starts) != 1) | (np.diff(which) != 0))[: len(starts)])
+    tail = np.append(head[1:], len(starts))[: len(head)] - 1
+    own = which[head]
+    out = [_plain_spans(doc[own], start[own] + starts[head] - begin[own], start[own] + starts[tail] - begin[own])]
     later = np.zeros(len(text), bool)
     later[starts] = True
-    for k, (has_id, doc_id, doc, start, piece, split) in enumerate(pieces):
-        if split:
-            fresh = np.flatnonzero(~later[begin[k] : begin[k] + len(piece) - LENGTH + 1]).tolist()
-            out.extend((doc, start + i, start + i, piece[i : i + LENGTH], has_id, doc_id, shard) for i in fresh)
-    return out
+    rows = []
+    for k in np.flatnonzero(split).tolist():
+        piece, at = pieces[k].as_py(), int(begin[k])
+        fresh = np.flatnonzero(~later[at : at + len(piece) - LENGTH + 1]).tolist()
+        s = int(start[k])
+        rows.extend((int(doc[k]), s + i, s + i, piece[i : i + LENGTH], bool(has_id[k]), int(ids[k]), shard) for i in fresh)
+    return [*out, _spans(rows)]
 
 
 def settle_shard(table: pa.Table) -> pa.Table:
-    """``SPANS`` of the pieces of a shard. Of equal pieces of a guide the first in document order (null
-    id first, then id, text key, place) stays; different pieces of a guide, and looped ones, go to
-    suffix arrays of about ``ARRAY_BYTES`` each."""
-    columns = [table[c].to_pylist() for c in ("doc_id", "doc", "start", "guide", "shards", "looped", "piece")]
-    rows = sorted({(i is not None, i or 0, d, s, g): (n > 1, x, p) for i, d, s, g, n, x, p in zip(*columns)}.items())
+    """``SPANS`` of the pieces of a shard. Of equal pieces the first in document order (null id first,
+    then id, text key, place) stays, and those without bytes never are first; different pieces of a
+    guide, and looped ones, go to suffix arrays of about ``ARRAY_BYTES`` each."""
     shard = table["shard"][0].as_py()
-    out, seen, kept = [], set(), {}
-    for (has_id, doc_id, doc, start, guide), (split, looped, piece) in rows:
-        if (guide, piece) in seen:
-            out.append((doc, start, start + len(piece) - LENGTH, None, None, None, None))
-        else:
-            seen.add((guide, piece))
-            kept.setdefault(guide, []).append((has_id, doc_id, doc, start, piece, split, looped))
-    batch, held = [], 0
-    for pieces in kept.values():
-        if len(pieces) > 1 or pieces[0][5] or pieces[0][6]:
-            size = sum(len(p[4]) for p in pieces)
-            if batch and held + size > ARRAY_BYTES:
-                out.extend(_settle(batch, shard))
-                batch, held = [], 0
-            batch.extend(p[:6] for p in pieces)
-            held += size
-    if batch:
-        out.extend(_settle(batch, shard))
-    return _spans(out)
+    blank = table.filter(pa.compute.is_null(table["piece"]))
+    doc, start, size = (blank[c].to_numpy() for c in ("doc", "start", "n_bytes"))
+    out = [_plain_spans(doc, start, start + size - LENGTH)]
+    table = table.filter(pa.compute.is_valid(table["piece"])).combine_chunks()
+    if not len(table):
+        return out[0]
+    encoded = table["piece"].combine_chunks().dictionary_encode()
+    code, ids = np.asarray(encoded.indices), table["doc_id"].combine_chunks()
+    doc, start, size, guide, shards, looped = (table[c].to_numpy() for c in ("doc", "start", "n_bytes", "guide", "shards", "looped"))
+    own = _firsts(code, ids, doc, start)
+    # rows with equal id and text are one document: none of them repeats the other
+    later = np.flatnonzero((doc != doc[own]) | (start != start[own]))
+    out.append(_plain_spans(doc[later], start[later], start[later] + size[later] - LENGTH))
+    has_id, ids = np.asarray(ids.is_valid()), np.asarray(ids.fill_null(0))
+    kept = np.unique(own)
+    kept = kept[np.lexsort((start[kept], doc[kept], ids[kept], has_id[kept], guide[kept]))]
+    head = np.flatnonzero(np.append(True, np.diff(guide[kept]) != 0))
+    count = np.diff(np.append(head, len(kept)))
+    open_guide = (count > 1) | np.logical_or.reduceat(looped[kept] | (shards[kept] > 1), head)
+    chosen = kept[np.repeat(open_guide, count)]
+    if len(chosen):
+        sizes = np.add.reduceat(size[kept].astype(np.int64), head)[open_guide]
+        part = np.repeat((np.cumsum(sizes) - sizes) // ARRAY_BYTES, count[open_guide])
+        for rows in np.split(chosen, np.flatnonzero(np.diff(part)) + 1):
+            pieces = encoded.dictionary.take(pa.array(code[rows]))
+            out.extend(_settle(pieces, has_id[rows], ids[rows], doc[rows], start[rows], shards[rows] > 1, shard))
+    return pa.concat_tables(out)
 
 
 def merge_shards(table: pa.Table) -> pa.Table:
     """Spans of a bucket: those without a window as they are, and of strings that first occurred in
     several shards all occurrences but the first. Each shard's strings are sorted and looked up in
     the merged ones by binary search."""
-    rows = table.to_pylist()
-    out = [tuple(r[c] for c in _SPANS.names) for r in rows if r["window"] is None]
+    plain = table.select(_SPANS.names).filter(pa.compute.is_null(table["window"]))
+    rows = table.filter(pa.compute.is_valid(table["window"])).to_pylist()
+    out: list[tuple] = []
     shards: dict[int, list[tuple]] = {}
     for r in rows:
         if r["window"] is not None:
@@ -331,7 +383,7 @@ def merge_shards(table: pa.Table) -> pa.Table:
             firsts[at[k]], late = (held, new) if held < new else (new, held)
             out.append((late[2], late[3], late[3], None, None, None, None))
         merged, firsts = np.insert(merged, at[~known], words[~known]), np.insert(firsts, at[~known], places[~known])
-    return _spans(out)
+    return pa.concat_tables([plain.cast(_SPANS), _spans(out)])
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
