@@ -589,7 +589,10 @@ def apply_batch(
         rows = materialize(rows, "fold-rows")
         edges = repeated_id_edges(rows)
         if recipe_items is not None:
-            edges = edges.unionByName(recipe_edges(recipe_items))
+            # only dishes that the batch sells tie their components together
+            sold = rows.where((F.col("pos") == 0) & (F.col("event_type") == "SALE") & F.col("delta").isNotNull())
+            dishes = sold.select("organization_id", F.col("product_id").alias("finished_product_id")).distinct()
+            edges = edges.unionByName(recipe_edges(recipe_items.join(dishes, ["organization_id", "finished_product_id"], "left_semi")))
         edges = materialize(edges, "group-edges")
         if edges.limit(1).count() == 0:
             groups = rows.sparkSession.createDataFrame([], "organization_id int, product_id long, group_id long")

@@ -120,6 +120,27 @@ def dq_report(
     return reduce(DataFrame.unionByName, rows)
 
 
+def catalogue_report(products: DataFrame, suppliers: DataFrame, state: DataFrame, log: DataFrame, users: DataFrame) -> DataFrame:
+    """Q5 + Q6 beyond the log: every balance and every actor belongs to its organization (an event
+    without an actor is sound), and the texts of the catalogue have their lengths. ``log`` has
+    created_by_id; ``users``: organization_id, user_id."""
+    long = lambda c, most: F.count_if(~F.coalesce(F.length(c).between(1, most), F.lit(False)))
+    texts = _counted(products, {
+        "check_product_name_length": long("name", 255),
+        "check_product_sku_length": long("sku", S.MAX_TEXT_LEN),
+        "check_product_unit_length": F.count_if(F.length("unit") > 20),
+    })
+    key = ["organization_id", "product_id"]
+    rows = [
+        texts,
+        _counted(suppliers, {"check_supplier_name_length": long("name", 255)}),
+        check_row("fk_state_product_org", orphans(state, products, key)),
+        check_row("fk_event_actor_org", orphans(log, users, ["organization_id", "created_by_id"], ["organization_id", "user_id"])),
+        check_row("unique_state_key", duplicate_keys(state, key)),
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 # ---- Q7 as a gate ------------------------------------------------------------------------------------------
 class QualityError(ValueError):
     """A publish was refused; ``failing`` has the failing rows of each failing check."""

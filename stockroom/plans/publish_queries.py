@@ -152,6 +152,50 @@ def q_fact_gate(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+# ---- Q5, Q6 ------------------------------------------------------------------------------------------------------
+CATALOGUE_CHECKS = {
+    "check_product_name_length": "SELECT COUNT(*) AS n FROM goods WHERE NOT COALESCE(length(name) BETWEEN 1 AND 255, false)",
+    "check_product_sku_length": "SELECT COUNT(*) AS n FROM goods WHERE NOT COALESCE(length(sku) BETWEEN 1 AND 100, false)",
+    "check_product_unit_length": "SELECT COUNT(*) AS n FROM goods WHERE length(unit) > 20",
+    "check_supplier_name_length": "SELECT COUNT(*) AS n FROM suppliers WHERE NOT COALESCE(length(name) BETWEEN 1 AND 255, false)",
+    "fk_state_product_org": "SELECT COUNT(*) AS n FROM (SELECT DISTINCT organization_id, product_id FROM event_log) s ANTI JOIN goods USING (organization_id, product_id)",
+    "fk_event_actor_org": "SELECT COUNT(*) AS n FROM event_log e WHERE e.id % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.id % 2000 AND c.c_custkey % 5 + 1 = e.organization_id)",
+    "unique_state_key": "SELECT 0 AS n",
+}
+
+
+@register(
+    "catalogue_report",
+    with_views(
+        "\nUNION ALL\n".join(f"SELECT '{c}' AS \"check\", CAST(n AS BIGINT) AS failing_rows, n = 0 AS passed FROM ({q}) q" for c, q in CATALOGUE_CHECKS.items()),
+        "event_log",
+        "products",
+        "suppliers",
+        extra=[
+            (
+                "goods",
+                """SELECT product_id, organization_id, CASE WHEN product_id % 50 = 3 THEN '' WHEN product_id % 50 = 4 THEN NULL ELSE name END AS name,
+       CASE WHEN product_id % 50 = 5 THEN repeat('s', 101) ELSE sku END AS sku, unit FROM products WHERE product_id % 20 <> 7""",
+            )
+        ],
+    ),
+)
+def q_catalogue_report(spark, sf_dir):
+    # Products with planted faults: no name, a long sku, and some that are gone though they have stock.
+    k = F.col("product_id")
+    goods = A.products(spark, sf_dir).where(k % 20 != 7).select(
+        "product_id",
+        "organization_id",
+        F.when(k % 50 == 3, "").when(k % 50 == 4, None).otherwise(F.col("name")).alias("name"),
+        F.when(k % 50 == 5, F.lit("s" * 101)).otherwise(F.col("sku")).alias("sku"),
+        "unit",
+    )
+    log = A.event_log(spark, sf_dir).withColumn("created_by_id", F.when(F.col("id") % 3 != 0, F.col("id") % 2000))
+    c = read_table(spark, sf_dir, "customer")
+    users = c.select((F.col("c_custkey") % 5 + 1).cast("int").alias("organization_id"), F.col("c_custkey").alias("user_id"))
+    return quality.catalogue_report(goods, A.suppliers(spark, sf_dir), projection.replay_state(log), log, users)
+
+
 # ---- L1 ------------------------------------------------------------------------------------------------------------
 BUSY_SQL = "SELECT organization_id, product_id FROM event_log GROUP BY ALL ORDER BY COUNT(*) DESC, organization_id, product_id LIMIT 1"
 

@@ -156,8 +156,8 @@ def q_fact(spark, sf_dir):
 
 
 # ---- A2, A3, W1 (the warehouse's three queries) ---------------------------------------------------
-DAILY_DELTA_SQL = """SELECT DISTINCT product_id, date_id,
-       CAST(SUM(quantity) OVER (PARTITION BY product_id, date_id) AS BIGINT) AS daily_delta FROM {fact}"""
+DAILY_DELTA_SQL = """SELECT product_id, date_id, CAST(SUM(quantity) AS BIGINT) AS daily_delta
+FROM {fact} GROUP BY product_id, date_id"""
 
 
 @register("daily_delta", with_views(DAILY_DELTA_SQL.format(fact="fact_e"), "fact_e"))
@@ -170,9 +170,8 @@ def q_daily_delta_l(spark, sf_dir):
     return analytics.daily_delta(fact_l(spark, sf_dir)).orderBy("date_id", "product_id")
 
 
-BREAKDOWN_SQL = """SELECT t.event_type, (SELECT COUNT(*) FROM {fact} f WHERE f.event_type = t.event_type) AS event_count,
-       CAST((SELECT SUM(f.quantity) FROM {fact} f WHERE f.event_type = t.event_type) AS BIGINT) AS total_quantity
-FROM (SELECT DISTINCT event_type FROM {fact}) t"""
+BREAKDOWN_SQL = """SELECT event_type, COUNT(*) AS event_count, CAST(SUM(quantity) AS BIGINT) AS total_quantity
+FROM {fact} GROUP BY event_type"""
 
 
 @register("event_type_breakdown", with_views(BREAKDOWN_SQL.format(fact="fact_e"), "fact_e"))
