@@ -368,3 +368,81 @@ def q_product_snapshot(spark, sf_dir):
     )
     snapshot, _ = changes.product_inserts(A.products(spark, sf_dir), planted)
     return snapshot.select("product_id", "organization_id", "name", "sku", "unit")
+
+
+# ---- C4 in request order -----------------------------------------------------------------------------------------------
+WAVE = 1_000_000_000
+
+
+def _line_requests(spark, sf_dir):
+    """Each line gets three requests, one wave after the other: an edit, a delete or a new line; then an
+    edit of the new line or of one that may be gone; then another of these."""
+    lines = A.purchase_order_lines(spark, sf_dir)
+    top = lines.agg(F.max("line_id")).scalar()
+    kind, wave, new = F.col("line_id") % 3, F.col("wave"), F.col("line_id") % 3 == 2
+    op = (
+        F.when(new & (wave == 0), "insert")
+        .when((kind == 0) & (wave == 1) | (kind == 1) & (wave == 0) | new & (wave == 2) & (F.col("line_id") % 2 == 0), "delete")
+        .otherwise("update")
+    )
+    return lines.withColumn("wave", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select(
+        (F.col("line_id") + wave * WAVE).alias("change_id"),
+        "organization_id",
+        op.alias("op"),
+        F.when(op == "insert", F.col("purchase_order_id")).alias("purchase_order_id"),
+        F.when(op != "insert", F.when(new, F.col("line_id") + top).otherwise(F.col("line_id"))).alias("line_id"),
+        F.when(op == "insert", F.col("product_id")).alias("product_id"),
+        F.when(op != "delete", F.when(F.col("line_id") % 7 == 0, 0).otherwise(10 * (wave + 1))).cast("int").alias("quantity"),
+    )
+
+
+LINE_REQUESTS_SQL = f"""SELECT line_id + wave * {WAVE} AS change_id, organization_id, op, purchase_order_id, product_id,
+       CASE WHEN line_id % 3 = 2 THEN line_id + (SELECT max(line_id) FROM purchase_order_lines) ELSE line_id END AS line_id,
+       CASE WHEN line_id % 7 = 0 THEN 0 ELSE CAST(10 * (wave + 1) AS INT) END AS quantity
+FROM purchase_order_lines, (SELECT unnest([0, 1, 2]) AS wave) w,
+LATERAL (SELECT CASE WHEN line_id % 3 = 2 AND wave = 0 THEN 'insert'
+    WHEN (line_id % 3 = 0 AND wave = 1) OR (line_id % 3 = 1 AND wave = 0) OR (line_id % 3 = 2 AND wave = 2 AND line_id % 2 = 0) THEN 'delete'
+    ELSE 'update' END AS op) o"""
+
+# One request after another on each line: n numbers them, alive and quantity are the line after each.
+LINE_STEPS_SQL = """SELECT organization_id, line_id, CAST(0 AS BIGINT) AS n, bool_or(was) AS alive, max(quantity) AS quantity,
+       max(purchase_order_id) AS purchase_order_id, max(product_id) AS product_id
+FROM (SELECT organization_id, line_id, true AS was, quantity, purchase_order_id, product_id FROM purchase_order_lines
+      UNION ALL SELECT organization_id, line_id, false, NULL, purchase_order_id, product_id FROM numbered WHERE op = 'insert') b
+GROUP BY organization_id, line_id
+UNION ALL
+SELECT s.organization_id, s.line_id, r.n,
+       CASE WHEN NOT r.sound THEN s.alive WHEN r.op = 'insert' THEN true WHEN r.op = 'delete' THEN false ELSE s.alive END,
+       CASE WHEN r.sound AND (r.op = 'insert' OR (r.op = 'update' AND s.alive)) THEN r.quantity ELSE s.quantity END,
+       s.purchase_order_id, s.product_id
+FROM line_steps s JOIN numbered r ON r.organization_id = s.organization_id AND r.line_id = s.line_id AND r.n = s.n + 1"""
+
+
+@register(
+    "po_line_snapshot",
+    with_views(
+        """SELECT line_id, purchase_order_id, product_id, quantity, organization_id FROM line_steps s
+WHERE alive AND n = (SELECT max(n) FROM line_steps t WHERE t.organization_id = s.organization_id AND t.line_id = s.line_id)""",
+        "purchase_order_lines",
+        "purchase_orders",
+        "products",
+        extra=[
+            ("requests", LINE_REQUESTS_SQL),
+            (
+                "numbered",
+                """SELECT r.*, row_number() OVER (PARTITION BY r.organization_id, r.line_id ORDER BY r.change_id) AS n,
+       (r.op = 'delete' OR r.quantity > 0) AND o.status = 'DRAFT' AND (r.op <> 'insert' OR p.sku IS NOT NULL) AS sound
+FROM requests r JOIN purchase_orders o USING (organization_id, purchase_order_id)
+LEFT JOIN products p ON p.organization_id = r.organization_id AND p.product_id = r.product_id""",
+            ),
+            ("line_steps", LINE_STEPS_SQL),
+        ],
+        recursive=True,
+    ),
+)
+def q_po_line_snapshot(spark, sf_dir):
+    # The lines after requests on old, new, changed and deleted lines, in request order.
+    snapshot, _ = changes.po_line_changes(
+        A.purchase_orders(spark, sf_dir), A.purchase_order_lines(spark, sf_dir), A.products(spark, sf_dir), _line_requests(spark, sf_dir)
+    )
+    return snapshot.select("line_id", "purchase_order_id", "product_id", "quantity", "organization_id")
