@@ -20,6 +20,8 @@ from stockroom.session import materialize
 GOLDEN = 0.6180339887498949  # fractional part of the golden ratio
 WORD = "[^\\x20\\x09-\\x0D]+"
 _HIGH = 1 << 20
+#: The shuffled order of a source's rows.
+ORDER = ["_order", "doc_id", "size", "digest", "_tie"]
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3) -> DataFrame:
@@ -98,6 +100,13 @@ def _named(source: Column) -> Column:
     return F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source))
 
 
+def _runs(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_part``, the number of a range of (key, ORDER). Equal rows are told apart by
+    ``_tie``, so rows of one id, or of one id and size, fill as many ranges as their number asks for."""
+    told = rows.withColumn("_tie", F.monotonically_increasing_id())
+    return told.repartitionByRange("key", *ORDER).withColumn("_part", F.spark_partition_id())
+
+
 def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, block_words: int, seed: int, digests: bool) -> DataFrame:
     """The rows of ``mix_documents`` with the key of their source and, if ``digests``, the MD5 of
     their text, else null."""
@@ -108,13 +117,13 @@ def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, block_words: int
         (F.unhex(F.md5("text")) if digests else F.lit(None).cast("binary")).alias("digest"),
         _named(F.col("source")).alias("key"),
         mixed.alias("_order"),
-    ).withColumn("_part", F.substring("_order", 1, 3))
+    )
     rows = materialize(rows, "mix-sizes")
     sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, cap), "mix-targets")
     use = schedule(targets, block_words)
 
-    placed = running_total(rows.where("size > 0"), "key", "_part", ["_order", "doc_id", "size", "digest"], "size", "start")
+    placed = running_total(materialize(_runs(rows.where("size > 0")), "mix-order"), "key", "_part", ORDER, "size", "start")
     span = F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))
     pieces = placed.select("doc_id", "digest", "size", "key", "start", F.explode(span).alias("block"))
     first = F.greatest(F.col("start"), F.col("block") * block_words)
@@ -135,8 +144,9 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: in
     the schedule takes, repeats included; it is at most ``cap`` times the size. Documents without
     words are taken 0 times. Equal rows are separate documents; which of them a cut falls on does
     not show in the result as a whole. Null ids are shuffled as one id. An empty table gives an
-    empty result; other columns are not read. Only (id, source, size) rows are shuffled, and a
-    source that holds most rows is cut into 4,096 parts by its shuffle key.
+    empty result; other columns are not read. Only (id, source, size) rows are shuffled, and they
+    are numbered in ranges of their order, so neither a source nor an id that holds most rows is
+    numbered by one task.
     """
     taken = _taken(docs, weights, cap, block_words, seed, digests=False)
     return taken.select("doc_id", "size", "source_size", "target", "taken")

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -114,3 +115,34 @@ def test_rows_of_one_id_are_numbered_by_many_tasks(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) <= 2
     part = F.shiftright(F.crc32(F.col("text").cast("binary")), 24)
     assert docs.where("doc_id = 5").select(part.alias("p")).distinct().count() > 200
+
+
+def test_mix_numbers_rows_of_one_id_in_many_ranges(spark):
+    """A third of all rows has one id, another third none, many of them equal; the order stays that of
+    one window over the source."""
+    rows = [((5, None, i)[i % 3], "word " * (i % 40 + 1), "a" if i % 5 else None) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        order = docs.select(F.lit("0a").alias("key"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).alias("_order"), "doc_id", F.length("text").alias("size"), F.lit(None).cast("binary").alias("digest"))
+        runs = mixing._runs(order.where("doc_id = 5 and size = 5"))
+        assert runs.select("_part").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        got = mixing.mix_documents(docs, block_words=64)
+        got = sorted(((r.doc_id, r.size, r.source_size, r.taken) for r in got.collect()), key=str)
+    finally:
+        spark.conf.unset(coalesce)
+    # the same streams, laid out one after another
+    quota, want = {}, []
+    sizes = {s: sum(i % 40 + 1 for i in range(3000) if ("a" if i % 5 else None) == s) for s in ("a", None)}
+    targets = spark.createDataFrame([("0a", sizes["a"]), ("1", sizes[None])], "key string, source_size long")
+    for r in mixing.schedule(mixing.source_targets(targets), 64).collect():
+        quota.setdefault(r.key, {}).setdefault(r.block, []).append(r.words)
+    for source, key in (("a", "0a"), (None, "1")):
+        mine = [(hashlib.md5(f"0:{'null' if d is None else d}".encode()).hexdigest(), d, len(t.split())) for d, t, s in rows if s == source]
+        at = 0
+        for _, d, size in sorted(mine, key=lambda x: (x[0], x[2])):
+            taken = sum(max(0, min(at + size, b * 64 + w) - max(at, b * 64)) for b in range(at // 64, (at + size - 1) // 64 + 1) for w in quota[key].get(b, []))
+            want.append((d, size, sizes[source], taken))
+            at += size
+    assert got == sorted(want, key=str)
