@@ -41,8 +41,8 @@ def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING
 
     One aggregation per (series, weekday) collects n, sums of x, y, x*y, x^2, y^2; the OLS
     trend, the weekday effects (mean residual per weekday) and the residual standard
-    deviation all follow algebraically from that small table, so the features are scanned
-    and shuffled once. ``x`` is days since a fixed origin (OLS is shift invariant, and a
+    deviation all follow algebraically from that small table, which is written once: models,
+    effects and forecasts read it, the features are scanned and shuffled once. ``x`` is days since a fixed origin (OLS is shift invariant, and a
     constant avoids a separate pass to find the data's first day); the intercept is reported
     at each series' first day.
 
@@ -50,7 +50,7 @@ def fit(features: DataFrame, weekly: bool = True, min_rows: int = S.MIN_TRAINING
     ``slope, intercept, sigma, first_ds, last_ds, training_rows``; the mean residual per
     (series, weekday); and the series refused for having fewer than ``min_rows`` rows.
     """
-    return fit_statistics(weekday_statistics(features), weekly, min_rows)
+    return fit_statistics(materialize(weekday_statistics(features), "statistics"), weekly, min_rows)
 
 
 #: Sums that make up the statistics of a (series, weekday); those of two sets of days add up.
@@ -170,14 +170,17 @@ def horizon_demand(fc: DataFrame) -> DataFrame:
 
 def backtest(features: DataFrame, test_days: int = 7) -> DataFrame:
     """hold out each series' last ``test_days`` rows; fit with and without the weekday
-    term on the rest; MAE of both arms on the hold-out and the quality gate."""
+    term on the rest; MAE of both arms on the hold-out and the quality gate. Both arms follow from
+    one table of statistics; ``features`` is read twice, for it and for the hold-out."""
     rk = F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.col("date").desc()))
     ranked = features.withColumn("_rk", rk)
     train = ranked.filter(F.col("_rk") > test_days).drop("_rk")
     test = ranked.filter(F.col("_rk") <= test_days).select(*SERIES, F.to_date("date").alias("ds"), F.col("units_sold").cast("double").alias("y"))
+    per_wd = materialize(weekday_statistics(train), "statistics")
+    test = materialize(test, "hold-out")
     out = None
     for weekly in (True, False):
-        models, effects, _ = fit(train, weekly=weekly, min_rows=S.MIN_TRAINING_DAYS)
+        models, effects, _ = fit_statistics(per_wd, weekly=weekly, min_rows=S.MIN_TRAINING_DAYS)
         p = predict_at(models, effects, test)
         mae = p.groupBy(*SERIES).agg(F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("w" if weekly else "t"))
         out = mae if out is None else out.join(mae, SERIES)

@@ -232,7 +232,7 @@ FROM ins GROUP BY organization_id, product_id""",
     ),
 )
 def q_forecast_metrics(spark, sf_dir):
-    feats = train_features(spark, sf_dir)
+    feats = materialize(train_features(spark, sf_dir), "features")
     models, effects, _ = FC.fit(feats)
     m = FC.fit_metrics(feats, models, effects)
     return m.select("organization_id", "product_id", _r("mae"), _r("mape_pct"), "training_rows")
@@ -267,7 +267,7 @@ FROM mw JOIN mt ON mt.organization_id = mw.organization_id AND mt.product_id = m
     ),
 )
 def q_forecast_backtest(spark, sf_dir):
-    bt = FC.backtest(train_features(spark, sf_dir))
+    bt = FC.backtest(materialize(train_features(spark, sf_dir), "features"))
     return bt.select("organization_id", "product_id", _r("mae_weekly"), _r("mae_trend"), "weekly_passes")
 
 
@@ -297,7 +297,7 @@ FROM w_m w LEFT JOIN v1_m v ON v.organization_id = w.organization_id AND v.produ
 
 
 def _versions(spark, sf_dir):
-    feats = train_features(spark, sf_dir)
+    feats = materialize(train_features(spark, sf_dir), "features")
     ranked = feats.withColumn(
         "_rk",
         F.row_number().over(Window.partitionBy("organization_id", "product_id").orderBy(F.col("date").desc())),

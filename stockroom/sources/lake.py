@@ -125,13 +125,6 @@ def save_checkpoint(spark: SparkSession, root: str, last_id: int) -> None:
 
 
 # ---- A12 / A5 ---------------------------------------------------------------------------------------
-def partition_manifest(batch: DataFrame) -> DataFrame:
-    """Id range and row count per written partition (map-side partial aggregation)."""
-    return with_partition_columns(batch).groupBy(*PARTITION_COLS).agg(
-        F.min("id").alias("start_id"), F.max("id").alias("end_id"), F.count(F.lit(1)).alias("rows")
-    )
-
-
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(_state(root, "manifest"))
 
@@ -139,30 +132,52 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
 def export_events(spark: SparkSession, log: DataFrame, root: str, incremental_mode: bool = True) -> DataFrame:
     """A5: one export run (full or incremental) -> one-row summary frame.
 
-    The upper id is taken first and bounds manifest and data alike, so rows that arrive meanwhile
-    wait for the next run. A full run replaces lake and manifest, so it may be repeated; an
-    incremental one appends rows behind the checkpoint, which then moves to the upper id (not to
-    the id of the latest timestamp). Files are counted by the number of those with rows of the run.
+    The log is read once, for the data; manifest, counts and checkpoint come from the ids in the
+    files that the run wrote, so they agree with the data whatever arrives meanwhile. A full run
+    replaces lake and manifest, so it may be repeated (of an empty log it leaves them alone); an
+    incremental one appends rows behind the checkpoint, which then moves to the largest id written
+    (not to the id of the latest timestamp).
     """
-    last_id = load_checkpoint(spark, root) if incremental_mode else None
-    upper = log.agg(F.max("id")).first()[0]
     mode = "incremental" if incremental_mode else "full"
-    if upper is None or (last_id is not None and upper <= last_id):
+    last_id = load_checkpoint(spark, root) if incremental_mode else None
+    if not incremental_mode and log.isEmpty():
+        return _summary(spark, 0, 0, 0, mode, False, last_id)
+    before = materialize(lake_files(spark, root), "lake-files") if incremental_mode else spark.createDataFrame([], LAKE_FILES)
+    write_lake(incremental(base_scan(log), last_id), root, replace=not incremental_mode)
+    written = written_files(spark, root, before)
+    totals = _totals(written)
+    if totals["files"] == 0:
         return _summary(spark, 0, 0, 0, mode, False, last_id)
-    batch = incremental(base_scan(log), last_id).filter(F.col("id") <= upper)
-    run = uuid.uuid4().hex[:12]
-    # The manifest is kept as a pending table until the data is written.
-    tmp = _state(root, f"manifest_pending/{run}")
-    partition_manifest(batch).withColumn("run_id", F.lit(run)).write.mode("overwrite").parquet(tmp)
-    pending = spark.read.parquet(tmp)
-    totals = pending.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("parts"), F.min("start_id").alias("min_id")).first()
-    write_lake(batch, root, replace=not incremental_mode)
-    pending.write.mode("append" if incremental_mode else "overwrite").parquet(_state(root, "manifest"))
-    # Only the partitions of this run are opened, and of their files only the id column.
-    touched = read_lake(spark, root).withColumn("f", F.col("_metadata.file_path")).join(pending.select(*PARTITION_COLS).distinct(), PARTITION_COLS, "left_semi")
-    files = touched.filter(F.col("id").between(totals["min_id"], upper)).select("f").distinct().count()
-    save_checkpoint(spark, root, upper)
-    return _summary(spark, totals["rows"], totals["parts"], files, mode, True, upper)
+    manifest = written_manifest(written).withColumn("run_id", F.lit(uuid.uuid4().hex[:12]))
+    manifest.write.mode("append" if incremental_mode else "overwrite").parquet(_state(root, "manifest"))
+    save_checkpoint(spark, root, totals["end_id"])
+    return _summary(spark, totals["rows"], totals["parts"], totals["files"], mode, True, totals["end_id"])
+
+
+def written_files(spark: SparkSession, root: str, before: DataFrame) -> DataFrame:
+    """One row (partition columns, path, length, start_id, end_id, rows) per lake file with rows that
+    ``before`` does not list. Only the days of these files are opened, and of the files only the id
+    column; a file has a bounded number of rows."""
+    new = lake_files(spark, root).join(before.select("path"), "path", "left_anti").where(F.col("path").startswith("org_id="))
+    days = ["year", "month", "day"]
+    new = new.select(*[F.regexp_extract("path", f"/{c}=([^/]*)", 1).alias(c) for c in days], "path", "length")
+    rows = read_lake(spark, root).select(*PARTITION_COLS, _relative("_metadata.file_path").alias("path"), "id")
+    found = rows.join(new, [*days, "path"]).groupBy(*PARTITION_COLS, "path", "length")
+    return materialize(found.agg(F.min("id").alias("start_id"), F.max("id").alias("end_id"), F.count(F.lit(1)).alias("rows")), "lake-written")
+
+
+def written_manifest(written: DataFrame) -> DataFrame:
+    """A12 from ``written_files``: id range and row count per partition."""
+    return written.groupBy(*PARTITION_COLS).agg(F.min("start_id").alias("start_id"), F.max("end_id").alias("end_id"), F.sum("rows").alias("rows"))
+
+
+def _totals(written: DataFrame):
+    return written.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count_distinct(*PARTITION_COLS).alias("parts"),
+        F.count(F.lit(1)).alias("files"),
+        F.max("end_id").alias("end_id"),
+    ).first()
 
 
 def _summary(spark, rows, parts, files, mode, updated, last_id) -> DataFrame:
@@ -208,17 +223,15 @@ def export_once(spark: SparkSession, log: DataFrame, root: str) -> DataFrame:
     same rows again. One export runs at a time."""
     commits = lake_commits(spark, root)
     last_id = commits.mark(LAST_ID)
-    upper = log.agg(F.max("id")).first()[0]
-    if upper is None or (last_id is not None and upper <= last_id):
-        return _summary(spark, 0, 0, 0, "incremental", False, last_id)
     before = materialize(lake_files(spark, root), "lake-files")
-    batch = incremental(base_scan(log), last_id).filter(F.col("id") <= upper)
-    write_lake(batch, root)
-    files = materialize(lake_files(spark, root).join(before.select("path"), "path", "left_anti"), "lake-files")
-    parts = materialize(partition_manifest(batch), "lake-partitions")
-    commits.publish(f"export-{last_id}-{upper}", {"files": files, "partitions": parts}, {LAST_ID: upper})
-    totals = parts.agg(F.sum("rows"), F.count(F.lit(1))).first()
-    return _summary(spark, totals[0], totals[1], files.count(), "incremental", True, upper)
+    write_lake(incremental(base_scan(log), last_id), root)
+    written = written_files(spark, root, before)
+    totals = _totals(written)
+    if totals["files"] == 0:
+        return _summary(spark, 0, 0, 0, "incremental", False, last_id)
+    upper = totals["end_id"]
+    commits.publish(f"export-{last_id}-{upper}", {"files": written.select("path", "length"), "partitions": written_manifest(written)}, {LAST_ID: upper})
+    return _summary(spark, totals["rows"], totals["parts"], totals["files"], "incremental", True, upper)
 
 
 def read_committed(spark: SparkSession, root: str) -> DataFrame:
