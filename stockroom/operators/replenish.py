@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom import schemas as S
+from stockroom.sources.tables import spread
 
 
 def recipe_list(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -161,9 +162,10 @@ def po_lines_labelled(orders: DataFrame, lines: DataFrame, products: DataFrame,
     )
 
 
-def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | None = None) -> DataFrame:
+def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """SUBMITTED POs -> one PURCHASE event per line, id ``po-{po}-line-{line}``; lines
-    already recorded by an earlier, partly failed receive are flagged and not applied again."""
+    already recorded by an earlier, partly failed receive are flagged and not applied again.
+    ``rows``: about how many lines there are, so that the test of their ids is spread by them."""
     sub = orders.filter(F.col("status") == "SUBMITTED").select("purchase_order_id", "organization_id")
     ev = lines.join(sub, ["purchase_order_id", "organization_id"], "inner").select(
         "organization_id",
@@ -176,6 +178,8 @@ def receipt_events(orders: DataFrame, lines: DataFrame, log_ids: DataFrame | Non
     )
     if log_ids is None:
         return ev.withColumn("already_recorded", F.lit(False))
+    if rows is not None:
+        ev = spread(ev, rows, "organization_id", "event_id")
     # only log rows with an id of these lines matter: the log itself is not shuffled for a small batch
     asked = ev.select("organization_id", "event_id")
     seen = log_ids.select("organization_id", "event_id").join(asked, ["organization_id", "event_id"], "left_semi")

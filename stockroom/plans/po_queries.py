@@ -207,7 +207,7 @@ def q_po_receipt_events(spark, sf_dir):
     orders = A.purchase_orders(spark, sf_dir)
     lines = A.purchase_order_lines(spark, sf_dir)
     first_try = replenish.receipt_events(orders, lines.filter(F.col("line_id") % 10 == 1))
-    return replenish.receipt_events(orders, lines, first_try.select("organization_id", "event_id"))
+    return replenish.receipt_events(orders, lines, first_try.select("organization_id", "event_id"), read_table(spark, sf_dir, "lineitem").count())
 
 
 # Four requests per order, in request order: submit, receive, an unknown action, submit again; every

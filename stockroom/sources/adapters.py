@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.functions.events import signed_quantity, valid_signed_event
-from stockroom.sources.tables import read_table
+from stockroom.sources.tables import read_table, spread
 
 
 def _org_of(key: Column) -> Column:
@@ -200,11 +200,11 @@ def purchase_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PO lines: product moved into the PO's org; repeated line numbers collapsed.
 
     lineitem and orders are both fact-sized, so this is a shuffle join on the order key
-    followed by an aggregation on the same key (Spark reuses the partitioning).
+    followed by an aggregation on the same key (Spark reuses the partitioning). The number of
+    partitions follows the rows (a count from the file footers), and joins on the order keep it.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
-    )
+    table = read_table(spark, sf_dir, "lineitem")
+    li = spread(table.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"), table.count(), "l_orderkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return j.groupBy("l_orderkey", "l_linenumber").agg(

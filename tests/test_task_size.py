@@ -45,3 +45,21 @@ def test_dedup_source_is_written_by_all_cores(spark, small, monkeypatch):
         stream_queries.q_stream_dedup(spark, small)
     files = len(spark.read.parquet(caught["src"]).inputFiles())
     assert files == 4 * caught["n"] >= spark.sparkContext.defaultParallelism
+
+
+def test_lines_spread_by_their_rows(spark, small, monkeypatch):
+    few = sorted(A.purchase_order_lines(spark, small).collect())
+    monkeypatch.setattr(tables, "TASK_ROWS", 6)
+    many = A.purchase_order_lines(spark, small)
+    assert many.rdd.getNumPartitions() == 40 > spark.sparkContext.defaultParallelism
+    assert sorted(many.collect()) == few and len(few) == 200
+
+
+def test_receipt_ids_are_tested_in_tasks_by_rows(spark, small, monkeypatch):
+    orders, lines = A.purchase_orders(spark, small), A.purchase_order_lines(spark, small)
+    seen = spark.createDataFrame([(2, "po-1-line-11"), (2, "po-4-line-41")], "organization_id int, event_id string")
+    few = sorted(replenish.receipt_events(orders, lines, seen).collect())
+    monkeypatch.setattr(tables, "TASK_ROWS", 6)
+    many = replenish.receipt_events(orders, lines, seen, 200)
+    assert "Repartition" in many._jdf.queryExecution().logical().toString()
+    assert sorted(many.collect()) == few and few
