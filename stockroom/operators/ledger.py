@@ -32,7 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,32 +210,53 @@ def _effective(rows: DataFrame, cascades: bool = True) -> DataFrame:
 
 
 def fold_fast(rows: DataFrame, cascades: bool = True, by_product: bool = False, chunk: int = 1 << 16) -> DataFrame:
-    """Prefix balances under 'nothing refused' and the group's dirty flag.
+    """Prefix balances under 'nothing refused', the group's ``cut`` and, for products that are groups of
+    their own (``by_product``), what was accepted before it (``_pre``); written as a table.
 
     The prefix sum per product is computed in chunks of ``chunk`` arrival numbers: a local
     running sum inside (product, chunk), plus the sum of the product's earlier chunks (a
     window over one row per chunk). A product holding a large share of the batch is spread
-    over many tasks instead of one. The dirty flag is an aggregation per group joined back.
+    over many tasks instead of one. The rows are sent by chunk and written once; only chunks
+    that have earlier ones of their product take an offset. The cut is an aggregation per
+    group joined back, or that of the only chunk of a product that is its own group.
     """
-    r = _effective(rows, cascades).withColumn("_chunk", F.floor(F.col("seq") / chunk))
+    at = ["organization_id", "product_id", "_chunk"]
+    r = _effective(rows, cascades).withColumn("_chunk", F.floor(F.col("seq") / chunk)).dropna(subset=[*at, "group_id"])
     eff_delta = F.when(F.col("effective"), F.col("delta")).otherwise(F.lit(0))
-    local_w = Window.partitionBy("organization_id", "product_id", "_chunk").orderBy("seq", "pos").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    here = Window.partitionBy(*at)
+    local_w = here.orderBy("seq", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumn("_local", F.sum(eff_delta).over(local_w))
-    totals = r.groupBy("organization_id", "product_id", "_chunk").agg(F.sum(eff_delta).alias("_tot"))
-    before = Window.partitionBy("organization_id", "product_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "organization_id", "product_id", "_chunk", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_offset")
-    )
-    r = r.join(offsets, ["organization_id", "product_id", "_chunk"], "inner").withColumn(
-        "running", F.col("start_balance") + F.col("_offset") + F.col("_local")
-    ).drop("_chunk", "_local", "_offset")
     bad = F.col("effective") & F.col("guarded") & (F.col("running") < 0)
-    gkey = ["organization_id", "product_id" if by_product else "group_id"]
-    # ``cut``: arrival number of the group's first unit that may be refused (NULL = clean).
-    flags = r.groupBy(*gkey).agg(F.min(F.when(bad, F.col("seq"))).alias("cut"))
-    return r.join(flags, gkey, "inner").withColumn("dirty", F.col("cut").isNotNull())
+    if by_product:
+        r = r.withColumn("running", F.col("start_balance") + F.col("_local"))
+        r = r.withColumn("cut", F.min(F.when(bad, F.col("seq"))).over(here)).withColumn("_pre", F.sum(F.when(_accepted_before(), F.col("delta"))).over(here))
+    r = materialize(r, "fold-local")
+    totals = r.groupBy(*at).agg(F.sum(eff_delta).alias("_tot"))
+    before = Window.partitionBy("organization_id", "product_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*at, F.sum("_tot").over(before).alias("_offset")).where(F.col("_offset").isNotNull())
+    offsets = materialize(offsets, "fold-offsets")
+    if by_product and offsets.isEmpty():  # every product is in one chunk
+        return r.drop("_chunk", "_local").withColumn("dirty", F.col("cut").isNotNull())
+    running = F.col("start_balance") + F.coalesce("_offset", F.lit(0)) + F.col("_local")
+    if not by_product:
+        r = r.join(offsets, at, "left").withColumn("running", running).drop("_chunk", "_local", "_offset")
+        # ``cut``: arrival number of the group's first unit that may be refused (NULL = clean).
+        flags = r.groupBy(*GROUP).agg(F.min(F.when(bad, F.col("seq"))).alias("cut"))
+        return materialize(r.join(flags, GROUP, "inner").withColumn("dirty", F.col("cut").isNotNull()), "fold-judged")
+    key = ["organization_id", "product_id"]
+    wide = offsets.select(*key).distinct().withColumn("_wide", F.lit(True))
+    r = r.join(wide, key, "left")
+    one = r.where(F.col("_wide").isNull()).drop("_wide", "_chunk", "_local")
+    many = r.where("_wide").drop("_wide", "cut", "_pre").join(offsets, at, "left").withColumn("running", running).drop("_chunk", "_local", "_offset")
+    many = many.join(many.groupBy(*key).agg(F.min(F.when(bad, F.col("seq"))).alias("cut")), key)
+    many = materialize(many, "fold-wide")
+    pre = many.where(_accepted_before()).groupBy(*key).agg(F.sum("delta").alias("_pre"))
+    return one.unionByName(many.join(pre, key, "left")).withColumn("dirty", F.col("cut").isNotNull())
+
+
+def _accepted_before() -> Column:
+    """Rows that apply before their group's cut."""
+    return F.col("effective") & (F.col("cut").isNull() | (F.col("seq") < F.col("cut")))
 
 
 def clean_results(r: DataFrame) -> DataFrame:
@@ -602,19 +623,17 @@ def apply_batch(
         rows = rows.join(groups, ["organization_id", "product_id"], "left").withColumn(
             "group_id", F.coalesce("group_id", "product_id")
         )
-    judged = materialize(
-        fold_fast(rows, cascades=recipe_items is not None, by_product=by_product, chunk=chunk),
-        "fold-judged",
-    )
+    judged = fold_fast(rows, cascades=recipe_items is not None, by_product=by_product, chunk=chunk)
     # Before a group's cut nothing has been refused yet, so those rows (all rows of clean
     # groups) are finished by the prefix-sum results; only the suffix is folded in order.
     before = F.col("cut").isNull() | (F.col("seq") < F.col("cut"))
     clean = clean_results(judged.filter(before))
-    accepted_before = judged.filter(F.col("cut").isNotNull() & (F.col("seq") < F.col("cut")) & F.col("effective"))
-    pre = accepted_before.groupBy("organization_id", "product_id").agg(F.sum("delta").alias("_pre"))
-    suffix = judged.filter(~before).join(pre, ["organization_id", "product_id"], "left").withColumn(
-        "fold_start", F.col("start_balance") + F.coalesce("_pre", F.lit(0))
-    )
+    accepted_before = judged.filter(F.col("cut").isNotNull() & _accepted_before())
+    suffix = judged.filter(~before)
+    if not by_product:
+        pre = accepted_before.groupBy("organization_id", "product_id").agg(F.sum("delta").alias("_pre"))
+        suffix = suffix.join(pre, ["organization_id", "product_id"], "left")
+    suffix = suffix.withColumn("fold_start", F.col("start_balance") + F.coalesce("_pre", F.lit(0)))
     if not unique_ids:
         # ids recorded before the cut are no-ops when they repeat after it
         done = accepted_before.select(*KEY).distinct().withColumn("_done", F.lit(True))

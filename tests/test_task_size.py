@@ -63,3 +63,20 @@ def test_receipt_ids_are_tested_in_tasks_by_rows(spark, small, monkeypatch):
     many = replenish.receipt_events(orders, lines, seen, 200)
     assert "Repartition" in many._jdf.queryExecution().logical().toString()
     assert sorted(many.collect()) == few and few
+
+
+def test_prefix_of_products_needs_no_second_exchange(spark):
+    rows = [(1, p, f"e{p}-{n}", "SALE" if n % 3 else "PURCHASE", 2, n) for p in (1, 2, 3) for n in range(1, 7 if p < 3 else 30)]
+    events = spark.createDataFrame(rows, "organization_id int, product_id long, event_id string, event_type string, quantity int, seq long")
+    plain = ledger.annotate(ledger.expand_units(events), None, None, unique_ids=True).withColumn("group_id", F.col("product_id"))
+    plan = ledger.fold_fast(plain, cascades=False, by_product=True)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+    def told(**how):
+        out = ledger.apply_batch(events, groups="product", unique_ids=True, **how)
+        return Counter(tuple(r) for r in out.select("product_id", "seq", "status", "applied", "balance_after").collect())
+
+    # product 3 is in several chunks of 8, the others in one
+    whole = told()
+    assert told(chunk=8) == whole and told(chunk=8, hot_rows=4) == whole
+    assert told(chunk=3) == whole and sum(whole.values()) == 41
