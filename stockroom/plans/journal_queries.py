@@ -13,9 +13,10 @@ from stockroom.plans.ingest_oracle import INGEST_CTES, INGEST_VIEWS, NEW_STATE
 from stockroom.plans.ledger_queries import WEBHOOK_ROWS_SQL
 from stockroom.plans.oracle import with_views
 from stockroom.plans.registry import register
-from stockroom.session import work_dir
+from stockroom.session import materialize, work_dir
 from stockroom.sources import adapters as A
 from stockroom.sources import batches
+from stockroom.sources.tables import TASK_ROWS
 
 AT = datetime(2030, 1, 2, 3, 4, 5)
 ACTOR = 7
@@ -28,9 +29,12 @@ FROM fold f JOIN good g ON g.organization_id = f.organization_id AND g.k = f.k W
 
 
 def _csv_files(spark, sf_dir: str, name: str) -> dict[int, str]:
-    """The planted-fault rows as CSV files, a folder for each organization."""
+    """The planted-fault rows as CSV files, a folder for each organization; as many files in a row as
+    keep the rows of one task near ``TASK_ROWS``."""
     path = work_dir(spark, name)
-    rows = A.ingest_rows(spark, sf_dir).repartitionByRange(3, "row_number").sortWithinPartitions("organization_id", "row_number")
+    rows = A.ingest_rows(spark, sf_dir)
+    files = max(3, -(-rows.count() // TASK_ROWS))
+    rows = rows.repartitionByRange(files, "row_number").sortWithinPartitions("organization_id", "row_number")
     rows.select("sku", "event_type", "quantity", "event_id", "organization_id").write.partitionBy("organization_id").option("header", True).csv(path)
     orgs = A.organizations(spark, sf_dir).select("organization_id").collect()
     return {r[0]: f"{path}/organization_id={r[0]}" for r in orgs}
@@ -139,7 +143,9 @@ def q_po_receipt(spark, sf_dir):
     # R5 + R6 + U3 + S10: receipts in two runs (the first is sent again under its id), on a log in which
     # an earlier attempt left some lines. Returned: balances, status, audit rows, events and the last id.
     store = journal.open_journal(spark, work_dir(spark, "po_receipt"))
-    orders, lines, log = A.purchase_orders(spark, sf_dir), A.purchase_order_lines(spark, sf_dir), A.event_log(spark, sf_dir)
+    # both runs read the lines several times: their join is made once
+    lines = materialize(A.purchase_order_lines(spark, sf_dir), "receipt-lines")
+    orders, log = A.purchase_orders(spark, sf_dir), A.event_log(spark, sf_dir)
     key = ["organization_id", "purchase_order_id"]
     old = lines.where("line_id % 10 = 1 and purchase_order_id % 5 = 0").join(orders.where("status = 'SUBMITTED'").select(*key), key, "left_semi")
     top = log.agg(F.max("id")).first()[0]

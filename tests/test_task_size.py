@@ -80,3 +80,10 @@ def test_prefix_of_products_needs_no_second_exchange(spark):
     whole = told()
     assert told(chunk=8) == whole and told(chunk=8, hot_rows=4) == whole
     assert told(chunk=3) == whole and sum(whole.values()) == 41
+
+
+def test_csv_files_follow_the_rows(spark, small, monkeypatch):
+    monkeypatch.setattr(journal_queries, "TASK_ROWS", 10)
+    files = journal_queries._csv_files(spark, small, "csv-files")
+    made = [f for path in files.values() for f in spark.read.text(path).inputFiles()]
+    assert len({f.rsplit("/part-", 1)[1][:5] for f in made}) == 6
