@@ -201,13 +201,16 @@ def po_line_changes(orders: DataFrame, lines: DataFrame, products: DataFrame, ch
     no_line = F.format_string("Purchase order line %d not found", F.col("line_id"))
     edits = edits.withColumn("_po", F.coalesce("_line_po", "purchase_order_id")).join(po, ["organization_id", "_po"], "left")
     edits = edits.withColumn("error", F.coalesce(bad_quantity, F.when(~there, no_line), no_order))
-    deletes = edits.where("op = 'delete' and error is null").groupBy("organization_id", "line_id").agg(F.min("change_id").alias("_until"))
+    # only lines of DRAFT orders change: few rows, and no request has to be sent by its order to find them
+    draft = spot.join(po.where("_status = 'DRAFT'").select("organization_id", F.col("_po").alias("_line_po")), ["organization_id", "_line_po"])
+    draft = materialize(draft.select("organization_id", "line_id", "_line_po", "_from"), "po-lines-draft")
+    sound = ch.where("op in ('update', 'delete')").where(bad_quantity.isNull()).join(draft, ["organization_id", "line_id"]).where(there)
+    deletes = sound.where("op = 'delete'").groupBy("organization_id", "line_id").agg(F.min("change_id").alias("_until"))
     edits = edits.join(deletes, ["organization_id", "line_id"], "left").withColumn(
         "error", F.coalesce("error", F.when(F.col("change_id") > F.col("_until"), no_line))
     )
-    updates = edits.where("op = 'update' and error is null").groupBy("organization_id", "line_id").agg(
-        F.max_by(F.struct("quantity", "unit_cost"), "change_id").alias("_new")
-    )
+    live = sound.where("op = 'update'").join(deletes, ["organization_id", "line_id"], "left").where(~F.coalesce(F.col("change_id") > F.col("_until"), F.lit(False)))
+    updates = live.groupBy("organization_id", "line_id").agg(F.max_by(F.struct("quantity", "unit_cost"), "change_id").alias("_new"))
     kept = alive.join(deletes, ["organization_id", "line_id"], "left_anti").join(updates, ["organization_id", "line_id"], "left")
     kept = kept.withColumn("quantity", F.coalesce(F.col("_new.quantity"), F.col("quantity")).cast("int"))
     if costs:

@@ -16,7 +16,7 @@ from stockroom.plans.decision_queries import FORECAST_CTES, FORECAST_VIEWS, ROUN
 from stockroom.plans.oracle import with_views
 from stockroom.plans.po_queries import PCHG_SQL, product_change_batch
 from stockroom.plans.registry import ORACLE, register
-from stockroom.session import work_dir
+from stockroom.session import materialize, work_dir
 from stockroom.sources import adapters as A
 from stockroom.sources import lake
 from stockroom.sources.store import Store
@@ -374,10 +374,9 @@ def q_product_snapshot(spark, sf_dir):
 WAVE = 1_000_000_000
 
 
-def _line_requests(spark, sf_dir):
+def _line_requests(lines):
     """Each line gets three requests, one wave after the other: an edit, a delete or a new line; then an
     edit of the new line or of one that may be gone; then another of these."""
-    lines = A.purchase_order_lines(spark, sf_dir)
     top = lines.agg(F.max("line_id")).scalar()
     kind, wave, new = F.col("line_id") % 3, F.col("wave"), F.col("line_id") % 3 == 2
     op = (
@@ -442,7 +441,6 @@ LEFT JOIN products p ON p.organization_id = r.organization_id AND p.product_id =
 )
 def q_po_line_snapshot(spark, sf_dir):
     # The lines after requests on old, new, changed and deleted lines, in request order.
-    snapshot, _ = changes.po_line_changes(
-        A.purchase_orders(spark, sf_dir), A.purchase_order_lines(spark, sf_dir), A.products(spark, sf_dir), _line_requests(spark, sf_dir)
-    )
+    lines = materialize(A.purchase_order_lines(spark, sf_dir), "snapshot-lines")
+    snapshot, _ = changes.po_line_changes(A.purchase_orders(spark, sf_dir), lines, A.products(spark, sf_dir), _line_requests(lines))
     return snapshot.select("line_id", "purchase_order_id", "product_id", "quantity", "organization_id")

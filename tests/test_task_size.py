@@ -87,3 +87,19 @@ def test_csv_files_follow_the_rows(spark, small, monkeypatch):
     files = journal_queries._csv_files(spark, small, "csv-files")
     made = [f for path in files.values() for f in spark.read.text(path).inputFiles()]
     assert len({f.rsplit("/part-", 1)[1][:5] for f in made}) == 6
+
+
+def test_lines_are_joined_once_for_receipts_and_snapshots(spark, small, monkeypatch):
+    caught = []
+
+    def stop(lines):
+        caught.extend(lines.inputFiles())
+        raise StopIteration
+
+    monkeypatch.setattr(journal, "receive_orders", lambda _store, _run, _requests, lines, *_: stop(lines))
+    monkeypatch.setattr(changes, "po_line_changes", lambda _orders, lines, *_: stop(lines))
+    for query, name in ((journal_queries.q_po_receipt, "receipt-lines"), (publish_queries.q_po_line_snapshot, "snapshot-lines")):
+        caught.clear()
+        with pytest.raises(StopIteration):
+            query(spark, small)
+        assert caught and all(name in f for f in caught)
