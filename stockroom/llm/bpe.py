@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by recursive queries.
 
 A task splits its texts into pattern matches and encodes each distinct match once. Matches that are
-no token themselves become token-position rows of a DuckDB table in the task's own process. A
-recursive query joins neighbouring rows with the merge table and contracts each match's leftmost
-pair of minimum rank, until no match has a pair left. An ordered aggregation over the vocabulary
+no token themselves become rows of a DuckDB table in the task's own process: a match's tokens and,
+for each two neighbours, the rank of the token they merge to (null: none). A recursive query
+contracts each match's leftmost pair of minimum rank and joins only the two pairs that this makes
+with the merge table, until no match has a pair left. An ordered aggregation over the vocabulary
 gives the bytes back.
 """
 
@@ -49,21 +50,20 @@ NEW_NUMBERS = (
 )
 
 ENCODE = """
-with recursive step(round, word, pos, token) as (
-    select 0, word, pos, token from bytes_in
+with recursive step(word, tokens, ranks) as (
+    select word, tokens, ranks from words_in
   union all
-    (with pairs as (
-        select round, word, pos, token, lead(token) over line as following, lag(pos) over line as before
-        from step window line as (partition by word order by pos)),
-     best as (
-        select p.word, min((m.merged::bigint << 32) + p.pos) as pick
-        from pairs p join merges m on m.first = p.token and m.second = p.following group by p.word)
-     select p.round + 1, p.word, p.pos,
-            case when p.pos = (b.pick & 4294967295) then (b.pick >> 32)::int else p.token end
-     from pairs p join best b using (word)
-     where p.before is null or p.before <> (b.pick & 4294967295))
-), last as (select word, max(round) as round from step group by word)
-select s.word, list(s.token order by s.pos) as ids from step s join last using (word, round) group by s.word
+    (with best as (select word, tokens, ranks, list_min(ranks) as merged from step),
+     spot as (select *, list_position(ranks, merged) as place from best where merged is not null)
+     select s.word, s.tokens[:s.place - 1] || [s.merged] || s.tokens[s.place + 2:],
+            s.ranks[:greatest(s.place - 2, 0)]
+            || case when s.place > 1 then [b.merged] else [] end
+            || case when s.place < len(s.ranks) then [a.merged] else [] end
+            || s.ranks[s.place + 2:]
+     from spot s left join merges b on b.first = s.tokens[s.place - 1] and b.second = s.merged
+                 left join merges a on a.first = s.merged and a.second = s.tokens[s.place + 2])
+)
+select word, tokens as ids from step where list_min(ranks) is null
 """
 DECODE = """
 select word, array_to_string(list(chars order by pos), '') as chars
@@ -118,6 +118,10 @@ class Codec:
     def __init__(self, rank_file: bytes, memory: str = "256MB"):
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, rank_file.splitlines())}
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.double = np.full((256, 256), -1, np.int32)
+        for token, rank in self.ranks.items():
+            if len(token) == 2:
+                self.double[token[0], token[1]] = rank
         self.known: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         cuts = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -128,8 +132,8 @@ class Codec:
             self.db.execute(f"create table {name} as select * from given")
             self.db.unregister("given")
 
-    def _query(self, sql: str, name: str, words: np.ndarray, positions: np.ndarray, tokens: np.ndarray) -> pa.Table:
-        self.db.register(name, pa.table([words.astype(np.int32), positions.astype(np.int32), tokens.astype(np.int32)], ["word", "pos", "token"]))
+    def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
+        self.db.register(name, rows)
         try:
             return self.db.sql(sql).to_arrow_table()
         finally:
@@ -142,8 +146,12 @@ class Codec:
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of each of ``words`` as little-endian 32-bit integers, by the recursive query."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        found = self._query(ENCODE, "bytes_in", *self._rows(np.array([len(w) for w in words])), self.single[data])
+        data, lengths = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+        ends = np.cumsum(lengths)
+        pairs = np.delete(self.double[data, np.roll(data, -1)], ends - 1)  # none across two words
+        tokens = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), self.single[data])
+        ranks = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths - 1)]).astype(np.int32), pa.array(pairs, mask=pairs < 0))
+        found = self._query(ENCODE, "words_in", pa.table([np.arange(len(words), dtype=np.int32), tokens, ranks], ["word", "tokens", "ranks"]))
         ids = found["ids"].combine_chunks()
         values, edges = ids.flatten().to_numpy().astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids).to_numpy())]).tolist()
         out = [b""] * len(words)
@@ -182,7 +190,8 @@ class Codec:
 
         def flush() -> None:
             lengths = np.array([len(x) // 4 for _, x in group], np.int64)
-            found = self._query(DECODE, "ids_in", *self._rows(lengths), np.frombuffer(b"".join(x for _, x in group), "<u4"))
+            columns = (*self._rows(lengths), np.frombuffer(b"".join(x for _, x in group), "<u4"))
+            found = self._query(DECODE, "ids_in", pa.table([c.astype(np.int32) for c in columns], ["word", "pos", "token"]))
             chars = dict(zip(found["word"].to_pylist(), found["chars"].to_pylist()))
             for k, (i, _) in enumerate(group):
                 parts[i].append(chars[k].encode("latin-1"))

@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -40,6 +41,24 @@ def test_both_ways_to_contract_agree(codec):
     assert own._contract([w.encode() for w in words]) == [own._contract_long(w.encode()) for w in words]
 
 
+def test_a_round_has_one_row_of_each_match(codec, tmp_path):
+    own, _ = codec
+    words = [b"thethethethe" * 5, b"ab" * 150, "éàü".encode() * 40, b"zqxjk", b"jq", b"qz" * 7]
+    own.db.execute("pragma enable_profiling='json'")
+    own.db.execute(f"pragma profiling_output='{tmp_path}/profile.json'")
+    try:
+        ids = own._contract(words)
+        profile = (tmp_path / "profile.json").read_text()
+    finally:
+        own.db.execute("pragma disable_profiling")
+
+    def rows(nodes):
+        return [n["intermediate_rows"] for n in nodes if n["type"] == "RECURSIVE_CTE"] + [r for n in nodes for r in rows(n.get("children", []))]
+
+    assert ids == [own._contract_long(w) for w in words]
+    assert rows(json.loads(profile)["operator"]) == [sum(len(w) - len(x) // 4 + 1 for w, x in zip(words, ids))]
+
+
 def test_long_sequences_are_decoded_in_parts(codec, monkeypatch):
     own, split = codec
     text = "some words and other words, " * 50
